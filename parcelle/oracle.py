@@ -139,3 +139,97 @@ ORACLE["conform_columns"] = with_(RAW, body="""
            CAST(NULL AS VARCHAR) AS nom_commune, CAST(NULL AS VARCHAR) AS code_departement,
            CAST(NULL AS VARCHAR) AS longitude, CAST(NULL AS VARCHAR) AS latitude
     FROM raw_sales""")
+
+# -- sources and sinks --------------------------------------------------------
+
+LANDED = """landed AS (
+  SELECT *, code_departement AS departement, substr(date_mutation, 1, 4) AS annee,
+         'dvf_' || code_departement || '_' || substr(date_mutation, 1, 4) || '.csv'
+         || CASE WHEN CAST(substr(date_mutation, 1, 4) AS INTEGER) % 2 = 0 THEN '.gz' ELSE '' END
+         AS fichier
+  FROM raw_sales)"""
+
+MISSING = """expected AS (
+  SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS departement, CAST(y AS VARCHAR) AS annee
+  FROM nation,
+       (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate)))) AS y
+        FROM orders) years),
+missing AS (
+  SELECT departement, annee FROM expected e
+  WHERE NOT EXISTS (SELECT 1 FROM landed l
+                    WHERE l.departement = e.departement AND l.annee = e.annee))"""
+
+SCOPE = "('22', '29', '35', '56')"
+
+RECORDS = """records AS (
+  SELECT r_name AS reg_name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS dep_code,
+         n_name AS dep_name, n_regionkey AS "geo.region_key", n_nationkey AS "geo.nation_key",
+         [lpad(CAST(n_nationkey AS VARCHAR), 2, '0'), CAST(n_regionkey AS VARCHAR)] AS codes,
+         CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS "extra.note"
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def _layer(column: str, code: str) -> str:
+    return f"""layer AS (
+  SELECT {code} AS "{column}", n_name AS "NOM", 'Polygon' AS "geometry.type",
+         [[[x0, y0], [x0 + 0.125, y0], [x0 + 0.125, y0 + 0.125], [x0, y0 + 0.125], [x0, y0]]]
+           AS "geometry.coordinates"
+  FROM (SELECT *, -5e0 + n_nationkey * 0.125e0 AS x0, 47e0 + n_regionkey * 0.125e0 AS y0
+        FROM nation) n)"""
+
+
+CODE = "lpad(CAST(n_nationkey AS VARCHAR), 2, '0')"
+
+ORACLE.update({
+    "scan_csv": with_(RAW, body="SELECT * FROM raw_sales"),
+    "scan_parquet": """
+        SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
+        FROM orders""",
+    "scan_gz_partitions": with_(RAW, body="SELECT * FROM raw_sales"),
+    "file_name_columns": with_(RAW, LANDED, body="SELECT * FROM landed"),
+    "missing_partitions": with_(RAW, LANDED, MISSING, body="SELECT * FROM missing"),
+    "manifest_summary": with_(RAW, LANDED, MISSING, body="""
+        SELECT (SELECT count(DISTINCT fichier) FROM landed) AS files_count,
+               (SELECT count(DISTINCT fichier) FROM landed) AS success_count,
+               (SELECT count(*) FROM missing) AS failure_count"""),
+    "dataset_metadata": with_(RAW, LANDED, body="""
+        SELECT list_sort(list(DISTINCT departement)) AS departements,
+               list_sort(list(DISTINCT annee)) AS annees,
+               list_sort(list(DISTINCT fichier)) AS fichiers,
+               count(*) AS nombre_enregistrements,
+               ['id_mutation', 'date_mutation', 'valeur_fonciere', 'type_local',
+                'surface_reelle_bati', 'surface_terrain', 'nature_culture',
+                'nombre_pieces_principales', 'code_postal', 'nom_commune', 'code_departement',
+                'longitude', 'latitude'] AS colonnes
+        FROM landed"""),
+    "sink_parquet": with_(*SALES_CTES, body="SELECT * FROM clean"),
+    "sink_append": with_(RAW, TYPED, body="SELECT * FROM typed UNION ALL SELECT * FROM typed"),
+    "sink_dated": with_(RAW, TYPED, BLD_LINES, BUILDINGS, body="SELECT * FROM buildings"),
+    "sink_csv_nested": with_(RAW, TYPED, LAND_LINES, LAND, body="""
+        SELECT * REPLACE (CAST(to_json(natures_culture) AS VARCHAR) AS natures_culture)
+        FROM land"""),
+    "sink_json": with_(*SALES_CTES, body="SELECT * FROM clean"),
+    "jdbc_roundtrip": with_(*SALES_CTES, SERVING, body="""
+        SELECT *, 'SRID=4326;POINT(' || CAST(longitude AS VARCHAR) || ' '
+                  || CAST(latitude AS VARCHAR) || ')' AS coordinates
+        FROM serving"""),
+    "jdbc_filter": with_(*SALES_CTES, SERVING, body="""
+        SELECT *, 'SRID=4326;POINT(' || CAST(longitude AS VARCHAR) || ' '
+                  || CAST(latitude AS VARCHAR) || ')' AS coordinates
+        FROM serving WHERE property_type = 'terrain'"""),
+    "json_pages": with_(RECORDS, body="SELECT * FROM records"),
+    "json_pages_complete": """
+        SELECT count(*) AS fetched, count(*) AS total_count, true AS complete
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "flatten_json": """
+        SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k" FROM events""",
+    "region_equals": with_(RECORDS, body="SELECT * FROM records WHERE reg_name = 'EUROPE'"),
+    "scan_geojson": with_(_layer("CODE_DEP", CODE), body="SELECT * FROM layer"),
+    "region_filter": with_(_layer("CODE_DEP", CODE),
+                           body=f'SELECT * FROM layer WHERE "CODE_DEP" IN {SCOPE}'),
+    "region_filter_prefix": with_(_layer("DEPCOM", f"{CODE} || '001'"), body="""
+        SELECT * FROM layer
+        WHERE starts_with("DEPCOM", '22') OR starts_with("DEPCOM", '29')
+           OR starts_with("DEPCOM", '35') OR starts_with("DEPCOM", '56')"""),
+    "region_filter_all": with_(_layer("DEP", f"'X' || {CODE}"), body="SELECT * FROM layer"),
+})

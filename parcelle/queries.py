@@ -3,11 +3,14 @@ computed over the whole driver tables (or data Spark derives from them)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from parcelle.functions.nested import flatten, parse_json_column
 from parcelle.functions.typing import normalise_text, ratio
 from parcelle.operators.aggregate import building_sales, land_sales
 from parcelle.operators.conform import conform_columns
@@ -18,9 +21,33 @@ from parcelle.operators.filters import (
     split_buildings,
     split_land,
 )
+from parcelle.plans.areas import find_layer_file, region_filter
 from parcelle.plans.clean import clean_sales, sale_points, serving_sales, typed_sales
-from parcelle.schema import LAND_KEYS, RAW_SALES_SCHEMA
-from parcelle.sources.adapter import raw_sales
+from parcelle.plans.job import SalesJob, report_frame, run_job
+from parcelle.plans.landing import (
+    dataset_metadata,
+    expected_grid,
+    land_files,
+    landing_manifest,
+    manifest_summary,
+    missing_partitions,
+    read_landed,
+)
+from parcelle.plans.records import area_records, land_layer, polygon_layer, write_pages
+from parcelle.schema import (
+    CLEAN_SCHEMA,
+    LAND_KEYS,
+    LAND_TYPE_LABEL,
+    RAW_SALES_SCHEMA,
+    SCOPE_DEPARTMENTS,
+)
+from parcelle.session import scratch_path
+from parcelle.sinks.files import EXTRACT_DATE, nested_as_json, write, write_csv, write_dated, write_json
+from parcelle.sinks.geojson import write_geojson
+from parcelle.sources.adapter import raw_sales, table
+from parcelle.sources.files import RAW_TEXT_OPTIONS, read
+from parcelle.sources.jdbc import derby_memory, read_table, string_column_types, write_table
+from parcelle.sources.json_records import page_records, pages_complete, read_geojson, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -141,3 +168,229 @@ def q_row_metrics(spark, sf_dir):
         F.lit("row_count_transformed").alias("metric"), "value")
     return raw_n.unionByName(clean_n)
 
+
+
+# -- sources and sinks --------------------------------------------------------
+# Every query below writes its intermediate files under a fresh folder of the
+# shared checkpoint folder (spark.checkpoint.dir), then reads them back.
+
+def _even_year() -> F.Column:
+    return F.substring(F.col("date_mutation"), 1, 4).cast("int") % 2 == 0
+
+
+def _landed_root(spark, sf_dir) -> str:
+    root = scratch_path(spark, "landing")
+    land_files(raw_sales(spark, sf_dir), root, gzip=_even_year())
+    return root
+
+
+@query("scan_csv")
+def q_scan_csv(spark, sf_dir):
+    path = scratch_path(spark, "raw-csv")
+    write_csv(raw_sales(spark, sf_dir), path)
+    return read(spark, path, "csv", options=RAW_TEXT_OPTIONS, schema=RAW_SALES_SCHEMA)
+
+
+@query("scan_parquet")
+def q_scan_parquet(spark, sf_dir):
+    orders = read(spark, f"{sf_dir}/orders.parquet", "parquet")
+    return orders.select("o_orderkey", "o_custkey", "o_totalprice",
+                         F.col("o_orderdate").cast("date").alias("o_orderdate"))
+
+
+@query("scan_gz_partitions")
+def q_scan_gz_partitions(spark, sf_dir):
+    return read_landed(spark, _landed_root(spark, sf_dir)).select(*RAW_SALES_SCHEMA.names)
+
+
+@query("file_name_columns")
+def q_file_name_columns(spark, sf_dir):
+    return read_landed(spark, _landed_root(spark, sf_dir))
+
+
+@query("landing_manifest")
+def q_landing_manifest(spark, sf_dir):
+    return landing_manifest(spark, _landed_root(spark, sf_dir))
+
+
+def _expected(spark, sf_dir) -> DataFrame:
+    departments = table(spark, sf_dir, "nation").select(
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("departement"))
+    lo, hi = table(spark, sf_dir, "orders").agg(
+        F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return expected_grid(departments, [str(y) for y in range(lo, hi + 1)])
+
+
+@query("missing_partitions")
+def q_missing_partitions(spark, sf_dir):
+    manifest = landing_manifest(spark, _landed_root(spark, sf_dir))
+    return missing_partitions(_expected(spark, sf_dir), manifest)
+
+
+@query("manifest_summary")
+def q_manifest_summary(spark, sf_dir):
+    manifest = landing_manifest(spark, _landed_root(spark, sf_dir))
+    return manifest_summary(manifest, missing_partitions(_expected(spark, sf_dir), manifest))
+
+
+@query("dataset_metadata")
+def q_dataset_metadata(spark, sf_dir):
+    return dataset_metadata(read_landed(spark, _landed_root(spark, sf_dir)), with_time=False)
+
+
+@query("sink_parquet")
+def q_sink_parquet(spark, sf_dir):
+    path = scratch_path(spark, "clean-parquet")
+    write(clean_sales(raw_sales(spark, sf_dir)), path, format="parquet")
+    return spark.read.parquet(path)
+
+
+@query("sink_append")
+def q_sink_append(spark, sf_dir):
+    path = scratch_path(spark, "typed-append")
+    typed = _typed(spark, sf_dir)
+    write(typed, path, format="parquet", mode="overwrite")
+    write(typed, path, format="parquet", mode="append")
+    return spark.read.parquet(path)
+
+
+@query("sink_dated")
+def q_sink_dated(spark, sf_dir):
+    path = scratch_path(spark, "dated")
+    write_dated(building_sales(prepare_buildings(_typed(spark, sf_dir))), path)
+    today = spark.range(1).select(F.date_format(F.current_date(), "yyyyMMdd")).first()[0]
+    return (spark.read.parquet(path)
+            .filter(F.col(EXTRACT_DATE).cast("string") == today).drop(EXTRACT_DATE))
+
+
+@query("sink_csv_nested")
+def q_sink_csv_nested(spark, sf_dir):
+    path = scratch_path(spark, "land-csv")
+    land = land_sales(prepare_land(_typed(spark, sf_dir)))
+    write_csv(land, path)
+    return read(spark, path, "csv", options=RAW_TEXT_OPTIONS,
+                schema=nested_as_json(land).schema)
+
+
+@query("sink_json")
+def q_sink_json(spark, sf_dir):
+    path = scratch_path(spark, "clean-json")
+    write_json(clean_sales(raw_sales(spark, sf_dir)), path)
+    return read(spark, path, "json", schema=CLEAN_SCHEMA)
+
+
+def _jdbc_loaded(spark, sf_dir):
+    target = derby_memory(f"parcelle_{uuid.uuid4().hex[:10]}")
+    points = sale_points(serving_sales(clean_sales(raw_sales(spark, sf_dir))))
+    write_table(points, target, column_types=string_column_types(points))
+    return target
+
+
+@query("jdbc_roundtrip")
+def q_jdbc_roundtrip(spark, sf_dir):
+    target = _jdbc_loaded(spark, sf_dir)
+    return read_table(spark, target, partition_column="sale_price", num_partitions=4)
+
+
+@query("jdbc_filter")
+def q_jdbc_filter(spark, sf_dir):
+    target = _jdbc_loaded(spark, sf_dir)
+    return read_table(spark, target, where=F.col("property_type") == F.lit(LAND_TYPE_LABEL))
+
+
+# -- paged area records -------------------------------------------------------
+
+PAGE_SIZE_FIXTURE = 10
+
+
+def _pages(spark, sf_dir):
+    records = area_records(spark, sf_dir)
+    root = scratch_path(spark, "pages")
+    write_pages(records, root, PAGE_SIZE_FIXTURE,
+                F.floor(F.col("_key") / PAGE_SIZE_FIXTURE))
+    schema = T.StructType([
+        T.StructField("total_count", T.LongType()),
+        T.StructField("results", T.ArrayType(records.schema["record"].dataType)),
+    ])
+    return read_pages(spark, root, schema=schema)
+
+
+@query("json_pages")
+def q_json_pages(spark, sf_dir):
+    return flatten(page_records(_pages(spark, sf_dir)))
+
+
+@query("json_pages_complete")
+def q_json_pages_complete(spark, sf_dir):
+    return pages_complete(_pages(spark, sf_dir))
+
+
+@query("flatten_json")
+def q_flatten_json(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "props")
+    return flatten(parse_json_column(events, "props"))
+
+
+@query("region_equals")
+def q_region_equals(spark, sf_dir):
+    return flatten(page_records(_pages(spark, sf_dir))).filter(F.col("reg_name") == "EUROPE")
+
+
+# -- area polygons ------------------------------------------------------------
+
+def _code() -> F.Column:
+    return F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
+
+
+def _layer(spark, sf_dir, column: str, code: F.Column):
+    root = scratch_path(spark, "layer")
+    land_layer(polygon_layer(spark, sf_dir, column, code), root)
+    return read_geojson(spark, root)
+
+
+@query("scan_geojson")
+def q_scan_geojson(spark, sf_dir):
+    return flatten(_layer(spark, sf_dir, "CODE_DEP", _code()))
+
+
+@query("region_filter")
+def q_region_filter(spark, sf_dir):
+    return flatten(region_filter(_layer(spark, sf_dir, "CODE_DEP", _code()), SCOPE_DEPARTMENTS))
+
+
+@query("region_filter_prefix")
+def q_region_filter_prefix(spark, sf_dir):
+    layer = _layer(spark, sf_dir, "DEPCOM", F.concat(_code(), F.lit("001")))
+    return flatten(region_filter(layer, SCOPE_DEPARTMENTS))
+
+
+@query("region_filter_all")
+def q_region_filter_all(spark, sf_dir):
+    layer = _layer(spark, sf_dir, "DEP", F.concat(F.lit("X"), _code()))
+    return flatten(region_filter(layer, SCOPE_DEPARTMENTS))
+
+
+@query("sink_geojson")
+def q_sink_geojson(spark, sf_dir):
+    kept = region_filter(_layer(spark, sf_dir, "CODE_DEP", _code()), SCOPE_DEPARTMENTS)
+    path = scratch_path(spark, "geojson-out")
+    write_geojson(kept, path)
+    return spark.read.text(path)
+
+
+@query("find_layer_file")
+def q_find_layer_file(spark, sf_dir):
+    root = scratch_path(spark, "tree")
+    land_layer(polygon_layer(spark, sf_dir, "CODE_DEP", _code()), f"{root}/layers")
+    land_files(raw_sales(spark, sf_dir), f"{root}/sales")
+    return find_layer_file(spark, root, [".txt"])
+
+
+# -- job ----------------------------------------------------------------------
+
+@query("job_report")
+def q_job_report(spark, sf_dir):
+    job = SalesJob(spark, source=_landed_root(spark, sf_dir),
+                   output=scratch_path(spark, "job-clean"),
+                   jdbc=derby_memory(f"parcelle_{uuid.uuid4().hex[:10]}"))
+    return report_frame(spark, run_job(job))

@@ -1,76 +1,67 @@
-"""Per-sale aggregations: several raw lines of one sale become one row.
-
-Both aggregations use only algebraic aggregates (sum, max, count), so Spark
-combines them map-side before the shuffle: a sale holding a third of all
-lines is reduced to one partial row per input partition first, and the
-shuffle never carries the hot group's lines.
-
-The land-use list (``natures_culture``) is the one holistic aggregate. It is
-built in two levels: lines are first counted per (sale, land use) — also
-map-side combined — and only the short list of distinct (land use, count)
-pairs is collected per sale. The full list, duplicates kept and sorted, is
-expanded from those pairs in the final projection. No task ever buffers the
-raw lines of a hot sale.
+"""Per-sale aggregation: several raw lines of one sale become one row.
+
+Buildings group by the sale plus its property type and rooms (one sale can
+give several building rows, each with the full price); land groups by the
+sale alone and lists its land uses. Both kinds go through one aggregation
+over one read of the lines: a land line has a NULL type and NULL rooms, so
+the building key reduces to the land key for it.
+
+Only algebraic aggregates (sum, max, count) cross the shuffle, so Spark
+combines them map-side: a sale holding a third of all lines is reduced to
+one partial row per input partition before anything moves.
+
+The land-use list is the one holistic aggregate. It is built in two levels:
+lines are first counted per (sale, land use) — also map-side combined — and
+only the short list of distinct (land use, count) pairs is collected per
+sale. The full list (duplicates kept, NULLs skipped, sorted) is expanded
+from those pairs in the final projection; no task buffers the raw lines of
+a hot sale.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.typing import ratio
-from parcelle.schema import BUILDING_KEYS, LAND_KEYS, LAND_TYPE_LABEL
+from parcelle.schema import BUILDING_KEYS, CLEAN_COLUMNS, LAND_KEYS, LAND_TYPE_LABEL
 
+SALE_KEYS = BUILDING_KEYS  # land lines carry NULL type and rooms
 
-def building_sales(buildings: DataFrame) -> DataFrame:
-    """One row per (sale, type, rooms, ...) group of prepared building lines.
 
-    ``surface_reelle_bati`` carries the summed built surface so the serving
-    table's living area is filled; ``prix_m2`` is recomputed on that sum.
-    """
-    return (
-        buildings.groupBy(*BUILDING_KEYS)
-        .agg(
-            F.sum("surface_reelle_bati").alias("surface_totale_bati"),
-            F.max("surface_terrain").alias("surface_terrain"),
-            F.avg("longitude").alias("longitude"),
-            F.avg("latitude").alias("latitude"),
+def expand_counts(pairs: str = "_natures") -> Column:
+    """Sorted list with duplicates from an array of (value, n) structs."""
+    return F.flatten(
+        F.transform(
+            F.array_sort(F.col(pairs)),
+            lambda p: F.array_repeat(p["value"], p["n"].cast("int")),
         )
-        .withColumns({
-            "prix_m2": ratio("valeur_fonciere", "surface_totale_bati"),
-            "surface_reelle_bati": F.col("surface_totale_bati"),
-        })
     )
 
 
-def _nature_counts(land: DataFrame) -> DataFrame:
-    """Level 1: partial sums per (sale, land use)."""
-    return land.groupBy(*LAND_KEYS, "nature_culture").agg(
-        F.sum("surface_terrain").alias("_surface"),
+def _per_sale(lines: DataFrame, natures: bool) -> DataFrame:
+    if not natures:
+        return lines.groupBy(*SALE_KEYS).agg(
+            F.sum("surface_reelle_bati").alias("_bati"),
+            F.max("surface_terrain").alias("_terrain_max"),
+            F.sum("surface_terrain").alias("_terrain_sum"),
+            F.avg("longitude").alias("longitude"),
+            F.avg("latitude").alias("latitude"),
+        ).withColumn("_natures", F.lit(None).cast("array<struct<value:string,n:bigint>>"))
+    level1 = lines.groupBy(*SALE_KEYS, "nature_culture").agg(
+        F.sum("surface_reelle_bati").alias("_bati"),
+        F.max("surface_terrain").alias("_terrain_max"),
+        F.sum("surface_terrain").alias("_terrain_sum"),
         F.sum("longitude").alias("_lon_sum"),
         F.count("longitude").alias("_lon_n"),
         F.sum("latitude").alias("_lat_sum"),
         F.count("latitude").alias("_lat_n"),
         F.count(F.lit(1)).alias("_lines"),
     )
-
-
-def expand_counts(pairs: str = "_natures") -> F.Column:
-    """Sorted list with duplicates from an array of (value, count) structs."""
-    return F.flatten(
-        F.transform(
-            F.array_sort(F.col(pairs)),
-            lambda p: F.array_repeat(p["value"], p["n"].cast("int")),
-        )
-    )
-
-
-def land_sales(land: DataFrame) -> DataFrame:
-    """One row per land sale: summed land surface, sorted land-use list
-    (NULL uses skipped, duplicates kept), average coordinates, recomputed
-    price per m2 and the constant type ``terrain``."""
-    per_sale = _nature_counts(land).groupBy(*LAND_KEYS).agg(
-        F.sum("_surface").alias("surface_totale_terrain"),
+    return level1.groupBy(*SALE_KEYS).agg(
+        F.sum("_bati").alias("_bati"),
+        F.max("_terrain_max").alias("_terrain_max"),
+        F.sum("_terrain_sum").alias("_terrain_sum"),
         F.try_divide(F.sum("_lon_sum"), F.sum("_lon_n")).alias("longitude"),
         F.try_divide(F.sum("_lat_sum"), F.sum("_lat_n")).alias("latitude"),
         F.collect_list(
@@ -80,10 +71,47 @@ def land_sales(land: DataFrame) -> DataFrame:
             )
         ).alias("_natures"),
     )
-    return per_sale.withColumns({
-        "natures_culture": expand_counts("_natures"),
-        "prix_m2": ratio("valeur_fonciere", "surface_totale_terrain"),
-        "type_local": F.lit(LAND_TYPE_LABEL),
-        "surface_reelle_bati": F.lit(None).cast("double"),
-        "surface_terrain": F.col("surface_totale_terrain"),
-    }).drop("_natures")
+
+
+def aggregate_sales(lines: DataFrame, natures: bool = True) -> DataFrame:
+    """Cleansed sales (canonical 16 columns) from ``sale_lines`` output.
+
+    Buildings: summed built surface (also as ``surface_reelle_bati``), the
+    largest land surface, price per m2 on the summed surface. Land: summed
+    land surface (also as ``surface_terrain``), land-use list, type
+    ``terrain``, price per m2 on the summed land. Coordinates are averaged.
+    ``natures=False`` (building lines only) skips the list level.
+    """
+    land = F.col("type_local").isNull()
+    per_sale = _per_sale(lines, natures)
+    out = per_sale.withColumns({
+        "type_local": F.coalesce(F.col("type_local"), F.lit(LAND_TYPE_LABEL)),
+        "surface_totale_bati": F.when(~land, F.col("_bati")),
+        "surface_reelle_bati": F.when(~land, F.col("_bati")),
+        "surface_terrain": F.when(land, F.col("_terrain_sum")).otherwise(F.col("_terrain_max")),
+        "surface_totale_terrain": F.when(land, F.col("_terrain_sum")),
+        "natures_culture": F.when(land, expand_counts("_natures")),
+        "prix_m2": ratio("valeur_fonciere",
+                         F.when(land, F.col("_terrain_sum")).otherwise(F.col("_bati"))),
+    })
+    return out.select(*CLEAN_COLUMNS)
+
+
+BUILDING_SALE_COLUMNS = BUILDING_KEYS + [
+    "surface_totale_bati", "surface_terrain", "longitude", "latitude", "prix_m2",
+    "surface_reelle_bati",
+]
+LAND_SALE_COLUMNS = LAND_KEYS + [
+    "surface_totale_terrain", "longitude", "latitude", "natures_culture", "prix_m2",
+    "type_local", "surface_reelle_bati", "surface_terrain",
+]
+
+
+def building_sales(lines: DataFrame) -> DataFrame:
+    """Aggregated building sales from building ``sale_lines``."""
+    return aggregate_sales(lines, natures=False).select(*BUILDING_SALE_COLUMNS)
+
+
+def land_sales(lines: DataFrame) -> DataFrame:
+    """Aggregated land sales from land ``sale_lines``."""
+    return aggregate_sales(lines, natures=True).select(*LAND_SALE_COLUMNS)

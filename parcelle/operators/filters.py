@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.typing import normalise_text, ratio
-from parcelle.schema import BUILDING_PRICE_M2_BOUNDS, LAND_PRICE_M2_BOUNDS
+from parcelle.schema import BUILDING_PRICE_M2_BOUNDS, LAND_KEYS, LAND_PRICE_M2_BOUNDS
 
 
 def is_building() -> Column:
@@ -44,33 +44,58 @@ def within(c: Column | str, bounds: tuple[float, float]) -> Column:
     return col.between(bounds[0], bounds[1])
 
 
-def prepare_buildings(typed: DataFrame) -> DataFrame:
-    """Building lines that carry a price and a built surface, with the type
-    normalised and a per-line price per m2 inside the building bounds.
+def building_line_ok() -> Column:
+    """A building line with price and built surface whose per-line price per
+    m2 (whole sale price over this line's surface) is inside the bounds.
+    The test is per raw line, before lines are summed: it decides which
+    lines count."""
+    return (is_building() & all_present("valeur_fonciere", "surface_reelle_bati")
+            & within(ratio("valeur_fonciere", "surface_reelle_bati"), BUILDING_PRICE_M2_BOUNDS))
 
-    The bounds test is per raw line (whole sale price over one line's
-    surface), before lines are summed; this decides which lines count.
-    """
-    return (
-        require(split_buildings(typed), "valeur_fonciere", "surface_reelle_bati")
-        .withColumns({
-            "type_local": normalise_text("type_local"),
-            "prix_m2": ratio("valeur_fonciere", "surface_reelle_bati"),
-        })
-        .filter(within("prix_m2", BUILDING_PRICE_M2_BOUNDS))
-    )
+
+def land_line_ok() -> Column:
+    """A land line with price and land surface, price per m2 in bounds."""
+    return (~is_building() & all_present("valeur_fonciere", "surface_terrain")
+            & within(ratio("valeur_fonciere", "surface_terrain"), LAND_PRICE_M2_BOUNDS))
+
+
+def prepare_buildings(typed: DataFrame) -> DataFrame:
+    """Kept building lines, type normalised, with their price per m2."""
+    return typed.filter(building_line_ok()).withColumns({
+        "type_local": normalise_text("type_local"),
+        "prix_m2": ratio("valeur_fonciere", "surface_reelle_bati"),
+    })
 
 
 def prepare_land(typed: DataFrame) -> DataFrame:
-    """Land lines with a price and a land surface, land use normalised, and a
-    per-line price per m2 inside the land bounds."""
-    return (
-        require(split_land(typed), "valeur_fonciere", "surface_terrain")
-        .withColumns({
-            "nature_culture": normalise_text("nature_culture"),
-            "prix_m2_terrain": ratio("valeur_fonciere", "surface_terrain"),
-        })
-        .filter(within("prix_m2_terrain", LAND_PRICE_M2_BOUNDS))
+    """Kept land lines, land use normalised, with their price per m2."""
+    return typed.filter(land_line_ok()).withColumns({
+        "nature_culture": normalise_text("nature_culture"),
+        "prix_m2_terrain": ratio("valeur_fonciere", "surface_terrain"),
+    })
+
+
+def sale_lines(typed: DataFrame, buildings: bool = True, land: bool = True) -> DataFrame:
+    """Kept lines of the chosen kinds in one pass, on a common shape:
+
+    ``type_local`` normalised (NULL marks land), rooms only for buildings,
+    ``nature_culture`` normalised only for land, built surface only for
+    buildings. One filter and one projection over a single read of the
+    source, whatever the kinds.
+    """
+    conds = ([building_line_ok()] if buildings else []) + ([land_line_ok()] if land else [])
+    if not conds:
+        raise ValueError("choose buildings, land or both")
+    b = is_building()
+    return typed.filter(reduce(lambda x, y: x | y, conds)).select(
+        *LAND_KEYS,
+        normalise_text("type_local").alias("type_local"),
+        F.when(b, F.col("nombre_pieces_principales")).alias("nombre_pieces_principales"),
+        F.when(~b, normalise_text("nature_culture")).alias("nature_culture"),
+        F.when(b, F.col("surface_reelle_bati")).alias("surface_reelle_bati"),
+        "surface_terrain",
+        "longitude",
+        "latitude",
     )
 
 

@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a row-count check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) broadcast without asking the optimiser.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` provably has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded job). Past the
+    bound the frame is returned unhinted and Spark's own size estimate
+    (``spark.sql.autoBroadcastJoinThreshold``, AQE at run time) picks the
+    join, falling back to a shuffle join.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

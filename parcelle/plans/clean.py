@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.typing import ewkt_point, type_sales
-from parcelle.operators.aggregate import building_sales, land_sales
+from parcelle.operators.aggregate import aggregate_sales
 from parcelle.operators.conform import conform_columns
-from parcelle.operators.filters import prepare_buildings, prepare_land
-from parcelle.schema import CLEAN_COLUMNS, RAW_SALES_SCHEMA, SERVING_COLUMNS
+from parcelle.operators.filters import sale_lines
+from parcelle.schema import RAW_SALES_SCHEMA, SERVING_COLUMNS
 
 
 def typed_sales(raw: DataFrame) -> DataFrame:
@@ -19,16 +19,14 @@ def typed_sales(raw: DataFrame) -> DataFrame:
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:
-    """Cleansed sales: aggregated buildings and aggregated land, united by
-    column name (each side's absent columns become NULL), canonical order.
+    """Cleansed sales: aggregated buildings and aggregated land in one table
+    (columns a kind lacks are NULL), canonical order.
 
-    Both branches filter one source; their type predicates reach the scan.
-    Each branch shuffles only its own, map-side combined, rows.
+    One read of the source feeds both kinds: a single filter and a single
+    two-level aggregation, instead of two branches each re-reading (and,
+    over the driver tables, re-joining) the raw lines.
     """
-    typed = typed_sales(raw)
-    buildings = building_sales(prepare_buildings(typed))
-    land = land_sales(prepare_land(typed))
-    return buildings.unionByName(land, allowMissingColumns=True).select(*CLEAN_COLUMNS)
+    return aggregate_sales(sale_lines(typed_sales(raw)))
 
 
 def serving_sales(clean: DataFrame) -> DataFrame:

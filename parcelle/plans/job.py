@@ -18,7 +18,7 @@ from parcelle.plans.clean import clean_sales, sale_points, serving_sales
 from parcelle.schema import SERVING_TABLE
 from parcelle.sinks.files import write
 from parcelle.sources.files import read_sales
-from parcelle.sources.jdbc import JdbcTarget, string_column_types, write_table
+from parcelle.sources.jdbc import JdbcTarget, write_table
 
 
 class EtlJobError(Exception):
@@ -33,6 +33,7 @@ class SalesJob:
     jdbc: JdbcTarget | None = None   # serving database, optional
     table: str = SERVING_TABLE
     name: str = "SalesJob"
+    column_types: str | None = None  # e.g. string_column_types(...) for VARCHAR text
     metrics: dict = field(default_factory=dict)
 
     def extract(self) -> DataFrame:
@@ -52,8 +53,7 @@ class SalesJob:
         if self.jdbc is not None:
             written = self.spark.read.parquet(self.output)
             serving = sale_points(serving_sales(written))
-            write_table(serving, self.jdbc, self.table,
-                        column_types=string_column_types(serving))
+            write_table(serving, self.jdbc, self.table, column_types=self.column_types)
 
 
 def run_job(job) -> dict:

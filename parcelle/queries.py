@@ -18,6 +18,7 @@ from parcelle.operators.filters import (
     prepare_buildings,
     prepare_land,
     required_fields,
+    sale_lines,
     split_buildings,
     split_land,
 )
@@ -131,17 +132,18 @@ def q_outliers_land(spark, sf_dir):
 
 @query("building_sales")
 def q_building_sales(spark, sf_dir):
-    return building_sales(prepare_buildings(_typed(spark, sf_dir)))
+    return building_sales(sale_lines(_typed(spark, sf_dir), land=False))
 
 
 @query("land_sales")
 def q_land_sales(spark, sf_dir):
-    return land_sales(prepare_land(_typed(spark, sf_dir)))
+    return land_sales(sale_lines(_typed(spark, sf_dir), buildings=False))
 
 
 @query("land_natures")
 def q_land_natures(spark, sf_dir):
-    return land_sales(prepare_land(_typed(spark, sf_dir))).select(*LAND_KEYS, "natures_culture")
+    return land_sales(sale_lines(_typed(spark, sf_dir), buildings=False)).select(
+        *LAND_KEYS, "natures_culture")
 
 
 @query("clean_sales")
@@ -257,7 +259,7 @@ def q_sink_append(spark, sf_dir):
 @query("sink_dated")
 def q_sink_dated(spark, sf_dir):
     path = scratch_path(spark, "dated")
-    write_dated(building_sales(prepare_buildings(_typed(spark, sf_dir))), path)
+    write_dated(building_sales(sale_lines(_typed(spark, sf_dir), land=False)), path)
     today = spark.range(1).select(F.date_format(F.current_date(), "yyyyMMdd")).first()[0]
     return (spark.read.parquet(path)
             .filter(F.col(EXTRACT_DATE).cast("string") == today).drop(EXTRACT_DATE))
@@ -266,7 +268,7 @@ def q_sink_dated(spark, sf_dir):
 @query("sink_csv_nested")
 def q_sink_csv_nested(spark, sf_dir):
     path = scratch_path(spark, "land-csv")
-    land = land_sales(prepare_land(_typed(spark, sf_dir)))
+    land = land_sales(sale_lines(_typed(spark, sf_dir), buildings=False))
     write_csv(land, path)
     return read(spark, path, "csv", options=RAW_TEXT_OPTIONS,
                 schema=nested_as_json(land).schema)

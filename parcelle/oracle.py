@@ -233,3 +233,5 @@ ORACLE.update({
            OR starts_with("DEPCOM", '35') OR starts_with("DEPCOM", '56')"""),
     "region_filter_all": with_(_layer("DEP", f"'X' || {CODE}"), body="SELECT * FROM layer"),
 })
+
+ORACLE["stream_clean_sales"] = with_(*SALES_CTES, body="SELECT * FROM clean")

@@ -49,6 +49,7 @@ from parcelle.sources.adapter import raw_sales, table
 from parcelle.sources.files import RAW_TEXT_OPTIONS, read
 from parcelle.sources.jdbc import derby_memory, read_table, string_column_types, write_table
 from parcelle.sources.json_records import page_records, pages_complete, read_geojson, read_pages
+from parcelle.streaming.landed import clean_new_files, read_cleaned
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -396,3 +397,13 @@ def q_job_report(spark, sf_dir):
                    output=scratch_path(spark, "job-clean"),
                    jdbc=derby_memory(f"parcelle_{uuid.uuid4().hex[:10]}"))
     return report_frame(spark, run_job(job))
+
+
+# -- incremental --------------------------------------------------------------
+
+@query("stream_clean_sales")
+def q_stream_clean_sales(spark, sf_dir):
+    root = _landed_root(spark, sf_dir)
+    out = scratch_path(spark, "stream-clean")
+    clean_new_files(spark, root, out, checkpoint=scratch_path(spark, "stream-ckpt"))
+    return read_cleaned(spark, out)

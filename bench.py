@@ -2,8 +2,9 @@
 print one JSON line with per-query seconds.
 
 Each query runs to completion through the no-op sink (the whole plan is
-executed, nothing is collected to the driver). One warm-up run of the
-flagship is excluded from the timings.
+executed, nothing is collected to the driver). One untimed pass over all
+queries warms the JVM (JIT, generated code, file cache); each query then
+runs $BENCH_REPEAT times (default 2) and the best time is reported.
 """
 
 from __future__ import annotations
@@ -40,12 +41,17 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
-    run(REGISTRY["clean_sales"](spark, sf_dir))  # warm-up (JIT, file cache)
+    for name in names:  # warm-up pass, untimed
+        run(REGISTRY[name](spark, sf_dir))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     times = {}
     for name in names:
-        t0 = time.perf_counter()
-        run(REGISTRY[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = float("inf")
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            run(REGISTRY[name](spark, sf_dir))
+            best = min(best, time.perf_counter() - t0)
+        times[name] = round(best, 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "headline_total",

@@ -28,13 +28,14 @@ def landed_name(raw: DataFrame, gzip: Column) -> Column:
 def land_files(raw: DataFrame, root: str, gzip: Column | None = None) -> None:
     """Write raw sale lines under ``root`` as per-(department, year) files.
 
-    ``gzip`` picks the rows whose file is compressed (default: none). No
-    repartition before the write: every task writes its own part of each
-    file, so a department-year holding a third of the rows is still written
-    by all tasks in parallel. Two passes (plain, gzip) keep every row.
+    ``gzip`` picks the rows whose file is compressed (default: none). The
+    rows are rebalanced by file name before the write (AQE ``rebalance``):
+    each file gets few, well-sized parts instead of one part per task, and
+    AQE splits the partition of a department-year holding a third of all
+    rows over several tasks. Two passes (plain, gzip) keep every row.
     """
     gz = gzip if gzip is not None else F.lit(False)
-    named = raw.withColumn("fichier", landed_name(raw, gz))
+    named = raw.withColumn("fichier", landed_name(raw, gz)).hint("rebalance", "fichier")
     opts = {"header": "true", "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false"}
     plain = named.filter(~F.coalesce(gz, F.lit(False)))

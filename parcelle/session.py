@@ -22,8 +22,12 @@ SCALE_CONF = {
 # lineitem and the whole plan streams through that one task; a lower
 # threshold keeps dimension-sized tables broadcast and gives the large joins
 # the shuffle-join plan a cluster would pick anyway, spread over all cores.
+#
+# AQE's 64 MB advisory partition size would merge every shuffle of the
+# sf0.1 data into one or two partitions; 16 MB keeps all cores busy.
 LOCAL_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(512 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(16 * 1024 * 1024),
 }
 
 

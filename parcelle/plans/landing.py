@@ -97,17 +97,20 @@ def manifest_summary(manifest: DataFrame, missing: DataFrame) -> DataFrame:
 
 
 def dataset_metadata(landed: DataFrame, source: str | None = None,
-                     with_time: bool = True) -> DataFrame:
-    """One-row description of a landed dataset: departments, years, files
-    (sorted lists; their size is bounded by the number of files, not rows),
-    record count and column list."""
-    columns = [c for c in landed.columns if c not in ("departement", "annee", "fichier")]
+                     with_time: bool = True, scope: dict | None = None) -> DataFrame:
+    """One-row description of a dataset: sorted lists of the departments,
+    years and files present (bounded by the number of files, not rows),
+    record count, column list, optional literal scope lists (e.g. regions)
+    and source. Works on records without file columns too."""
+    file_cols = [("departement", "departements"), ("annee", "annees"), ("fichier", "fichiers")]
+    present = [(c, alias) for c, alias in file_cols if c in landed.columns]
+    columns = [c for c in landed.columns if c not in {c for c, _ in file_cols}]
     out = landed.agg(
-        F.array_sort(F.collect_set("departement")).alias("departements"),
-        F.array_sort(F.collect_set("annee")).alias("annees"),
-        F.array_sort(F.collect_set("fichier")).alias("fichiers"),
+        *[F.array_sort(F.collect_set(c)).alias(alias) for c, alias in present],
         F.count(F.lit(1)).alias("nombre_enregistrements"),
     ).withColumn("colonnes", F.array(*[F.lit(c) for c in columns]))
+    for name, values in (scope or {}).items():
+        out = out.withColumn(name, F.array(*[F.lit(v) for v in values]))
     if source is not None:
         out = out.withColumn("source", F.lit(source))
     if with_time:

@@ -72,6 +72,8 @@ def test_jdbc_round_trip_and_pushed_filter(spark, sf_small):
     plan = land._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "property_type" in plan
     assert land.count() == points.filter("property_type = 'terrain'").count()
+    as_text = read_table(spark, target, where="property_type = 'terrain' AND rooms IS NULL")
+    assert as_text.count() == land.count()
     # overwrite truncates: same row count again, table kept
     write_table(points, target, column_types=string_column_types(points))
     assert read_table(spark, target).count() == points.count()

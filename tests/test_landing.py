@@ -57,3 +57,11 @@ def test_file_name_pattern(spark):
                                 ("/x/other.csv",)], "p string")
     names = [r[0] for r in df.select(landed_file_name(F.col("p"))).collect()]
     assert names == ["dvf_22_2019.csv", "dvf_2A_2020.csv.gz", ""]
+
+
+def test_metadata_of_records(spark):
+    recs = spark.createDataFrame([("a", 1), ("b", 2)], "reg_name string, n int")
+    meta = dataset_metadata(recs, source="api", scope={"regions": ["Bretagne"]}).first()
+    assert meta["nombre_enregistrements"] == 2
+    assert meta["colonnes"] == ["reg_name", "n"]
+    assert meta["regions"] == ["Bretagne"] and meta["source"] == "api"

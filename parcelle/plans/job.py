@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.plans.clean import clean_sales, sale_points, serving_sales
-from parcelle.schema import SERVING_TABLE
+from parcelle.schema import CLEAN_SCHEMA, SERVING_TABLE
 from parcelle.sinks.files import write
 from parcelle.sources.files import read_sales
 from parcelle.sources.jdbc import JdbcTarget, write_table
@@ -34,6 +34,8 @@ class SalesJob:
     table: str = SERVING_TABLE
     name: str = "SalesJob"
     column_types: str | None = None  # e.g. string_column_types(...) for VARCHAR text
+    partition_by: list[str] | None = None  # e.g. ["code_departement"]: readers prune
+    jdbc_partitions: int | None = None     # cap on concurrent database connections
     metrics: dict = field(default_factory=dict)
 
     def extract(self) -> DataFrame:
@@ -47,13 +49,16 @@ class SalesJob:
     def load(self, clean: DataFrame) -> None:
         out_obs = Observation("transformed")
         write(clean.observe(out_obs, F.count(F.lit(1)).alias("row_count_transformed")),
-              self.output, format="parquet")
+              self.output, format="parquet", partition_by=self.partition_by)
         self.metrics.update(out_obs.get)
         self.metrics.update(self._raw_obs.get if hasattr(self, "_raw_obs") else {})
         if self.jdbc is not None:
-            written = self.spark.read.parquet(self.output)
+            # Known schema: partition discovery would type an all-NULL
+            # partition column as void.
+            written = self.spark.read.schema(CLEAN_SCHEMA).parquet(self.output)
             serving = sale_points(serving_sales(written))
-            write_table(serving, self.jdbc, self.table, column_types=self.column_types)
+            write_table(serving, self.jdbc, self.table, column_types=self.column_types,
+                        num_partitions=self.jdbc_partitions)
 
 
 def run_job(job) -> dict:

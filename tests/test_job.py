@@ -29,7 +29,7 @@ def test_extract_reads_six_lines(spark, tmp_dir):
 def test_job_runs_and_loads_both_sinks(spark, tmp_dir):
     target = derby_memory(f"t{uuid.uuid4().hex[:8]}")
     job = SalesJob(spark, source=_landed_six(spark, f"{tmp_dir}/in"), output=f"{tmp_dir}/out",
-                   jdbc=target)
+                   jdbc=target, partition_by=["code_departement"], jdbc_partitions=2)
     report = run_job(job)
     assert report["status"] == "success"
     assert report["job_name"] == "SalesJob"

@@ -73,7 +73,8 @@ def _per_sale(lines: DataFrame, natures: bool) -> DataFrame:
     )
 
 
-def aggregate_sales(lines: DataFrame, natures: bool = True) -> DataFrame:
+def aggregate_sales(lines: DataFrame, natures: bool = True,
+                    natures_as: str = "list") -> DataFrame:
     """Cleansed sales (canonical 16 columns) from ``sale_lines`` output.
 
     Buildings: summed built surface (also as ``surface_reelle_bati``), the
@@ -81,7 +82,14 @@ def aggregate_sales(lines: DataFrame, natures: bool = True) -> DataFrame:
     land surface (also as ``surface_terrain``), land-use list, type
     ``terrain``, price per m2 on the summed land. Coordinates are averaged.
     ``natures=False`` (building lines only) skips the list level.
+
+    ``natures_as="counts"`` keeps the land uses as sorted (value, n) pairs
+    instead of the expanded list: the same information, bounded by the
+    number of distinct uses even for a sale with billions of lines.
     """
+    if natures_as not in ("list", "counts"):
+        raise ValueError("natures_as is 'list' or 'counts'")
+    listed = expand_counts("_natures") if natures_as == "list" else F.array_sort("_natures")
     land = F.col("type_local").isNull()
     per_sale = _per_sale(lines, natures)
     out = per_sale.withColumns({
@@ -90,7 +98,7 @@ def aggregate_sales(lines: DataFrame, natures: bool = True) -> DataFrame:
         "surface_reelle_bati": F.when(~land, F.col("_bati")),
         "surface_terrain": F.when(land, F.col("_terrain_sum")).otherwise(F.col("_terrain_max")),
         "surface_totale_terrain": F.when(land, F.col("_terrain_sum")),
-        "natures_culture": F.when(land, expand_counts("_natures")),
+        "natures_culture": F.when(land, listed),
         "prix_m2": ratio("valeur_fonciere",
                          F.when(land, F.col("_terrain_sum")).otherwise(F.col("_bati"))),
     })

@@ -18,15 +18,16 @@ def typed_sales(raw: DataFrame) -> DataFrame:
     return type_sales(conform_columns(raw, RAW_SALES_SCHEMA))
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
+def clean_sales(raw: DataFrame, natures_as: str = "list") -> DataFrame:
     """Cleansed sales: aggregated buildings and aggregated land in one table
     (columns a kind lacks are NULL), canonical order.
 
     One read of the source feeds both kinds: a single filter and a single
     two-level aggregation, instead of two branches each re-reading (and,
-    over the driver tables, re-joining) the raw lines.
+    over the driver tables, re-joining) the raw lines. ``natures_as`` picks
+    the land-use list (default) or its compact (value, n) form.
     """
-    return aggregate_sales(sale_lines(typed_sales(raw)))
+    return aggregate_sales(sale_lines(typed_sales(raw)), natures_as=natures_as)
 
 
 def serving_sales(clean: DataFrame) -> DataFrame:

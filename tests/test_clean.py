@@ -144,3 +144,10 @@ def test_serving_and_points(six):
 def test_points_need_both_coordinates(six):
     served = serving_sales(clean_sales(six))
     assert sale_points(served.drop("latitude")).columns == served.drop("latitude").columns
+
+
+def test_compact_land_uses(spark):
+    rows = [line("HOT", price="100000", bati=None, terrain="1000", type_=None,
+                 nature=("a" if i % 3 else "b")) for i in range(300)]
+    r = clean_sales(_raw(spark, rows), natures_as="counts").first()
+    assert [(p["value"], p["n"]) for p in r["natures_culture"]] == [("a", 200), ("b", 100)]

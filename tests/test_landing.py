@@ -65,3 +65,20 @@ def test_metadata_of_records(spark):
     assert meta["nombre_enregistrements"] == 2
     assert meta["colonnes"] == ["reg_name", "n"]
     assert meta["regions"] == ["Bretagne"] and meta["source"] == "api"
+
+
+def test_corrupt_gzip_is_listed_and_skipped(spark, sf_small, tmp_dir):
+    import os
+
+    raw = raw_sales(spark, sf_small).filter(F.col("code_departement") == "03")
+    land_files(raw, tmp_dir)
+    bad_dir = os.path.join(tmp_dir, "fichier=dvf_99_2001.csv.gz")
+    os.makedirs(bad_dir)
+    with open(os.path.join(bad_dir, "part-0.csv.gz"), "wb") as f:
+        f.write(b"not gzip at all")
+    manifest = {r["fichier"]: r for r in landing_manifest(spark, tmp_dir).collect()}
+    assert manifest["dvf_99_2001.csv.gz"]["decompressed"] is False
+    assert manifest["dvf_99_2001.csv.gz"]["format"] == "csv.gz"
+    from parcelle.sources.files import read_sales
+    tolerant = read_sales(spark, tmp_dir, options={"ignoreCorruptFiles": "true"})
+    assert tolerant.count() == raw.count()

@@ -25,15 +25,22 @@ def landed_name(raw: DataFrame, gzip: Column) -> Column:
     return F.when(gzip, F.concat(base, F.lit(".gz"))).otherwise(base)
 
 
-def land_files(raw: DataFrame, root: str, gzip: Column | None = None) -> None:
+def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
+               stage: str | None = None) -> None:
     """Write raw sale lines under ``root`` as per-(department, year) files.
 
     ``gzip`` picks the rows whose file is compressed (default: none). The
     rows are rebalanced by file name before the write (AQE ``rebalance``):
     each file gets few, well-sized parts instead of one part per task, and
     AQE splits the partition of a department-year holding a third of all
-    rows over several tasks. Two passes (plain, gzip) keep every row.
+    rows over several tasks. Two passes (plain, gzip) keep every row; with
+    ``stage`` (a folder in the shared checkpoint folder) the input is
+    written there once as Parquet and both passes read it, instead of each
+    recomputing the input's lineage.
     """
+    if stage is not None:
+        raw.write.mode("overwrite").parquet(stage)
+        raw = raw.sparkSession.read.parquet(stage)
     gz = gzip if gzip is not None else F.lit(False)
     named = raw.withColumn("fichier", landed_name(raw, gz)).hint("rebalance", "fichier")
     opts = {"header": "true", "ignoreLeadingWhiteSpace": "false",

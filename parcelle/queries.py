@@ -183,7 +183,8 @@ def _even_year() -> F.Column:
 
 def _landed_root(spark, sf_dir) -> str:
     root = scratch_path(spark, "landing")
-    land_files(raw_sales(spark, sf_dir), root, gzip=_even_year())
+    land_files(raw_sales(spark, sf_dir), root, gzip=_even_year(),
+               stage=scratch_path(spark, "landing-stage"))
     return root
 
 

@@ -11,6 +11,12 @@ from parcelle.schema import LANDED_FILE_PATTERN, RAW_SALES_SCHEMA
 
 CSV_DEFAULTS = {"header": "true"}
 
+
+def uri(bucket: str, path: str, scheme: str = "s3a") -> str:
+    """Object-store URI of ``path`` in ``bucket`` (any Hadoop scheme)."""
+    return f"{scheme}://{bucket}/{path.lstrip('/')}"
+
+
 # Text values keep their surrounding spaces: the cleaning step trims them.
 RAW_TEXT_OPTIONS = {
     "header": "true",

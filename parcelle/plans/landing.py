@@ -43,12 +43,15 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
         raw = raw.sparkSession.read.parquet(stage)
     gz = gzip if gzip is not None else F.lit(False)
     named = raw.withColumn("fichier", landed_name(raw, gz)).hint("rebalance", "fichier")
+    # Dynamic partition overwrite: a pass replaces only the files it writes
+    # (plain and gzip names differ), so re-running a failed landing never
+    # duplicates rows, and files landed earlier under root stay.
     opts = {"header": "true", "ignoreLeadingWhiteSpace": "false",
-            "ignoreTrailingWhiteSpace": "false"}
+            "ignoreTrailingWhiteSpace": "false", "partitionOverwriteMode": "dynamic"}
     plain = named.filter(~F.coalesce(gz, F.lit(False)))
     packed = named.filter(F.coalesce(gz, F.lit(False)))
     for part, extra in ((plain, {}), (packed, {"compression": "gzip"})):
-        (part.write.mode("append").options(**opts, **extra)
+        (part.write.mode("overwrite").options(**opts, **extra)
          .partitionBy("fichier").csv(root))
 
 

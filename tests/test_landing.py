@@ -82,3 +82,10 @@ def test_corrupt_gzip_is_listed_and_skipped(spark, sf_small, tmp_dir):
     from parcelle.sources.files import read_sales
     tolerant = read_sales(spark, tmp_dir, options={"ignoreCorruptFiles": "true"})
     assert tolerant.count() == raw.count()
+
+
+def test_landing_rerun_does_not_duplicate(spark, sf_small, tmp_dir):
+    raw = raw_sales(spark, sf_small).filter(F.col("code_departement") == "05")
+    land_files(raw, tmp_dir, gzip=_year() == "1996")
+    land_files(raw, tmp_dir, gzip=_year() == "1996")
+    assert read_landed(spark, tmp_dir).count() == raw.count()

@@ -26,14 +26,15 @@ def landed_name(raw: DataFrame, gzip: Column) -> Column:
 
 
 def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
-               stage: str | None = None) -> None:
+               stage: str | None = None, run: str = "1") -> None:
     """Write raw sale lines under ``root`` as per-(department, year) files.
 
     ``gzip`` picks the rows whose file is compressed (default: none). The
     rows are rebalanced by file name before the write (AQE ``rebalance``):
     each file gets few, well-sized parts instead of one part per task, and
     AQE splits the partition of a department-year holding a third of all
-    rows over several tasks. Two passes (plain, gzip) keep every row; with
+    rows over several tasks. ``run`` names the collection run. Two passes
+    (plain, gzip) keep every row; with
     ``stage`` (a folder in the shared checkpoint folder) the input is
     written there once as Parquet and both passes read it, instead of each
     recomputing the input's lineage.
@@ -43,16 +44,16 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
         raw = raw.sparkSession.read.parquet(stage)
     gz = gzip if gzip is not None else F.lit(False)
     named = raw.withColumn("fichier", landed_name(raw, gz)).hint("rebalance", "fichier")
-    # Dynamic partition overwrite: a pass replaces only the files it writes
-    # (plain and gzip names differ), so re-running a failed landing never
-    # duplicates rows, and files landed earlier under root stay.
+    # Each pass of a run overwrites its own folder ``run=<run>/<pass>``:
+    # re-running a failed landing replaces what that run wrote (never
+    # duplicates), and files of other runs under root stay.
     opts = {"header": "true", "ignoreLeadingWhiteSpace": "false",
-            "ignoreTrailingWhiteSpace": "false", "partitionOverwriteMode": "dynamic"}
+            "ignoreTrailingWhiteSpace": "false"}
     plain = named.filter(~F.coalesce(gz, F.lit(False)))
     packed = named.filter(F.coalesce(gz, F.lit(False)))
-    for part, extra in ((plain, {}), (packed, {"compression": "gzip"})):
+    for name, part, extra in (("plain", plain, {}), ("gz", packed, {"compression": "gzip"})):
         (part.write.mode("overwrite").options(**opts, **extra)
-         .partitionBy("fichier").csv(root))
+         .partitionBy("fichier").csv(f"{root.rstrip('/')}/run={run}/{name}"))
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:

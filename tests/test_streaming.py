@@ -17,10 +17,10 @@ def test_two_rounds_equal_batch(spark, sf_small, tmp_dir):
     raw = raw_sales(spark, sf_small)
     early = F.substring("date_mutation", 1, 4) < "1998"
     root, out, ckpt = f"{tmp_dir}/land", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
-    land_files(raw.filter(early), root)
+    land_files(raw.filter(early), root, run="1")
     clean_new_files(spark, root, out, ckpt)
     first = read_cleaned(spark, out).count()
-    land_files(raw.filter(~early), root, gzip=F.lit(True))
+    land_files(raw.filter(~early), root, gzip=F.lit(True), run="2")
     clean_new_files(spark, root, out, ckpt)
     clean_new_files(spark, root, out, ckpt)  # nothing new
     got = read_cleaned(spark, out)

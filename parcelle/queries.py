@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,12 +172,11 @@ def q_row_metrics(spark, sf_dir):
     return raw_n.unionByName(clean_n)
 
 
-
 # -- sources and sinks --------------------------------------------------------
 # Every query below writes its intermediate files under a fresh folder of the
 # shared checkpoint folder (spark.checkpoint.dir), then reads them back.
 
-def _even_year() -> F.Column:
+def _even_year() -> Column:
     return F.substring(F.col("date_mutation"), 1, 4).cast("int") % 2 == 0
 
 
@@ -342,11 +341,11 @@ def q_region_equals(spark, sf_dir):
 
 # -- area polygons ------------------------------------------------------------
 
-def _code() -> F.Column:
+def _code() -> Column:
     return F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
 
 
-def _layer(spark, sf_dir, column: str, code: F.Column):
+def _layer(spark, sf_dir, column: str, code: Column):
     root = scratch_path(spark, "layer")
     land_layer(polygon_layer(spark, sf_dir, column, code), root)
     return read_geojson(spark, root)

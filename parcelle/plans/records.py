@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelle.sinks.geojson import write_geojson
 from parcelle.sources.adapter import table
@@ -31,6 +32,14 @@ def area_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def records_in_region(records: DataFrame, region: str, column: str = "reg_name") -> DataFrame:
+    """Records of one region: equality on a text field, membership when the
+    field is an array of names."""
+    field = records.schema[column].dataType
+    c = F.col(f"`{column}`")
+    return records.filter(F.array_contains(c, region) if isinstance(field, T.ArrayType) else c == region)
+
+
 def write_pages(records: DataFrame, root: str, page_size: int, page_of: Column) -> None:
     """Land records as pages ``{total_count, results}``, one file per page.
 

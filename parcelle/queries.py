@@ -34,7 +34,13 @@ from parcelle.plans.landing import (
     missing_partitions,
     read_landed,
 )
-from parcelle.plans.records import area_records, land_layer, polygon_layer, write_pages
+from parcelle.plans.records import (
+    area_records,
+    land_layer,
+    polygon_layer,
+    records_in_region,
+    write_pages,
+)
 from parcelle.schema import (
     CLEAN_SCHEMA,
     LAND_KEYS,
@@ -336,7 +342,7 @@ def q_flatten_json(spark, sf_dir):
 
 @query("region_equals")
 def q_region_equals(spark, sf_dir):
-    return flatten(page_records(_pages(spark, sf_dir))).filter(F.col("reg_name") == "EUROPE")
+    return records_in_region(flatten(page_records(_pages(spark, sf_dir))), "EUROPE")
 
 
 # -- area polygons ------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelle.functions.nested import flatten, parse_json_column
 from parcelle.plans.areas import find_department_column, layer_file_path, region_filter
-from parcelle.plans.records import area_records, polygon_layer, write_pages
+from parcelle.plans.records import area_records, polygon_layer, records_in_region, write_pages
 from parcelle.sinks.geojson import write_geojson
 from parcelle.sources.json_records import page_records, pages_complete, read_geojson, read_pages
 
@@ -86,3 +86,10 @@ def test_find_layer_file(spark, tmp_dir):
     assert layer_file_path(spark, tmp_dir).endswith("a/z/IRIS.GPKG")
     with pytest.raises(FileNotFoundError):
         layer_file_path(spark, tmp_dir, [".gdb"])
+
+
+def test_region_equality_text_and_array(spark):
+    text = spark.createDataFrame([("Bretagne",), ("Normandie",)], "reg_name string")
+    assert records_in_region(text, "Bretagne").count() == 1
+    arr = spark.createDataFrame([(["Bretagne", "Pays"],), (["Normandie"],)], "reg_name array<string>")
+    assert records_in_region(arr, "Bretagne").count() == 1

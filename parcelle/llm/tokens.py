@@ -2,7 +2,7 @@
 
 The tokenizer's rules end every token at white space, so the ids of a text
 are the ids of its white-space separated words in turn. Each distinct word of
-a batch is encoded once. ``str.split`` also splits at the four separator
+a batch is encoded once, plain words by the tokenizer's merge model directly. ``str.split`` also splits at the four separator
 controls 1C-1F, which the tokenizer does not; texts that hold them are encoded
 whole.
 """
@@ -33,10 +33,39 @@ def _memory(path: str) -> dict[str, bytes]:
     return {}
 
 
-def _learn(tokenizer, known: dict[str, bytes], words: list[str]) -> None:
-    """Encode ``words`` (in groups, each word on its own) into ``known``."""
-    for at in range(0, len(words), 4096):
-        group = words[at:at + 4096]
+#: A word of Latin letters, with at most one stop or comma behind it: the
+#: tokenizer's normalisation only lower-cases it, and its split gives the
+#: letters and the mark.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+
+
+@lru_cache
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: bytes that print stand for themselves, the others
+    for the letters from U+0100 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def _learn(path: str, known: dict[str, bytes], words: list[str]) -> None:
+    """Encode ``words``, each on its own, into ``known``."""
+    tokenizer, rest = load_tokenizer(path), []
+    model, letters = tokenizer.model, _byte_letters()
+    for word in words:
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            rest.append(word)
+            continue
+        core, mark = plain[1].lower(), plain[2]
+        if core not in known:
+            form = core if core.isascii() else core.encode().decode("latin-1").translate(letters)
+            known[core] = np.array([t.id for t in model.tokenize(form)], dtype="<u4").tobytes()
+        if mark and mark not in known:
+            known[mark] = np.array([t.id for t in model.tokenize(mark)], dtype="<u4").tobytes()
+        known[word] = known[core] + known[mark] if mark else known[core]
+    for at in range(0, len(rest), 4096):
+        group = rest[at:at + 4096]
         found = tokenizer.encode(group, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, dtype="<u4")
         of = np.array(found.word_ids, dtype=np.int64)
@@ -60,5 +89,5 @@ def encode_texts(path: str, texts: list[str]) -> Iterator[bytes]:
         try:
             yield b"".join([known[w] for w in words])
         except KeyError:
-            _learn(tokenizer, known, list({w for w in words if w not in known}))
+            _learn(path, known, [w for w in dict.fromkeys(words) if w not in known])
             yield b"".join([known[w] for w in words])

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import exact_dedup, language_id, packing, quality, token_counts
+from parcelle.llm import exact_dedup, language_id, near_dedup, packing, quality, token_counts
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return near_dedup.near_dedup(docs).select("doc_id", "n_shingles", "component_id", "kept")

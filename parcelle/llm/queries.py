@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import exact_dedup, language_id, near_dedup, packing, quality, token_counts
+from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, quality, repeats, token_counts
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,54 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return near_dedup.near_dedup(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    items = read_table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items).drop("row")
+
+
+#: The similarity of every item-sized window that holds an item's shingle at
+#: the item's offset; no fingerprints.
+ORACLE_SQL["op1_decontamination"] = """
+WITH words AS (
+    SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+    UNION ALL
+    SELECT 'b', item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')
+    FROM benchmark),
+places AS (SELECT kind, id, w, len(w) AS n, unnest(range(0, len(w) - 4)) AS pos FROM words WHERE len(w) >= 5),
+shingles AS (
+    SELECT kind, id, n, pos, w[pos + 1] || ' ' || w[pos + 2] || ' ' || w[pos + 3] || ' ' || w[pos + 4] || ' ' || w[pos + 5] AS s
+    FROM places),
+windows AS (
+    SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n AS length, d.n AS doc_n,
+           greatest(0, least(d.pos - b.pos, d.n - b.n)) AS start
+    FROM shingles d JOIN shingles b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s),
+in_window AS (
+    SELECT v.doc_id, v.item_id, v.start, v.length, d.s, count(*) AS n_window
+    FROM windows v JOIN shingles d ON d.kind = 'd' AND d.id = v.doc_id
+        AND d.pos >= v.start AND d.pos < v.start + v.length - 4
+    GROUP BY ALL),
+in_item AS (SELECT id AS item_id, s, count(*) AS n_item FROM shingles WHERE kind = 'b' GROUP BY ALL),
+shared AS (
+    SELECT doc_id, item_id, start, length, sum(least(n_window, coalesce(n_item, 0))) AS shared, sum(n_window) AS n_window
+    FROM in_window LEFT JOIN in_item USING (item_id, s) GROUP BY ALL),
+scored AS (
+    SELECT doc_id, item_id, start, length, shared::DOUBLE / (n_window + n_item - shared)::DOUBLE AS similarity
+    FROM shared JOIN (SELECT item_id, sum(n_item) AS n_item FROM in_item GROUP BY ALL) USING (item_id))
+SELECT doc_id, item_id, start::INTEGER AS start, length::INTEGER AS n_words, similarity
+FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

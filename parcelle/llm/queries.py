@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, quality, repeats, token_counts
+from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, pii, quality, repeats, token_counts
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,13 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return repeats.remove_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read_table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, kind=i: s["kind"] == kind)).cast("long").alias(f"n_{name}")
+        for i, name in enumerate(pii.KINDS)
+    ]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))

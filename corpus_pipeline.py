@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import exact_dedup, language_id, packing
+from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
 from parcelle.llm.common import held_out, read_table, written
 from parcelle.llm.queries import tokenizer_file
 
@@ -19,10 +19,11 @@ from parcelle.llm.queries import tokenizer_file
 MIN_LANGUAGE_SCORE = 0.3
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose number is in ``kept`` (row)."""
+def _rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` whose number is in ``found`` (left_semi) or not
+    (left_anti)."""
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(kept.select(F.col("row").alias("__row")), "__row", "left_semi").drop("__row")
+    return numbered.join(found.select(F.col("row").alias("__row")).distinct(), "__row", how).drop("__row")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts."""
-    return _only(docs, exact_dedup.exact_dedup(docs).where("kept"))
+    return _rows(docs, exact_dedup.exact_dedup(docs).where("kept"), "left_semi")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies (five-word shingles,
+    similarity 0.8)."""
+    return _rows(docs, near_dedup.near_dedup(docs, words=5, percent=80, side=10).where("kept"), "left_semi")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents with a passage of the benchmark."""
+    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return _rows(docs, found, "left_anti")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +59,8 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("packing", pack_documents),
 ]
 

@@ -61,7 +61,7 @@ def _matches(rows: DataFrame, patterns: tuple, wide: bool) -> DataFrame:
     """(row, kind, wide, start, end, match, before, after) of each match."""
     found = []
     for kind, needs, pattern in patterns:
-        whole = f"(?s)(.*?)({pattern})(?=(.?))"
+        whole = rf"(?s)\G(.*?)({pattern})(?=(.?))"  # \G: one attempt after the last match
         part = lambda i, whole=whole: F.regexp_extract_all("text", F.lit(whole), F.lit(i))
         holds = F.col("text").contains(needs) if needs else F.col("text").rlike("[0-9@(]" if wide else "[0-9]")
         zipped = F.when(holds & F.col("text").rlike(pattern), F.arrays_zip(

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, pii, quality, repeats, token_counts
+from parcelle.llm import decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, repeats, token_counts
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,15 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, name in enumerate(pii.KINDS)
     ]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: the source is the top directory, then
+    directories of a thousand and of fifty neighbouring ids."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat_ws(
+        "/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 50).cast("string"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = licenses.scan_licenses(docs.select(path.alias("path"), "text"))
+    return found.withColumn("doc_id", F.regexp_extract("path", r"([0-9]+)\.txt$", 1).try_cast("long")).drop("row")

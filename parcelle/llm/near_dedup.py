@@ -9,13 +9,15 @@ table with probability 7e-5.
 
 Documents with equal shingle sets are one class; only classes are hashed.
 Candidates are verified on their full shingle sets. Buckets are never expanded
-into all pairs first: in each round every bucket elects one member, the others
-are verified against it, and the links found are joined into components. Only
-pairs of different components are of interest after that, so a large group of
-near copies collapses in a round or two. When what is left is small against
-the buckets, or no round helps any more, all remaining pairs between different
-components of a bucket are verified. So every pair that shares a table is
-either in one component already or verified: no candidate is dropped.
+into all pairs: in each of ``ROUNDS`` rounds every bucket elects one member of
+its largest component, the members of its other components are verified
+against it, and the links found are joined into components. A large group of
+near copies collapses in a round or two. For members of buckets that then
+still hold several components an exact join finds the rest: two sets of
+similarity t share one of their 1 - t rarest shingles, and the place of the
+first one that they share bounds how many can follow. So every pair that
+shares a table is in one component already, excluded by that bound, or
+verified: no candidate is dropped.
 
 Defined results: NULL or blank texts have no shingles and are linked with
 nothing; texts with fewer words than a shingle have one, the whole sequence;
@@ -35,16 +37,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from parcelle.llm.common import texts, written
 from parcelle.llm.components import components
 
 SIDE = 8
 ROWS = 2
-ROUNDS = 6
-#: All remaining pairs are verified when there are at most so many times the
-#: rows of the buckets.
-REST = 4
+ROUNDS = 2
 CHUNK_BYTES = 2_000_000
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
@@ -200,6 +200,34 @@ def _with_root(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rows.join(found, "row", "left").withColumn("root", F.coalesce("root", "row"))
 
 
+def _rare_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among ``rows`` (row, root) that
+    can reach the similarity: rarest shingles first, both sets' shingles in
+    one order, the first shared one is early enough in both."""
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row, root, data in zip(frame["row"], frame["root"], frame["shingles"], strict=True):
+                shingle = np.frombuffer(data, "<i8")
+                yield pd.DataFrame({"row": row, "root": root, "n": len(shingle), "shingle": shingle})
+
+    every = written(rows.join(sets, "row").mapInPandas(spread, "row long, root long, n long, shingle long"), "spread")
+    shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = every.join(shared, "shingle")
+    place = F.row_number().over(Window.partitionBy("row").orderBy("df", "shingle")) - 1
+    held = F.count(F.lit(1)).over(Window.partitionBy("row"))
+    # shingles that no other set holds come first
+    early = common.withColumn("place", place + F.col("n") - held).where(100 * F.col("place") <= (100 - percent) * F.col("n"))
+    early = written(early.select("row", "root", "n", "shingle", "place"), "early")
+    side = lambda x: early.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "root", "n", "place")])
+    reach = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))  # this one and all after it
+    return (
+        side("a").join(side("b"), "shingle")
+        .where((F.col("row_a") < F.col("row_b")) & (F.col("root_a") != F.col("root_b"))
+               & ((100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b"))))
+        .select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
+    )
+
+
 def similar_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: int, side: int, rows: int) -> DataFrame | None:
     """(node, root) of the components of similar classes, named by rows."""
     reps = sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("row")).select("row")
@@ -214,36 +242,27 @@ def similar_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: i
     members = written(sketches.select("row", "n", "mins").join(met, "row", "left_semi"), "members")
     sets = written(_full_sets(docs.join(members.select("row"), "row", "left_semi").select("row", "text"), words), "sets")
 
-    roots, links, total = None, None, buckets.count()
+    roots = None
     n_hash = 2 * side * rows
     mean = n_hash * percent / 100
     least_agree = int(mean - 5.2 * (mean * (1 - percent / 100)) ** 0.5)  # one pair in a million is below
     for turn in range(ROUNDS + 1):
         rooted = written(_with_root(buckets, roots), "rooted")
-        per_root = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-        open_ = per_root.groupBy("key").agg(
+        order = F.xxhash64("row", F.lit(turn)) if turn else F.col("row")
+        per_root = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.min_by("row", order).alias("first"))
+        open_ = written(per_root.groupBy("key").agg(
             F.count(F.lit(1)).alias("roots"),
-            ((F.pow(F.sum("c"), 2) - F.sum(F.pow("c", 2))) / 2).alias("rest")).where("roots > 1")
-        open_ = written(open_, "open_buckets")
-        rest = open_.agg(F.sum("rest")).first()[0]
-        if not rest:
-            break
-        last = turn == ROUNDS or turn > 0 and rest <= REST * total
-        rooted = rooted.join(open_.select("key"), "key", "left_semi")
-        if last:  # all pairs of different components
-            other = rooted.select("key", F.col("row").alias("b"), F.col("root").alias("root_b"))
-            pairs = rooted.join(other, "key").where((F.col("row") < F.col("b")) & (F.col("root") != F.col("root_b")))
-            pairs = pairs.select(F.col("row").alias("a"), "b")
-        else:  # one elected member of each bucket with the others
-            order = F.xxhash64("row", F.lit(turn)) if turn else F.col("row")
-            elected = rooted.groupBy("key").agg(F.min_by(F.struct("row", "root"), order).alias("e"))
-            pairs = rooted.join(elected, "key").where(F.col("root") != F.col("e.root")).select(
-                F.least("row", F.col("e.row")).alias("a"), F.greatest("row", F.col("e.row")).alias("b"))
-        found = written(_linked(pairs.distinct(), members, sets, percent, least_agree), "links")
+            F.max_by(F.struct("root", "first"), F.struct("c", -F.col("first"))).alias("e")).where("roots > 1"), "open_buckets")
+        rooted = rooted.join(open_.select("key", "e"), "key")
+        if turn == ROUNDS:
+            left = written(rooted.select("row", "root").distinct(), "left")
+            pairs = _rare_pairs(left, sets, percent)
+        else:  # one elected member of each bucket's largest component with the members of others
+            pairs = rooted.where(F.col("root") != F.col("e.root")).select(
+                F.least("row", F.col("e.first")).alias("a"), F.greatest("row", F.col("e.first")).alias("b")).distinct()
+        found = written(_linked(pairs, members, sets, percent, least_agree), "links")
         stars = found if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = written(components(stars), "roots")
-        if last:
-            break
     return roots
 
 

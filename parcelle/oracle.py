@@ -183,8 +183,22 @@ CODE = "lpad(CAST(n_nationkey AS VARCHAR), 2, '0')"
 ORACLE.update({
     "scan_csv": with_(RAW, body="SELECT * FROM raw_sales"),
     "scan_parquet": """
-        SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
-        FROM orders""",
+        SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders""",
+    "landing_manifest": with_(RAW, LANDED, body="""
+        SELECT DISTINCT departement, annee, fichier,
+               CASE WHEN fichier LIKE '%.gz' THEN 'csv.gz' ELSE 'csv' END AS format,
+               fichier NOT LIKE '%.gz' AS decompressed
+        FROM landed"""),
+    "landing_versions": with_(RAW, body="""
+        SELECT * REPLACE (CASE WHEN code_departement = '05' THEN nom_commune || ' 2' ELSE nom_commune END AS nom_commune)
+        FROM raw_sales"""),
+    "scan_csv_headers": with_(RAW, body="""
+        SELECT * REPLACE (
+            CASE WHEN CAST(code_departement AS INTEGER) % 2 = 1 THEN longitude END AS longitude,
+            CASE WHEN CAST(code_departement AS INTEGER) % 2 = 1 THEN latitude END AS latitude)
+        FROM raw_sales"""),
+    "scan_csv_defaults": """
+        SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_brand, CAST(p_size AS VARCHAR) AS p_size FROM part""",
     "scan_gz_partitions": with_(RAW, body="SELECT * FROM raw_sales"),
     "file_name_columns": with_(RAW, LANDED, body="SELECT * FROM landed"),
     "missing_partitions": with_(RAW, LANDED, MISSING, body="SELECT * FROM missing"),

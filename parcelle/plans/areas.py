@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from parcelle.schema import (
     DEPARTMENT_COLUMN_CANDIDATES,
@@ -44,7 +45,8 @@ def region_filter(layer: DataFrame, departments: list[str] = SCOPE_DEPARTMENTS,
 
     1. department code equal to one of ``departments`` (compared as text);
     2. if nothing matched, codes starting with one of them;
-    3. if still nothing, no department column, or the test fails: all rows.
+    3. if still nothing, no department column, or a column whose type cannot
+       be compared with text: all rows. A failing task is an error.
 
     The two match counts come from one aggregation pass (two numbers to the
     driver); the chosen predicate then runs as a plain pushed filter.
@@ -57,7 +59,7 @@ def region_filter(layer: DataFrame, departments: list[str] = SCOPE_DEPARTMENTS,
             F.count_if(exact_match(col, departments)),
             F.count_if(prefix_match(col, departments)),
         ).first()
-    except Exception:  # a column that cannot be compared: keep everything
+    except AnalysisException:  # a column that cannot be compared: keep everything
         return layer
     if exact:
         return layer.filter(exact_match(col, departments))

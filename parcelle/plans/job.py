@@ -36,11 +36,13 @@ class SalesJob:
     column_types: str | None = None  # e.g. string_column_types(...) for VARCHAR text
     partition_by: list[str] | None = None  # e.g. ["code_departement"]: readers prune
     jdbc_partitions: int | None = None     # cap on concurrent database connections
+    read_options: dict | None = None       # e.g. {"ignoreCorruptFiles": "true"}
+    rebalance: int | None = None           # partitions after reading few large .gz files
     metrics: dict = field(default_factory=dict)
 
     def extract(self) -> DataFrame:
         self._raw_obs = Observation("raw")
-        return read_sales(self.spark, self.source).observe(
+        return read_sales(self.spark, self.source, self.read_options, self.rebalance).observe(
             self._raw_obs, F.count(F.lit(1)).alias("row_count_raw"))
 
     def transform(self, raw: DataFrame) -> DataFrame:
@@ -70,9 +72,9 @@ def run_job(job) -> dict:
     try:
         metrics["extraction_start"] = time.time()
         raw = job.extract()
-        metrics["transformation_start"] = time.time()
+        metrics["extraction_end"] = metrics["transformation_start"] = time.time()
         clean = job.transform(raw)
-        metrics["loading_start"] = time.time()
+        metrics["transformation_end"] = metrics["loading_start"] = time.time()
         job.load(clean)
         metrics["loading_end"] = time.time()
         return {"status": "success", "metrics": metrics, "job_name": name}

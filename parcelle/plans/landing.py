@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.schema import LANDED_FILE_PATTERN, RAW_SALES_COLUMNS
-from parcelle.sources.files import list_files, read_sales, with_file_columns
+from parcelle.sources.files import _file_columns, current_files, scan_sales, with_file_columns
 
 
 def _year(raw: DataFrame) -> Column:
@@ -56,23 +56,23 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
          .partitionBy("fichier").csv(f"{root.rstrip('/')}/run={run}/{name}"))
 
 
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """All landed sale lines (plain and gzip together) with ``departement``,
-    ``annee`` and ``fichier`` from each row's file name."""
-    return with_file_columns(read_sales(spark, root)).select(
-        *RAW_SALES_COLUMNS, "departement", "annee", "fichier")
+def read_landed(spark: SparkSession, root: str, options: dict | None = None) -> DataFrame:
+    """All current landed sale lines (plain and gzip together) with
+    ``departement``, ``annee`` and ``fichier`` from each row's file name."""
+    lines = scan_sales(spark, current_files(spark, root), options)
+    return with_file_columns(lines).select(*RAW_SALES_COLUMNS, "departement", "annee", "fichier")
 
 
 def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """One row per landed file: department, year, name, size in bytes,
-    format and whether it is stored decompressed. Metadata-only listing (no
-    file is read)."""
-    files = list_files(spark, root).withColumn(
-        "fichier", F.regexp_extract("path", LANDED_FILE_PATTERN, 0)
-    ).filter(F.col("fichier") != "")
+    """One row per current landed file: department, year, name, size in
+    bytes, format and whether it is stored decompressed. A file whose name is
+    not of a department-year is listed with NULL department and year.
+    Metadata-only listing (no file is read)."""
+    files = current_files(spark, root)
+    part = lambda i: F.nullif(F.regexp_extract("fichier", LANDED_FILE_PATTERN, i), F.lit(""))
     return files.groupBy("fichier").agg(F.sum("length").alias("taille")).select(
-        F.regexp_extract("fichier", LANDED_FILE_PATTERN, 1).alias("departement"),
-        F.regexp_extract("fichier", LANDED_FILE_PATTERN, 2).alias("annee"),
+        part(1).alias("departement"),
+        part(2).alias("annee"),
         "fichier",
         "taille",
         F.when(F.col("fichier").endswith(".gz"), F.lit("csv.gz")).otherwise(F.lit("csv")).alias("format"),
@@ -80,6 +80,20 @@ def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def with_decompression_errors(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
+    """The manifest with ``decompression_error``: whether a compressed file
+    yields no line at all. Reads the compressed files; corrupt ones are
+    skipped by Spark."""
+    packed = [r["path"] for r in current_files(spark, root).where("fichier like '%.gz'").select("path").collect()]
+    if not packed:
+        return manifest.withColumn("decompression_error", F.lit(False))
+    name = _file_columns(F.url_decode(F.col("_metadata.file_path")))["fichier"]
+    read = spark.read.option("ignoreCorruptFiles", "true").text(packed).groupBy(name.alias("fichier")).agg(
+        F.count(F.lit(1)).alias("lines"))
+    return manifest.join(read, "fichier", "left").withColumn(
+        "decompression_error", F.col("lines").isNull() & ~F.col("decompressed")).drop("lines")
+
+
 def expected_grid(departments: DataFrame, years: list[str],
                   column: str = "departement") -> DataFrame:
     """Every (department, year) the collection should have landed; the
@@ -116,9 +130,11 @@ def dataset_metadata(landed: DataFrame, source: str | None = None,
     file_cols = [("departement", "departements"), ("annee", "annees"), ("fichier", "fichiers")]
     present = [(c, alias) for c, alias in file_cols if c in landed.columns]
     columns = [c for c in landed.columns if c not in {c for c, _ in file_cols}]
-    out = landed.agg(
+    per_file = landed.groupBy(*[c for c, _ in present]).agg(F.count(F.lit(1)).alias("n")) if present else landed.agg(
+        F.count(F.lit(1)).alias("n"))
+    out = per_file.agg(  # a row per file from here on
         *[F.array_sort(F.collect_set(c)).alias(alias) for c, alias in present],
-        F.count(F.lit(1)).alias("nombre_enregistrements"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("nombre_enregistrements"),
     ).withColumn("colonnes", F.array(*[F.lit(c) for c in columns]))
     for name, values in (scope or {}).items():
         out = out.withColumn(name, F.array(*[F.lit(v) for v in values]))

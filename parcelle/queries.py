@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +52,7 @@ from parcelle.session import scratch_path
 from parcelle.sinks.files import EXTRACT_DATE, nested_as_json, write, write_csv, write_dated, write_json
 from parcelle.sinks.geojson import write_geojson
 from parcelle.sources.adapter import raw_sales, table
-from parcelle.sources.files import RAW_TEXT_OPTIONS, read
+from parcelle.sources.files import RAW_TEXT_OPTIONS, read, read_sales
 from parcelle.sources.jdbc import derby_memory, read_table, string_column_types, write_table
 from parcelle.sources.json_records import page_records, pages_complete, read_geojson, read_pages
 from parcelle.streaming.landed import clean_new_files, read_cleaned
@@ -170,12 +170,11 @@ def q_sale_points(spark, sf_dir):
 
 @query("row_metrics")
 def q_row_metrics(spark, sf_dir):
-    raw = raw_sales(spark, sf_dir)
-    raw_n = raw.agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("row_count_raw").alias("metric"), "value")
-    clean_n = clean_sales(raw).agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("row_count_transformed").alias("metric"), "value")
-    return raw_n.unionByName(clean_n)
+    raw_seen, clean_seen = Observation("raw"), Observation("clean")
+    raw = raw_sales(spark, sf_dir).observe(raw_seen, F.count(F.lit(1)).alias("row_count_raw"))
+    clean = clean_sales(raw).observe(clean_seen, F.count(F.lit(1)).alias("row_count_transformed"))
+    write(clean, scratch_path(spark, "observed-clean"), format="parquet")
+    return spark.createDataFrame(list({**raw_seen.get, **clean_seen.get}.items()), "metric string, value long")
 
 
 # -- sources and sinks --------------------------------------------------------
@@ -203,8 +202,7 @@ def q_scan_csv(spark, sf_dir):
 @query("scan_parquet")
 def q_scan_parquet(spark, sf_dir):
     orders = read(spark, f"{sf_dir}/orders.parquet", "parquet")
-    return orders.select("o_orderkey", "o_custkey", "o_totalprice",
-                         F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 @query("scan_gz_partitions")
@@ -219,7 +217,37 @@ def q_file_name_columns(spark, sf_dir):
 
 @query("landing_manifest")
 def q_landing_manifest(spark, sf_dir):
-    return landing_manifest(spark, _landed_root(spark, sf_dir))
+    return landing_manifest(spark, _landed_root(spark, sf_dir)).drop("taille")
+
+
+@query("landing_versions")
+def q_landing_versions(spark, sf_dir):
+    """Two landing runs: the second replaces the files of one department by
+    compressed ones with other town names."""
+    root, raw = scratch_path(spark, "landing-versions"), raw_sales(spark, sf_dir)
+    land_files(raw, root, run="1")
+    again = raw.where("code_departement = '05'").withColumn("nom_commune", F.concat("nom_commune", F.lit(" 2")))
+    land_files(again, root, gzip=F.lit(True), run="2")
+    return read_sales(spark, root)
+
+
+@query("scan_csv_headers")
+def q_scan_csv_headers(spark, sf_dir):
+    """Landed files whose columns are in another order, with others between,
+    and lacking two in one of the files."""
+    root, raw = scratch_path(spark, "headers"), raw_sales(spark, sf_dir)
+    odd = F.col("code_departement").cast("int") % 2 == 1
+    shuffled = raw.where(odd).select(F.lit("x").alias("numero"), *reversed(raw.columns), F.lit("y").alias("adresse"))
+    write_csv(shuffled, f"{root}/dvf_01_2019.csv")
+    write_csv(raw.where(~odd).drop("longitude", "latitude"), f"{root}/dvf_02_2019.csv")
+    return read_sales(spark, root)
+
+
+@query("scan_csv_defaults")
+def q_scan_csv_defaults(spark, sf_dir):
+    path = scratch_path(spark, "default-csv")
+    write(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size"), path, format="csv", options={"header": "true"})
+    return read(spark, path).select(*[F.col(c).cast("string") for c in ("p_partkey", "p_brand", "p_size")])
 
 
 def _expected(spark, sf_dir) -> DataFrame:
@@ -266,8 +294,8 @@ def q_sink_append(spark, sf_dir):
 @query("sink_dated")
 def q_sink_dated(spark, sf_dir):
     path = scratch_path(spark, "dated")
-    write_dated(building_sales(sale_lines(_typed(spark, sf_dir), land=False)), path)
     today = spark.range(1).select(F.date_format(F.current_date(), "yyyyMMdd")).first()[0]
+    write_dated(building_sales(sale_lines(_typed(spark, sf_dir), land=False)), path, date=today)
     return (spark.read.parquet(path)
             .filter(F.col(EXTRACT_DATE).cast("string") == today).drop(EXTRACT_DATE))
 
@@ -384,7 +412,7 @@ def q_sink_geojson(spark, sf_dir):
     kept = region_filter(_layer(spark, sf_dir, "CODE_DEP", _code()), SCOPE_DEPARTMENTS)
     path = scratch_path(spark, "geojson-out")
     write_geojson(kept, path)
-    return spark.read.text(path)
+    return flatten(read_geojson(spark, path))
 
 
 @query("find_layer_file")
@@ -400,9 +428,8 @@ def q_find_layer_file(spark, sf_dir):
 @query("job_report")
 def q_job_report(spark, sf_dir):
     job = SalesJob(spark, source=_landed_root(spark, sf_dir),
-                   output=scratch_path(spark, "job-clean"),
-                   jdbc=derby_memory(f"parcelle_{uuid.uuid4().hex[:10]}"))
-    return report_frame(spark, run_job(job))
+                   output=scratch_path(spark, "job-clean"))
+    return report_frame(spark, run_job(job)).drop("seconds")
 
 
 # -- incremental --------------------------------------------------------------

@@ -40,7 +40,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for key, value in {**SCALE_CONF, **LOCAL_CONF}.items():
         builder = builder.config(key, value)

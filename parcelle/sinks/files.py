@@ -20,20 +20,23 @@ def write(df: DataFrame, path: str, format: str = "parquet", mode: str = "overwr
     w.save(path)
 
 
-def with_extract_date(df: DataFrame, column: str = EXTRACT_DATE) -> DataFrame:
-    return df.withColumn(column, F.date_format(F.current_date(), "yyyyMMdd"))
+def with_extract_date(df: DataFrame, column: str = EXTRACT_DATE, date: str | None = None) -> DataFrame:
+    stamp = F.lit(date) if date else F.date_format(F.current_date(), "yyyyMMdd")
+    return df.withColumn(column, stamp)
 
 
 def write_dated(df: DataFrame, path: str, format: str = "parquet",
-                options: dict | None = None, column: str = EXTRACT_DATE) -> None:
-    """Write under a ``extract_date=yyyyMMdd`` partition of ``path``.
+                options: dict | None = None, column: str = EXTRACT_DATE,
+                date: str | None = None) -> None:
+    """Write under a ``extract_date=yyyyMMdd`` partition of ``path``; the
+    ``date`` of the extraction, or else today.
 
     Dynamic partition overwrite replaces only today's partition, so earlier
     extractions stay, and readers prune by date.
     """
     opts = {"partitionOverwriteMode": "dynamic"}
     opts.update(options or {})
-    write(with_extract_date(df, column), path, format=format, mode="overwrite",
+    write(with_extract_date(df, column, date), path, format=format, mode="overwrite",
           options=opts, partition_by=[column])
 
 
@@ -41,7 +44,7 @@ def nested_as_json(df: DataFrame) -> DataFrame:
     """Arrays, structs and maps become JSON text (CSV holds only scalars)."""
     nested = (T.ArrayType, T.StructType, T.MapType)
     return df.withColumns({
-        f.name: F.to_json(F.col(f.name))
+        f.name: F.to_json(F.col("`" + f.name.replace("`", "``") + "`"))
         for f in df.schema.fields if isinstance(f.dataType, nested)
     })
 

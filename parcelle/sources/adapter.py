@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.operators.joins import broadcast_if_small
 from parcelle.schema import RAW_SALES_COLUMNS
 
 TABLES = [
@@ -37,11 +36,11 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     Join order for scale: orders (4x smaller than lineitem) meets customer
     and the nation table first, then the line items join that on the order
     key, then part. Only the columns used are read (pruned at the Parquet
-    scan). Nation is broadcast after a row-count check; the other joins are
-    left to Spark's size estimate, i.e. shuffle joins on their keys at
-    scale, where AQE splits skewed key partitions.
+    scan). All joins are left to Spark's size estimate: nation is broadcast,
+    the others are shuffle joins on their keys at scale, where AQE splits
+    skewed key partitions.
     """
-    nation = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"

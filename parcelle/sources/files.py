@@ -3,18 +3,20 @@ an explicit schema, and year / department taken from landed file names."""
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from parcelle.operators.conform import conform_columns
 from parcelle.schema import LANDED_FILE_PATTERN, RAW_SALES_SCHEMA
 
-CSV_DEFAULTS = {"header": "true"}
-
+SALE_KEY = "id_mutation"
 
-def uri(bucket: str, path: str, scheme: str = "s3a") -> str:
-    """Object-store URI of ``path`` in ``bucket`` (any Hadoop scheme)."""
-    return f"{scheme}://{bucket}/{path.lstrip('/')}"
+CSV_DEFAULTS = {"header": "true"}
 
 
 # Text values keep their surrounding spaces: the cleaning step trims them.
@@ -41,18 +43,96 @@ def read(spark: SparkSession, path: str, format: str = "csv", options: dict | No
     return reader.load(path)
 
 
+def _file_columns(path: Column) -> dict[str, Column]:
+    """Landed name, department-year and version of a listed file's path."""
+    named = F.regexp_extract(path, LANDED_FILE_PATTERN, 0)
+    folder = F.regexp_extract(path, "/fichier=([^/]*)/[^/]*$", 1)
+    fichier = F.when(named != "", named).when(folder != "", folder).otherwise(F.regexp_extract(path, "([^/]*)$", 1))
+    run = F.regexp_extract(path, "^(.*/run=[^/]*)/", 1)
+    place = F.regexp_replace(path, "(/fichier=[^/]*)?/[^/]*$", "")
+    return {
+        "fichier": fichier,
+        "logical": F.regexp_replace(fichier, r"\.gz$", ""),
+        "version": F.when(run != "", run).otherwise(place),
+        "in_run": run != "",
+    }
+
+
+def current_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files of the current version of every landed name: ``path, length,
+    modificationTime, fichier, logical``.
+
+    A landing run replaces the names that it writes: of several runs (or
+    folders) that hold a name, the one whose newest file of that name is the
+    latest counts, by path where two are as new. Outside the run layout, a
+    name that lies there plain and compressed is read plain. Metadata only.
+    """
+    files = list_files(spark, root)
+    files = files.withColumns(_file_columns(F.col("path")))
+    newest = files.groupBy("logical", "version").agg(F.max("modificationTime").alias("at"))
+    latest = newest.groupBy("logical").agg(F.max_by("version", F.struct("at", "version")).alias("version"))
+    files = files.join(latest, ["logical", "version"])
+    plain = F.max(~F.col("fichier").endswith(".gz")).over(Window.partitionBy("logical"))
+    files = files.withColumn("plain", plain).where("in_run or not plain or not fichier like '%.gz'")
+    return files.select("path", "length", "modificationTime", "fichier", "logical")
+
+
+def _header(spark: SparkSession, path: str, options: dict) -> tuple[str, ...] | None:
+    """Column names of a CSV file's first line; None for an empty file, or
+    for a corrupt one when the options say to ignore it."""
+    lenient = {k: v for k, v in options.items() if k.lower().startswith("ignore") and k.lower().endswith("files")}
+    first = spark.read.options(**lenient).text(path).first()
+    if first is None:
+        return None
+    line = first["value"].removeprefix("\ufeff")
+    return tuple(next(csv.reader([line], delimiter=options.get("sep", options.get("delimiter", ",")))))
+
+
+def _by_header(spark: SparkSession, paths: list[str], options: dict) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. Only first lines are read, once per folder that Spark
+    wrote (its parts share a header) and once per other file."""
+    groups: dict[str, list[str]] = {}
+    for path in sorted(paths):
+        folder = path.rsplit("/", 1)[0]
+        groups.setdefault(folder if "=" in folder.rsplit("/", 1)[-1] else path, []).append(path)
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda members: _header(spark, members[0], options), groups.values()))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for header, members in zip(headers, groups.values(), strict=True):
+        if header:
+            found.setdefault(header, []).extend(members)
+    return found
+
+
+def scan_sales(spark: SparkSession, files: DataFrame, options: dict | None = None) -> DataFrame:
+    """Raw sale lines of listed ``files`` (``path``) by column name, with
+    ``file_path``. The list of paths comes to the driver, as any file scan's
+    does; columns that a file lacks are NULL, others are dropped. A file
+    without the sale's key column is an error."""
+    opts = {**RAW_TEXT_OPTIONS, **(options or {})}
+    out = spark.createDataFrame([], RAW_SALES_SCHEMA).withColumn("file_path", F.lit(""))
+    for header, paths in _by_header(spark, [r["path"] for r in files.select("path").collect()], opts).items():
+        if SALE_KEY not in header:
+            raise ValueError(f"no column {SALE_KEY} in {paths[0]}: {list(header)}")
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        lines = spark.read.options(**opts).schema(schema).csv(paths).withColumn("file_path", F.col("_metadata.file_path"))
+        known = conform_columns(lines, RAW_SALES_SCHEMA, keep_extra=True).select(*RAW_SALES_SCHEMA.names, "file_path")
+        out = out.unionByName(known)
+    return out
+
+
 def read_sales(spark: SparkSession, path: str, options: dict | None = None,
                rebalance: int | None = None) -> DataFrame:
-    """Raw sale lines from a folder of landed CSV files, plain or gzip.
+    """Raw sale lines from a folder of landed CSV files, plain or gzip: the
+    current version of each landed name, columns found by the files' headers
+    in any order.
 
     All 13 columns are text (no inference). Gzip files are not splittable,
     so each is one read task; ``rebalance`` spreads the rows over that many
     partitions when a few large .gz files would otherwise serialise the
     per-line work.
     """
-    opts = dict(RAW_TEXT_OPTIONS)
-    opts.update(options or {})
-    df = spark.read.options(**opts).schema(RAW_SALES_SCHEMA).csv(path)
+    df = scan_sales(spark, current_files(spark, path), options).drop("file_path")
     return df.repartition(rebalance) if rebalance else df
 
 
@@ -63,14 +143,14 @@ def landed_file_name(path: Column | None = None) -> Column:
 
 
 def with_file_columns(df: DataFrame) -> DataFrame:
-    """Add ``departement``, ``annee`` and ``fichier`` parsed from the name of
-    the file each row was read from (hidden ``_metadata`` column, no extra
-    pass)."""
-    path = F.col("_metadata.file_path")
+    """Add ``departement``, ``annee`` and ``fichier`` parsed from the
+    ``file_path`` that each row was read from. A name that is not of a
+    department-year has no department and year."""
+    name = _file_columns(F.url_decode("file_path"))["fichier"]
     return df.withColumns({
-        "departement": F.regexp_extract(path, LANDED_FILE_PATTERN, 1),
-        "annee": F.regexp_extract(path, LANDED_FILE_PATTERN, 2),
-        "fichier": F.regexp_extract(path, LANDED_FILE_PATTERN, 0),
+        "departement": F.nullif(F.regexp_extract("file_path", LANDED_FILE_PATTERN, 1), F.lit("")),
+        "annee": F.nullif(F.regexp_extract("file_path", LANDED_FILE_PATTERN, 2), F.lit("")),
+        "fichier": name,
     })
 
 

@@ -1,43 +1,65 @@
 """Incremental cleaning of newly landed sales files.
 
-Collection lands new ``dvf_{dept}_{year}.csv[.gz]`` files every month. A
-file-source stream with the ``availableNow`` trigger picks up only files not
-seen before (tracked in the stream's checkpoint), cleans them with the same
-plan as the batch job, and appends the result. Each micro-batch writes
-into its own ``batch_id=N`` partition with dynamic overwrite, so a batch
-replayed after an executor or driver loss replaces its own output instead of
-duplicating it.
-
-Per-batch aggregation is exact when the lines of one sale land together (a
-sale belongs to one department and year, i.e. to one landed file set).
+Collection lands ``dvf_{dept}_{year}.csv[.gz]`` files every month, and a new
+version of a file replaces the one before. A file stream with the
+``availableNow`` trigger sees which files are new (tracked in the stream's
+checkpoint); it reads their names only. Each micro-batch recomputes the
+department-years that its files belong to, each from all its current files,
+and overwrites their part of the output. So the output equals the batch
+result whatever the number of files per batch, the order of arrival or the
+versions in between, and a batch that is replayed after a loss replaces its
+own output.
+
+A sale belongs to one department and year. Lines whose file is of no
+department-year are recomputed under that file's own name.
 """
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.plans.clean import clean_sales
-from parcelle.sources.files import RAW_TEXT_OPTIONS
-from parcelle.schema import RAW_SALES_SCHEMA
+from parcelle.session import scratch_path
+from parcelle.sources.files import _file_columns, current_files, scan_sales
+
+MARK = "\x1f"
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def landed_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of raw sale lines from files landing under root."""
-    reader = spark.readStream.schema(RAW_SALES_SCHEMA).options(**RAW_TEXT_OPTIONS)
+    """Streaming DataFrame of the paths of files landing under root."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(root)
+    return reader.load(root).select("path")
 
 
 def clean_new_files(spark: SparkSession, root: str, output: str, checkpoint: str,
                     max_files_per_trigger: int | None = None) -> None:
-    """Clean every landed file not processed yet, then stop."""
+    """Bring the output up to date with every landed file, then stop."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (clean_sales(batch).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(output))
+        touched = batch.select(_file_columns(F.col("path"))["logical"].alias("logical")).distinct()
+        names = [r[0] for r in touched.collect()]  # of the batch's files
+        lines = scan_sales(spark, current_files(spark, root).where(F.col("logical").isin(names)))
+        # The file's name travels in front of the sale's id: a sale is of one file.
+        name = _file_columns(F.url_decode("file_path"))["logical"]
+        lines = lines.withColumn("id_mutation", F.concat(name, F.lit(MARK), "id_mutation")).drop("file_path")
+        cleaned = clean_sales(lines).withColumns({
+            "fichier": F.substring_index("id_mutation", MARK, 1),
+            "id_mutation": F.substring_index("id_mutation", MARK, -1),
+        })
+        path = scratch_path(spark, "cleaned-batch")
+        cleaned.write.partitionBy("fichier").parquet(path)
+        ready = spark.read.schema(cleaned.schema).parquet(path)
+        filled = {r[0] for r in ready.select("fichier").distinct().collect()}  # names again
+        (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("fichier").parquet(output))
+        for empty in sorted(set(names) - filled):  # a new version without a clean sale
+            ready.drop("fichier").limit(0).write.mode("overwrite").parquet(f"{output}/fichier={quote(empty, safe='')}")
 
     query = (landed_stream(spark, root, max_files_per_trigger).writeStream
              .foreachBatch(write_batch)
@@ -48,5 +70,5 @@ def clean_new_files(spark: SparkSession, root: str, output: str, checkpoint: str
 
 
 def read_cleaned(spark: SparkSession, output: str) -> DataFrame:
-    """All cleaned batches, without the batch column."""
-    return spark.read.parquet(output).drop("batch_id")
+    """The cleaned sales of all files."""
+    return spark.read.parquet(output).drop("fichier")

@@ -17,6 +17,13 @@ def spark():
     yield session
 
 
+@pytest.fixture(autouse=True)
+def release_cached_frames(request):
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="parcelle-test-")

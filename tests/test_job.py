@@ -12,9 +12,7 @@ from tests.test_clean import SIX_COLUMNS, SIX_ROWS
 
 
 def _landed_six(spark, root):
-    from parcelle.operators.conform import conform_columns
-    six = conform_columns(spark.createDataFrame(SIX_ROWS, SIX_COLUMNS))
-    write_csv(six, f"{root}/dvf_22_2023.csv")
+    write_csv(spark.createDataFrame(SIX_ROWS, SIX_COLUMNS), f"{root}/dvf_22_2023.csv")
     return root
 
 

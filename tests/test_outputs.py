@@ -13,7 +13,6 @@ from parcelle.plans.landing import (
 from parcelle.plans.outputs import save_landing, save_layer, save_records
 from parcelle.plans.records import area_records, polygon_layer
 from parcelle.sources.adapter import raw_sales
-from parcelle.sources.files import uri
 
 
 def test_records_outputs(spark, sf_small, tmp_dir):
@@ -43,7 +42,3 @@ def test_landing_outputs(spark, sf_small, tmp_dir):
     save_landing(manifest, missing, read_landed(spark, f"{tmp_dir}/land"), f"{tmp_dir}/out")
     assert spark.read.json(f"{tmp_dir}/out/failed").count() == 2
     assert spark.read.json(f"{tmp_dir}/out/successful").count() == manifest.count()
-
-
-def test_uri():
-    assert uri("raw", "/dvf/x.csv") == "s3a://raw/dvf/x.csv"

@@ -9,6 +9,11 @@ from parcelle.queries import REGISTRY
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def no_cached_frames(spark):
+    spark.catalog.clearCache()
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -93,3 +93,25 @@ def test_region_equality_text_and_array(spark):
     assert records_in_region(text, "Bretagne").count() == 1
     arr = spark.createDataFrame([(["Bretagne", "Pays"],), (["Normandie"],)], "reg_name array<string>")
     assert records_in_region(arr, "Bretagne").count() == 1
+
+
+def test_dotted_keys_deep_structs_and_malformed_text(spark):
+    from parcelle.functions.nested import flatten, parse_json_column
+    from parcelle.sinks.files import nested_as_json
+
+    rows = [('{"a": {"b": {"c.d": 1, "list": [{"x": 2}]}}, "OBJECT<k": 3}',), ("{not json",), (None,)]
+    flat = flatten(parse_json_column(spark.createDataFrame(rows, "j string"), "j"))
+    assert sorted(flat.columns) == ["j.OBJECT<k", "j.a.b.c.d", "j.a.b.list"]
+    got = [tuple(r) for r in nested_as_json(flat.select(*[f"`{c}`" for c in sorted(flat.columns)])).collect()]
+    assert got[0] == (3, 1, '[{"x":2}]') and got[1:] == [(None, None, None)] * 2
+
+
+def test_region_filter_raises_when_a_task_fails(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from parcelle.plans.areas import region_filter
+
+    layer = spark.range(3).select(F.raise_error(F.lit("broken row")).cast("string").alias("DEP"))
+    with pytest.raises(Exception, match="broken row"):
+        region_filter(layer, ["22"]).collect()

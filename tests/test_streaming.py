@@ -26,3 +26,14 @@ def test_two_rounds_equal_batch(spark, sf_small, tmp_dir):
     got = read_cleaned(spark, out)
     assert 0 < first < got.count()
     assert _rows(got) == _rows(clean_sales(raw))
+
+
+def test_one_file_a_batch_and_a_replacing_run_equal_batch(spark, sf_small, tmp_dir):
+    raw = raw_sales(spark, sf_small).filter(F.col("code_departement").isin("01", "05"))
+    root, out, ckpt = f"{tmp_dir}/land", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    land_files(raw.repartition(3), root, run="1")
+    clean_new_files(spark, root, out, ckpt, max_files_per_trigger=4)
+    assert _rows(read_cleaned(spark, out)) == _rows(clean_sales(raw))
+    land_files(raw, root, run="2")
+    clean_new_files(spark, root, out, ckpt)
+    assert _rows(read_cleaned(spark, out)) == _rows(clean_sales(raw))

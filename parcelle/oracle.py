@@ -249,3 +249,9 @@ ORACLE.update({
 })
 
 ORACLE["stream_clean_sales"] = with_(*SALES_CTES, body="SELECT * FROM clean")
+
+ORACLE["sink_geojson"] = ORACLE["region_filter"]
+ORACLE["job_report"] = with_(*SALES_CTES, body="""
+    SELECT 'success' AS status, 'SalesJob' AS job_name,
+           (SELECT count(*) FROM raw_sales) AS row_count_raw,
+           (SELECT count(*) FROM clean) AS row_count_transformed""")

@@ -9,13 +9,17 @@ refined by, so that all tasks name equal strings alike without meeting.
 
 Sorting every suffix of a corpus would move many times its bytes. Windows of
 ``length`` bytes are therefore taken in runs: windows that follow one another
-and share their smallest 40-byte bucket. Equal windows always lie in runs of
-the same smallest bucket, wherever they are, so
-
-1. runs whose smallest bucket occurs once hold no repeated window;
+and have the same anchor, the first place in the window of its smallest
+40-byte bucket. A run is cut where its windows reach 80 bytes before the
+anchor: those that do contain the 120 bytes from there, the others the 120
+bytes from the anchor on. The bucket of these 120 bytes is the run's key.
+Equal windows have their anchors at equal distances, so they always lie in
+runs of the same key, wherever they are, and
+
+1. runs whose key occurs once hold no repeated window;
 2. of the others, runs that repeat as a whole are repeated throughout;
 3. of the rest, every window's own 200-byte bucket is compared, with those of
-   one representative of each repeated run of the same smallest bucket.
+   one representative of each repeated run of the same key.
 
 Every step moves names and positions only; buckets are counted with partial
 sums per task, so a passage in a third of all documents is one row per task.
@@ -40,7 +44,9 @@ from parcelle.llm.common import texts, written
 
 GRAM = 40
 LENGTH = 5 * GRAM
+HALF = 2 * GRAM
 PIECE = 1 << 20
+ANCHORS = 4096
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -54,8 +60,8 @@ def _refined(names: np.ndarray, later: np.ndarray) -> np.ndarray:
     return x
 
 
-def bucket_names(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the 40-byte and of the 200-byte bucket at each position."""
+def bucket_names(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the 40, 80 and 200-byte bucket at each position."""
     x = flat.astype(np.uint64)
     for width in (1, 2, 4):
         x = x[:-width] | (x[width:] << np.uint64(8 * width))
@@ -63,7 +69,7 @@ def bucket_names(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sixteen = _refined(eight, eight[8:])
     gram = _refined(_refined(sixteen, sixteen[16:]), eight[32:])
     eighty = _refined(gram, gram[40:])
-    return gram, _refined(_refined(eighty, eighty[80:]), gram[160:])
+    return gram, eighty, _refined(_refined(eighty, eighty[80:]), gram[160:])
 
 
 def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -89,39 +95,51 @@ def _pieces(sizes: list[int]) -> Iterator[list[tuple[int, int, int]]]:
         yield batch
 
 
+def _anchors(gram: np.ndarray, first: np.ndarray, span: int) -> np.ndarray:
+    """First place of the smallest bucket in the windows that begin at ``first``."""
+    view = np.lib.stride_tricks.sliding_window_view(gram, span)
+    found = [view[first[i:i + ANCHORS]].argmin(axis=1) for i in range(0, len(first), ANCHORS)]
+    return first + np.concatenate(found)
+
+
 def window_runs(data: list[bytes]) -> Iterator[pd.DataFrame]:
-    """Runs of windows: text, first window, how many, smallest bucket, name of
-    the run's content, and weight: 2 where the smallest bucket occurs more
-    than once, so that the run may repeat inside itself."""
+    """Runs of windows: text, first window, how many, key, and name of the
+    run's content."""
     span = LENGTH - GRAM + 1
     for batch in _pieces([len(x) for x in data]):
         flat = np.frombuffer(b"".join(data[i][a:b + LENGTH - 1] for i, a, b in batch), dtype=np.uint8)
-        gram, window = bucket_names(flat)
+        gram, eighty, window = bucket_names(flat)
         low = _sliding(gram, span, np.minimum)
         n = np.array([b - a for _, a, b in batch])
         stored = n + LENGTH - 1
         base = np.cumsum(stored) - stored
         piece = np.repeat(np.arange(len(batch)), n)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        where = base[piece] + at
-        key, name = low[where], window[where]
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (piece[1:] != piece[:-1])])
+        where = np.arange(n.sum()) + np.repeat(base - (np.cumsum(n) - n), n)
+        smallest, name = low[where], window[where]
+        # the anchor moves on where the bucket changes or the window leaves it behind
+        new = np.concatenate([[True], (smallest[1:] != smallest[:-1]) | (piece[1:] != piece[:-1])
+                              | (gram[where[:-1]] == smallest[:-1])])
         first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(key)))
+        anchor = _anchors(gram, where[first], span)
+        # windows of a run are consecutive: the first that reaches less far before the anchor
+        cut = first + (anchor - HALF + 1 - where[first])
+        end = np.append(first[1:], len(where))
+        both = (cut > first) & (cut < end)
+        far = cut > first
+        place = np.where(far, anchor - HALF, anchor)
+        first = np.concatenate([first, cut[both]])
+        place = np.concatenate([place, anchor[both]])
+        far = np.concatenate([far, np.zeros(both.sum(), dtype=bool)])
+        order = np.argsort(first, kind="stable")
+        first, place, far = first[order], place[order], far[order]
+        count = np.diff(np.append(first, len(where)))
+        key = _refined(_refined(eighty[place], gram[place + HALF]), far.astype(np.uint64))
         content = _refined(np.add.reduceat(_refined(name, name), first) + count.astype(np.uint64), name[first])
-        smallest = np.flatnonzero(_sliding(np.concatenate([np.zeros(span - 1, np.uint64), low]), span, np.maximum)
-                                  == gram[:len(low)])
-        smallest = np.concatenate([smallest, np.arange(len(low), len(gram))])
-        values = gram[smallest]
-        order = np.lexsort((smallest, values))
-        again = (values[order][1:] == values[order][:-1]) & (np.diff(smallest[order]) < 2 * span)
-        several = np.unique(values[order][1:][again])
         text = np.array([i for i, _, _ in batch])
         begin = np.array([a for _, a, _ in batch])
         yield pd.DataFrame({
-            "text": text[piece[first]], "first": begin[piece[first]] + at[first], "count": count,
-            "key": key[first].view(np.int64), "content": content.view(np.int64),
-            "weight": np.where(np.isin(key[first], several), 2, 1),
+            "text": text[piece[first]], "first": begin[piece[first]] + where[first] - base[piece[first]], "count": count,
+            "key": key.view(np.int64), "content": content.view(np.int64),
         })
 
 
@@ -132,7 +150,7 @@ def _runs(docs: DataFrame) -> DataFrame:
             for runs in window_runs([x.encode() for x in frame["text"]]):
                 yield runs.assign(row=rows[runs["text"]]).drop(columns="text")
 
-    return docs.mapInPandas(find, "first long, count long, key long, content long, weight long, row long")
+    return docs.mapInPandas(find, "first long, count long, key long, content long, row long")
 
 
 def _windows(docs: DataFrame) -> DataFrame:
@@ -149,7 +167,7 @@ def _windows(docs: DataFrame) -> DataFrame:
                         held += runs[at]["count"] + LENGTH
                         at += 1
                     flat = b"".join(data[r["first"]:r["first"] + r["count"] + LENGTH - 1] for r in part)
-                    names = bucket_names(np.frombuffer(flat, dtype=np.uint8))[1]
+                    names = bucket_names(np.frombuffer(flat, dtype=np.uint8))[2]
                     n = np.array([r["count"] for r in part])
                     own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     place = np.repeat(np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1), n) + own
@@ -164,8 +182,8 @@ def _windows(docs: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(row, first, count): runs of windows that occur elsewhere, too."""
     runs = written(_runs(docs), "runs")
-    shared = runs.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select("key")
-    runs = written(runs.join(shared, "key", "left_semi").drop("weight"), "shared_runs")
+    shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    runs = written(runs.join(shared, "key", "left_semi"), "shared_runs")
     contents = written(
         runs.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "count")).alias("one")),
         "contents")

@@ -33,6 +33,7 @@ result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,13 +154,24 @@ def _runs(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(find, "first long, count long, key long, content long, row long")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, packed): compressed texts, half of what a shuffle of the
+    texts would write."""
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"row": frame["row"], "doc_id": frame["doc_id"].astype("Int64"),
+                                "packed": [zlib.compress(x.encode(), 1) for x in frame["text"]]})
+
+    return docs.mapInPandas(pack, "row long, doc_id long, packed binary")
+
+
 def _windows(docs: DataFrame) -> DataFrame:
     """(name, row, first, weight) of the windows of the runs listed with each
     text; of representatives without row."""
     def name(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for row, text, runs in zip(frame["row"], frame["text"], frame["runs"], strict=True):
-                data, runs, at = text.encode(), list(runs), 0
+            for row, packed, runs in zip(frame["row"], frame["packed"], frame["runs"], strict=True):
+                data, runs, at = zlib.decompress(packed), list(runs), 0
                 while at < len(runs):
                     held, part = 0, []
                     while at < len(runs) and held < PIECE:
@@ -193,7 +205,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     samples = contents.where("n > 1").join(beside, "key", "left_semi")
     listed = single.select("one.*", F.lit(False).alias("whole")).unionByName(samples.select("one.*", F.lit(True).alias("whole")))
     listed = listed.groupBy("row").agg(F.collect_list(F.struct("first", "count", "whole")).alias("runs"))  # of one text
-    windows = written(_windows(docs.select("row", "text").join(listed, "row")), "windows")
+    windows = written(_windows(_packed(docs).select("row", "packed").join(listed, "row")), "windows")
     again = windows.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
     parts = windows.where("row >= 0").join(again, "name", "left_semi").select("row", "first", F.lit(1).cast("long").alias("count"))
     return whole.select("row", "first", "count").unionByName(parts)
@@ -213,13 +225,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = texts(docs, id_col, text_col)
     found = repeated_windows(source).groupBy("row").agg(
         F.collect_list("first").alias("first"), F.collect_list("count").alias("count"))  # of one text
-    joined = source.join(found, "row", "left")
+    joined = _packed(source).join(found, "row", "left")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for text, first, count in zip(frame["text"], frame["first"], frame["count"], strict=True):
-                data, spans = text.encode(), []
+            for packed, first, count in zip(frame["packed"], frame["first"], frame["count"], strict=True):
+                data, spans = zlib.decompress(packed), []
                 if first is not None and len(first):
                     begin, end = _spans(np.asarray(first), np.asarray(count))
                     spans = list(zip(begin.tolist(), end.tolist(), strict=True))

@@ -194,7 +194,8 @@ def _windows(docs: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(row, first, count): runs of windows that occur elsewhere, too."""
     runs = written(_runs(docs), "runs")
-    shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # written, so that the join has plain shuffles on both sides and a hot key's partition can be split
+    shared = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared_keys")
     runs = written(runs.join(shared, "key", "left_semi"), "shared_runs")
     contents = written(
         runs.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "count")).alias("one")),
@@ -206,7 +207,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     listed = single.select("one.*", F.lit(False).alias("whole")).unionByName(samples.select("one.*", F.lit(True).alias("whole")))
     listed = listed.groupBy("row").agg(F.collect_list(F.struct("first", "count", "whole")).alias("runs"))  # of one text
     windows = written(_windows(_packed(docs).select("row", "packed").join(listed, "row")), "windows")
-    again = windows.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
+    again = written(windows.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name"), "shared_names")
     parts = windows.where("row >= 0").join(again, "name", "left_semi").select("row", "first", F.lit(1).cast("long").alias("count"))
     return whole.select("row", "first", "count").unionByName(parts)
 

@@ -5,7 +5,9 @@ anywhere else. Bucket-pointer refinement names the bucket of every suffix:
 first by its 8 bytes, then by the buckets of itself and of a later offset
 (8, 16, 32, 40, 80, 160, 200 bytes), each level computed from the names of the
 levels before. A bucket's name is a 64-bit mix of the two names that it is
-refined by, so that all tasks name equal strings alike without meeting.
+refined by, so that all tasks name equal strings alike without meeting. The
+name of 8 bytes is without loss, and strings that differ inside one aligned
+8-byte block only never share a name.
 
 Sorting every suffix of a corpus would move many times its bytes. Windows of
 ``length`` bytes are therefore taken in runs: windows that follow one another
@@ -51,8 +53,17 @@ ANCHORS = 4096
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """``x`` mixed without loss: odd factors and xor-shifts can be undone, so
+    different values keep different names."""
+    x = (x ^ (x >> np.uint64(32))) * _FIRST
+    x = (x ^ (x >> np.uint64(29))) * _SECOND
+    return x ^ (x >> np.uint64(32))
+
+
 def _refined(names: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Names of the buckets (name, name at a later offset)."""
+    """Names of the buckets (name, name at a later offset); different ones
+    wherever just one of the two differs."""
     n = min(len(names), len(later))
     x = names[:n] * _FIRST + later[:n]
     x ^= x >> np.uint64(32)
@@ -66,7 +77,7 @@ def bucket_names(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x = flat.astype(np.uint64)
     for width in (1, 2, 4):
         x = x[:-width] | (x[width:] << np.uint64(8 * width))
-    eight = _refined(x, x)
+    eight = _mixed(x)
     sixteen = _refined(eight, eight[8:])
     gram = _refined(_refined(sixteen, sixteen[16:]), eight[32:])
     eighty = _refined(gram, gram[40:])
@@ -135,7 +146,7 @@ def window_runs(data: list[bytes]) -> Iterator[pd.DataFrame]:
         first, place, far = first[order], place[order], far[order]
         count = np.diff(np.append(first, len(where)))
         key = _refined(_refined(eighty[place], gram[place + HALF]), far.astype(np.uint64))
-        content = _refined(np.add.reduceat(_refined(name, name), first) + count.astype(np.uint64), name[first])
+        content = _refined(np.add.reduceat(_mixed(name), first) + count.astype(np.uint64), name[first])
         text = np.array([i for i, _, _ in batch])
         begin = np.array([a for _, a, _ in batch])
         yield pd.DataFrame({

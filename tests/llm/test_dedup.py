@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from parcelle.llm import exact_dedup, near_dedup, repeats
@@ -102,7 +103,36 @@ def test_components_of_a_chain_and_a_star(spark):
     assert out == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 140), 100)}
 
 
+def test_strings_that_differ_in_one_bit_have_other_names():
+    import random
+
+    for base in (random.Random(3).randbytes(200), b"e" * 200, bytes(200)):
+        data = [base]
+        for at in range(200):
+            for bit in range(8):
+                data.append(base[:at] + bytes([base[at] ^ (1 << bit)]) + base[at + 1:])
+        names = repeats.bucket_names(np.frombuffer(b"".join(data), dtype=np.uint8))[2][::200]
+        assert len(names) == len(set(names.tolist())) == 1601
+
+
+def test_a_passage_followed_by_bytes_that_differ_in_the_top_bit(spark):
+    import random
+
+    from tests.llm.conftest import prose
+
+    # U+00C3 to U+00FF begin with 0xC3, which is 'C' with the top bit set; quotes begin with 0xE2, 'b'
+    passages = [prose(random.Random(i), 80)[:199] for i in range(2)]
+    rows = [(1, passages[0] + "C one", "en"), (2, passages[0] + "\u00e9 two", "en"),
+            (3, passages[1] + "b three", "en"), (4, passages[1] + "\u201d four", "en"),
+            (5, passages[0][:150] + "x" + passages[1], "en"), (6, "y" + passages[1] + "b six", "en")]
+    check_repeats(table(spark, rows), rows)
+
+
 def test_repeated_bytes(docs, corpus):
+    check_repeats(docs, corpus)
+
+
+def check_repeats(docs, corpus):
     seen = Counter()
     data = [(t or "").encode() for _, t, _ in corpus]
     for b in data:

@@ -19,11 +19,15 @@ from parcelle.llm.queries import tokenizer_file
 MIN_LANGUAGE_SCORE = 0.3
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row that stays the same in every scan."""
+    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
 def _rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """The rows of ``docs`` whose number is in ``found`` (left_semi) or not
-    (left_anti)."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(found.select(F.col("row").alias("__row")).distinct(), "__row", how).drop("__row")
+    """The rows of numbered ``docs`` whose number is in ``found`` (left_semi)
+    or not (left_anti)."""
+    return docs.join(found.select(F.col("row").alias("__row")).distinct(), "__row", how).drop("__row")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,18 +40,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts."""
-    return _rows(docs, exact_dedup.exact_dedup(docs).where("kept"), "left_semi")
+    docs = _numbered(docs)
+    return _rows(docs, exact_dedup.exact_dedup(docs, row_col="__row").where("kept"), "left_semi")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (five-word shingles,
     similarity 0.8)."""
-    return _rows(docs, near_dedup.near_dedup(docs, words=5, percent=80, side=10).where("kept"), "left_semi")
+    docs = _numbered(docs)
+    return _rows(docs, near_dedup.near_dedup(docs, words=5, percent=80, side=10, row_col="__row").where("kept"), "left_semi")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents with a passage of the benchmark."""
-    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    docs = _numbered(docs)
+    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"), row_col="__row")
     return _rows(docs, found, "left_anti")
 
 

@@ -22,16 +22,24 @@ def ascii_lower(text: Column) -> Column:
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, text) of ``docs``; other columns are left behind.
 
-    ``row`` numbers the rows (unique, also where ids repeat or are NULL). It
-    follows the order of the files' rows, so ``docs`` must be a table that
-    every read gives in the same order: a Parquet scan, as in all queries and
-    pipeline stages, or a checkpoint. A NULL text is an empty text.
+    ``row`` numbers the rows (unique, also where ids repeat or are NULL). Each
+    scan numbers them anew, after how it splits the files: for one scan only,
+    else ``numbered``. A NULL text is an empty text.
     """
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
+    return docs.select(F.monotonically_increasing_id().alias("row"), *_id_and_text(id_col, text_col))
+
+
+def _id_and_text(id_col: str, text_col: str) -> list[Column]:
+    return [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")]
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``texts`` with numbers that stay the same in every scan, however the
+    files are split: numbered once and written. A written table that has such
+    numbers already names them as ``row_col``."""
+    if row_col is None:
+        return written(texts(docs, id_col, text_col), "numbered")
+    return docs.select(F.col(row_col).alias("row"), *_id_and_text(id_col, text_col))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -39,7 +47,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     back: cuts the lineage, and survives the loss of executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

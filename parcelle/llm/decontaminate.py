@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import ascii_lower, texts, written
+from parcelle.llm.common import ascii_lower, numbered, texts, written
 
 WORDS = 5
 RADIUS = 19
@@ -71,7 +71,7 @@ def blocks(fingerprint: str, radius: int) -> Column:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, words: int = WORDS,
                  radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                 item_col: str = "item_id", item_text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """(row, doc_id, item_id, start, n_words, similarity): the best window of
     each document for each item that it contains; words are counted from 0."""
     items = texts(benchmark, item_col, item_text_col).select(F.col("row").alias("item"), F.col("doc_id").alias("item_id"), "text")
@@ -80,7 +80,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         .withColumnRenamed("n", "length"), "items")
     index = written(
         items.select("length", F.posexplode("shingles").alias("offset", "shingle")).distinct(), "item_shingles")
-    source = texts(docs, id_col, text_col)
+    source = numbered(docs, id_col, text_col, row_col)
 
     spots = _hashed(source.select("row", "text"), words).select("row", "n", F.posexplode("shingles").alias("at", "shingle"))
     small = index.count() <= BROADCAST_ROWS

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parcelle.llm.common import ascii_lower, texts, written
+from parcelle.llm.common import ascii_lower, numbered, written
 
 BLOCK_BYTES = 4096
 HOT_SHARE = 100_000
@@ -78,10 +78,10 @@ def _name_pairs(pairs: DataFrame, rows: int) -> DataFrame:
 
 
 def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, row_col: str | None = None) -> DataFrame:
     """One row per input row: (row, doc_id, sha256, level, name)."""
     data = ascii_lower(F.col("text")).cast("binary")
-    rows = texts(docs, id_col, text_col).select("row", "doc_id", data.alias("bytes"))
+    rows = numbered(docs, id_col, text_col, row_col).select("row", "doc_id", data.alias("bytes"))
     n_blocks = F.greatest(F.ceil(F.octet_length("bytes") / block_bytes), F.lit(1)).cast("int")
     total, longest = rows.agg(F.sum(n_blocks), F.max(n_blocks)).first()
     cut = F.transform(
@@ -114,10 +114,10 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES, row_col: str | None = None) -> DataFrame:
     """Groups of equal texts (after lower-casing A-Z), one row per input row:
     (row, doc_id, keep_id, group_size, kept, text_sha256)."""
-    named = written(name_documents(docs, id_col, text_col, block_bytes), "document_names")
+    named = written(name_documents(docs, id_col, text_col, block_bytes, row_col), "document_names")
     order = F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), -F.col("row"))
     groups = named.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"),

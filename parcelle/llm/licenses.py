@@ -78,9 +78,9 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
     inherited_from, license) of each file (path, text)."""
     spark = files.sparkSession
     templates = dict(sorted((templates or TEMPLATES).items()))
-    source = files.select(
+    source = written(files.select(  # numbered once: each scan would number anew, after how it splits the files
         F.monotonically_increasing_id().alias("row"), F.col(path_col).alias("path"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        F.coalesce(F.col(text_col), F.lit("")).alias("text")), "numbered")
     named = spark.createDataFrame(list(templates.items()), "template string, text string")
     bags: dict[str, dict[str, int]] = {name: {} for name in templates}
     for r in _bags(named, ["template"]).collect():  # the templates' own words

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from parcelle.llm.common import texts, written
+from parcelle.llm.common import numbered, written
 from parcelle.llm.components import components
 
 SIDE = 8
@@ -267,11 +267,11 @@ def similar_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: i
 
 
 def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, side: int = SIDE, rows: int = ROWS,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Components of documents whose sets of ``words``-word shingles have a
     Jaccard similarity of ``percent`` / 100 or more, one row per input row:
     (row, doc_id, n_shingles, component_id, kept)."""
-    source = texts(docs, id_col, text_col)
+    source = numbered(docs, id_col, text_col, row_col)
     sketches = written(_sketch(source, words, side, rows), "sketches")
     roots = similar_classes(source, sketches, words, percent, side, rows)
     classes = sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"))

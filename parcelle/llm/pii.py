@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parcelle.llm.common import texts, written
+from parcelle.llm.common import numbered, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kind, what a text must hold to be searched, pattern.
@@ -201,7 +201,7 @@ def _joined(spans: str) -> Column:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, base, spans): arrays of (start, kind, end) by start and
     kind, the base spans alone and with the added ones."""
-    source = texts(docs, id_col, text_col)
+    source = numbered(docs, id_col, text_col)
     found = _matches(source, BASE, False).unionByName(_matches(source, GENERATORS, True))
     found = _featured(found).select("row", "start", "end", *FEATURES)
     right = (F.col("wide") == 0) & (F.col("check") == 1)

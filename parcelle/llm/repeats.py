@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import texts, written
+from parcelle.llm.common import numbered, written
 
 GRAM = 40
 LENGTH = 5 * GRAM
@@ -234,7 +234,7 @@ def _spans(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, n_bytes, n_removed, n_spans, kept, spans): what is left
     of each text as bytes, and the removed (begin, end) of its bytes."""
-    source = texts(docs, id_col, text_col)
+    source = numbered(docs, id_col, text_col)
     found = repeated_windows(source).groupBy("row").agg(
         F.collect_list("first").alias("first"), F.collect_list("count").alias("count"))  # of one text
     joined = _packed(source).join(found, "row", "left")

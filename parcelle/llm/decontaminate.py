@@ -1,10 +1,10 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 A benchmark item of n words is compared with windows of n words of the
-documents. Both are multisets of five-word shingles. A window that shares no
-shingle with any item has similarity 0 with all of them, so windows are only
-laid where a document's shingle is also an item's: the item's own offset of
-that shingle tells where its window would begin. Each window gets a 64-bit
+documents. Both are multisets of five-word shingles. Two multisets of a and b
+shingles with similarity t share at least t (a + b) / (1 + t), so a window is
+laid at every word where at least so many of its shingles are also an item's
+of that length, in whatever order they stand. Each window gets a 64-bit
 SimHash. A multi-index finds all items of the window's length within
 ``radius`` bits: the fingerprints are cut into radius + 1 blocks, and two
 fingerprints that differ in at most ``radius`` bits agree in at least one
@@ -19,7 +19,9 @@ only while it is under ``BROADCAST_ROWS`` rows (32 bytes each); a larger one
 is a shuffled join. Defined results: NULL texts and texts or items of under
 five words have no shingle and match nothing; a window that would reach over
 the text's end is moved inside it, and a text shorter than the item is one
-window; equal items are reported each; empty tables give an empty result.
+window; of a document's equally similar windows for an item, those with a
+shingle at the item's own offset of it count first, then the first; equal
+items are reported each; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -69,6 +71,29 @@ def blocks(fingerprint: str, radius: int) -> Column:
         for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False))])
 
 
+def _windows(spots: DataFrame, similarity: float, words: int) -> DataFrame:
+    """(row, length, start, aligned): every window of ``length`` words with as
+    many shared shingles as ``similarity`` needs; aligned if one of them
+    stands at an item's offset of it."""
+    last = F.greatest(F.lit(0), F.col("n") - F.col("length"))
+    begin = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), last))
+    both = F.least("n", "length") + F.col("length") - 2 * (words - 1)  # shingles of the window and of the item
+    needed = F.greatest(F.lit(1), F.ceil(both * similarity / (1 + similarity) - 1e-9)).cast("int")
+    found = spots.groupBy("row", "length", "n").agg(  # of one text
+        F.array_sort(F.collect_set("at")).alias("at"), F.collect_set(begin).alias("aligned"))
+    found = found.withColumn("needed", needed).where(F.size("at") >= F.col("needed"))
+    at = lambda i: F.element_at("at", i)
+    # windows that begin after spot i - 1, at spot i at the latest, and reach over the spot needed - 1 later
+    first = lambda i: F.greatest(
+        F.lit(0), at(i + F.col("needed") - 1) - (F.col("length") - words), F.when(i > 1, at(F.greatest(i - 1, F.lit(1))) + 1))
+    ranges = F.transform(F.sequence(F.lit(1), F.size("at") - F.col("needed") + 1), lambda i: F.struct(
+        first(i).alias("first"), F.least(at(i), last).alias("last")))
+    ranges = F.filter(ranges, lambda r: r["first"] <= r["last"])
+    starts = found.select("row", "length", "aligned", F.explode(ranges).alias("r")).select(
+        "row", "length", "aligned", F.explode(F.sequence("r.first", "r.last")).alias("start"))
+    return starts.select("row", "length", "start", F.array_contains("aligned", F.col("start")).alias("aligned"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, words: int = WORDS,
                  radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", row_col: str | None = None) -> DataFrame:
@@ -85,13 +110,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     spots = _hashed(source.select("row", "text"), words).select("row", "n", F.posexplode("shingles").alias("at", "shingle"))
     small = index.count() <= BROADCAST_ROWS
     spots = spots.join(F.broadcast(index) if small else index, "shingle")
-    begin = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("n") - F.col("length")))
-    windows = written(spots.select("row", begin.alias("start"), "length").distinct(), "windows")
+    windows = written(_windows(spots, similarity, words), "windows")
 
     hits = source.join(windows.select("row").distinct(), "row", "left_semi")
     hits = _hashed(hits.select("row", "doc_id", "text"), words).select("row", "doc_id", "shingles")
     windows = windows.join(hits, "row").select(
-        "row", "doc_id", "start", "length",
+        "row", "doc_id", "start", "length", "aligned",
         F.slice("shingles", F.col("start") + 1, F.col("length") - words + 1).alias("shingles"))
     windows = written(windows.withColumn("print", simhash("shingles")), "prints")
 
@@ -111,10 +135,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         near.join(of_item, "item").join(inside, [*at, "shingle"])
         .groupBy(*at, "item").agg(F.sum(F.least("n_window", "n_item")).alias("shared"))
     )
-    sizes = windows.select(*at, "doc_id", F.size("shingles").alias("n_window"))
+    sizes = windows.select(*at, "doc_id", "aligned", F.size("shingles").alias("n_window"))
     totals = items.select("item", "item_id", F.size("shingles").alias("n_item"))
     scored = shared.join(sizes, at).join(totals, "item").withColumn(
         "similarity", F.col("shared") / (F.col("n_window") + F.col("n_item") - F.col("shared")))
     best = scored.where(F.col("similarity") >= similarity).groupBy("row", "doc_id", "item", "item_id").agg(
-        F.max_by(F.struct("start", F.col("length").alias("n_words"), "similarity"), F.struct("similarity", -F.col("start"))).alias("best"))
+        F.max_by(F.struct("start", F.col("length").alias("n_words"), "similarity"), F.struct("similarity", "aligned", -F.col("start"))).alias("best"))
     return best.select("row", "doc_id", "item_id", "best.*")

@@ -4,6 +4,7 @@ decontamination: brute force, exact round trips, held-out accuracy."""
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -240,6 +241,33 @@ def test_contaminated_windows(spark, docs, empty):
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_windows_at_every_start(spark):
+    rng = random.Random(16)
+    items = {20: prose(rng, 59).split(), 21: prose(rng, 59).split(), 22: ("a b c d e f g " * 7).split()[:45]}
+    half, third = items[20][30:] + items[20][:30], items[21][40:] + items[21][:40]
+    rows = [(1, " ".join(prose(rng, 70).split() + half + prose(rng, 70).split()), "en"), (2, " ".join(half), "en"),
+            (3, " ".join(prose(rng, 3).split() + third + prose(rng, 30).split()), "en"), (4, " ".join(half[:50]), "en"),
+            (5, " ".join(prose(rng, 9).split() + items[21][:25] + items[21][27:] + prose(rng, 40).split()), "en"),
+            (6, "g f e " + "a b c d e f g " * 9, "en"), (7, " ".join(items[21][20:] + items[20][:30]), "en")]
+    bench = written(spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"), "bench")
+    bags = lambda w: Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+    want = {}
+    for doc_id, text, _ in rows:
+        for item_id, item in items.items():
+            w, b = text.split(), bags(item)
+            scores = []
+            for start in range(max(0, len(w) - len(item)) + 1):
+                a = bags(w[start:start + len(item)])
+                scores.append((a & b).total() / (a | b).total())
+            if max(scores) >= 0.8:
+                want[doc_id, item_id] = max(scores)
+    assert {(1, 20), (2, 20), (3, 21)} <= set(want)
+    out = decontaminate.contaminated(table(spark, rows), bench, radius=30).collect()
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in out} == pytest.approx(want)
+    by_print = decontaminate.contaminated(table(spark, rows), bench).collect()
+    assert {(1, 20), (3, 21)} <= {(r["doc_id"], r["item_id"]) for r in by_print}
+
+
 def test_multi_index_finds_all_within_radius(spark):
     rng = random.Random(12)
     prints = [rng.getrandbits(64) for _ in range(60)]

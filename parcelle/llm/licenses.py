@@ -1,13 +1,16 @@
 """License scan: sparse TF-IDF cosine of headers and licence files to
 templates, then inheritance from the nearest ancestor directory.
 
-Every line of a file is a possible header, and a file as a whole a possible
-licence file. Both are bags of words, compared with the templates by the
+Every line, paragraph and sentence of a file is a possible header, and a file
+as a whole a possible licence file. Headers are compared with short forms and
+standard notices, whole files with full licence texts, too. All are bags of words, compared with the templates by the
 cosine of TF-IDF vectors. A word's document frequency is counted over all
 files for the templates' words; any other word has the weight of a word that
 no file holds, so it only makes a header less like a template.
 
-A line can only reach ``threshold`` if it holds one of a template's rarer
+A whole file is compared with a full text only if the words that both hold
+have ``threshold`` of the text's length; none above the threshold is lost.
+A line, paragraph or sentence can only reach ``threshold`` if it holds one of a template's rarer
 words: the cosine is at most the share of the template's length in the words
 that both hold. The commonest words whose share stays below the threshold in
 every template are therefore not searched for, and lines without the others
@@ -28,6 +31,7 @@ empty result.
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +51,24 @@ TEMPLATES = {
     "mit": "Released under the MIT License.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+#: The notices that files carry, by licence.
+NOTICES = {
+    "apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+}
+#: Where texts are cut into units: lines; paragraphs, the runs of lines between
+#: those without letters or digits; sentences, also across lines.
+UNITS = ("\n", r"\n(?:[^A-Za-z0-9\n]*\n)+", r"[.!?:;](?=\s)\s*|\n(?:[^A-Za-z0-9\n]*\n)+")
+#: Full licence texts, one file each; only whole files are compared with them.
+FULL_TEXTS = Path(__file__).parent / "license_texts"
+
+
+def full_texts() -> dict[str, str]:
+    return {p.stem: p.read_text(encoding="utf-8") for p in sorted(FULL_TEXTS.glob("*.txt"))}
 
 
 def _words(text: Column) -> Column:
@@ -77,7 +99,12 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
     """(row, path, header, header_similarity, is_license_file, inherited,
     inherited_from, license) of each file (path, text)."""
     spark = files.sparkSession
-    templates = dict(sorted((templates or TEMPLATES).items()))
+    given_texts = [(name, text) for name, text in (templates or TEMPLATES).items()]
+    given_texts += [] if templates else [*NOTICES.items(), *full_texts().items()]
+    full = set() if templates else {f"{i}" for i in range(len(TEMPLATES) + len(NOTICES), len(given_texts))}
+    notices = set() if templates else {f"{i}" for i in range(len(TEMPLATES), len(TEMPLATES) + len(NOTICES))}
+    license_of = {f"{i}": name for i, (name, _) in enumerate(given_texts)}
+    templates = {f"{i}": text for i, (_, text) in enumerate(given_texts)}
     source = written(files.select(  # numbered once: each scan would number anew, after how it splits the files
         F.monotonically_increasing_id().alias("row"), F.col(path_col).alias("path"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text")), "numbered")
@@ -95,25 +122,40 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
     unseen = math.log(1 + n) + 1
     idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
     weights = {name: {t: tf * idf[t] for t, tf in bag.items()} for name, bag in bags.items()}
-    rare = _rare(weights, idf, threshold)
+    short = {name: v for name, v in weights.items() if name not in full}
+    rare = _rare(short, {t: idf[t] for v in short.values() for t in v}, threshold)
     sought = rf"(?i)(?<![a-z0-9])(?:{'|'.join(rare)})(?![a-z0-9])"
 
     hits = source.where(F.col("text").rlike(sought))
-    lines = hits.select("row", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(sought))
-    units = lines.unionByName(hits.select("row", F.lit(-1).alias("line"), "text"))
+    parts = F.concat(*[F.split("text", cut) for cut in UNITS])
+    parts = hits.select("row", F.posexplode(parts).alias("line", "text"))
+    units = parts.where(F.col("text").rlike(sought)).select("row", "line", "text").unionByName(hits.select("row", F.lit(-1).alias("line"), "text"))
+    if full:  # whole texts that could reach the threshold: enough of a full text's length is in the words that both hold
+        share = spark.createDataFrame(
+            [(name, t, w * w / sum(x * x for x in weights[name].values())) for name in sorted(full) for t, w in weights[name].items()],
+            "template string, term string, share double")
+        could = source.select("row", F.explode(held).alias("term")).join(F.broadcast(share), "term").groupBy("row", "template").agg(
+            F.sum("share").alias("share")).where(F.col("share") >= threshold ** 2 - 1e-9).select("row").distinct()
+        could = source.where(~F.col("text").rlike(sought)).join(could, "row", "left_semi")
+        units = units.unionByName(could.select("row", F.lit(-1).alias("line"), "text"))
     at = ["row", "line"]
     terms = written(_bags(units, at), "unit_terms")
     table = spark.createDataFrame(
         [(name, t, w / math.sqrt(sum(x * x for x in v.values())), idf[t]) for name, v in weights.items() for t, w in v.items()],
         "template string, term string, weight double, idf double")
-    vocabulary_idf = table.select("term", "idf").distinct()
+    forms = [name for name in templates if name not in full | notices]
+    plain = F.col("template").isin(forms)  # short forms take all other words as unseen, those of longer templates too
+    vocabulary_idf = table.groupBy("term").agg(F.max("idf").alias("idf"), F.max(F.when(plain, F.col("idf"))).alias("plain_idf"))
     norms = terms.join(F.broadcast(vocabulary_idf), "term", "left").groupBy(*at).agg(
-        F.sqrt(F.sum(F.pow(F.col("tf") * F.coalesce("idf", F.lit(unseen)), 2))).alias("norm"))
+        *[F.sqrt(F.sum(F.pow(F.col("tf") * F.coalesce(x, F.lit(unseen)), 2))).alias(f"norm_{x}") for x in ("idf", "plain_idf")])
     dots = terms.join(F.broadcast(table), "term").groupBy(*at, "template").agg(
         F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
-    scored = dots.join(norms, at).select(*at, "template", F.round(F.col("dot") / F.col("norm"), 9).alias("similarity"))
+    scored = dots.join(norms, at).select(*at, "template", F.round(F.col("dot") / F.when(plain, F.col("norm_plain_idf")).otherwise(F.col("norm_idf")), 9).alias("similarity"))
     scored = scored.where(F.col("similarity") >= threshold)
-    best = F.max_by(F.struct("template", "similarity"), F.struct("similarity", -F.col("line"), -_order("template", templates)))
+    scored = scored.where(~F.col("template").isin(sorted(full)) & (F.col("line") >= 0) | ~F.col("template").isin(sorted(notices)) & (F.col("line") < 0))
+    names = sorted(set(license_of.values()))
+    scored = scored.withColumn("template", F.element_at(F.create_map(*[F.lit(x) for pair in license_of.items() for x in pair]), F.col("template")))
+    best = F.max_by(F.struct("template", "similarity"), F.struct("similarity", -F.col("line"), -_order("template", names)))
     own = scored.groupBy("row").agg(
         best.alias("best"), (F.min("line") == -1).alias("is_license_file"))
     known = written(source.select("row", "path").join(own, "row", "left").select(
@@ -134,5 +176,5 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
         F.coalesce("header", "given.header").alias("license"))
 
 
-def _order(column: str, templates: dict[str, str]) -> Column:
+def _order(column: str, templates: list[str]) -> Column:
     return F.element_at(F.create_map(*[x for i, t in enumerate(templates) for x in (F.lit(t), F.lit(i))]), F.col(column))

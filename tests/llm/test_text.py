@@ -199,6 +199,11 @@ def test_base_spans_are_exact(spark, empty):
     assert pii.find_pii(empty).count() == 0
 
 
+def test_addresses_spelled_with_brackets_are_searched(spark):
+    rows = spark.createDataFrame([(1, "write to joe [at] mail [dot] org today")], "row long, text string")
+    assert [r["match"] for r in pii._matches(rows, pii.GENERATORS, True).collect()] == ["joe [at] mail [dot] org"]
+
+
 def test_boosting_separates_bins():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 4, (500, len(pii.FEATURES)))
@@ -223,6 +228,20 @@ def test_license_headers_and_inheritance(spark):
     assert licenses.scan_licenses(files.where("false")).count() == 0
 
 
+def test_full_licence_texts_and_notices(spark):
+    notice = licenses.NOTICES["gpl-3.0"].split()
+    block = "\n".join("# " + " ".join(notice[i:i + 8]) for i in range(0, len(notice), 8))
+    rows = [(f"{name}/LICENSE", text.replace("<year> <copyright holders>", "2020 A. Person"), name) for name, text in licenses.full_texts().items()]
+    rows += [(f"{name}/src/x.py", "x = 1", name) for name in licenses.full_texts()]
+    rows += [("n/a.py", f"#!/usr/bin/python\n# Copyright\n#\n{block}\n#\n\n" + "import os\nprint(os)\n" * 60, "gpl-3.0"),
+             ("n/b.py", "Some words first. This work is licensed under the GNU General\nPublic License, version 3. And " + "more words " * 60, "gpl-3.0"),
+             ("n/c.py", "plain words of the software that you can use", None)]
+    files = written(spark.createDataFrame([r[:2] for r in rows], "path string, text string"), "files")
+    out = {r["path"]: r for r in licenses.scan_licenses(files).collect()}
+    assert {p: r["license"] for p, r in out.items()} == {p: name for p, _, name in rows}
+    assert {p for p, r in out.items() if r["is_license_file"]} == {p for p, _, _ in rows if p.endswith("LICENSE")}
+
+
 def test_contaminated_windows(spark, docs, empty):
     rng = random.Random(6)
     item = prose(rng, 40).split()

@@ -63,7 +63,7 @@ def _matches(rows: DataFrame, patterns: tuple, wide: bool) -> DataFrame:
     for kind, needs, pattern in patterns:
         whole = rf"(?s)\G(.*?)({pattern})(?=(.?))"  # \G: one attempt after the last match
         part = lambda i, whole=whole: F.regexp_extract_all("text", F.lit(whole), F.lit(i))
-        holds = F.col("text").contains(needs) if needs else F.col("text").rlike("[0-9@(]" if wide else "[0-9]")
+        holds = F.col("text").contains(needs) if needs else F.col("text").rlike(r"[0-9@(\[]" if wide else "[0-9]")
         zipped = F.when(holds & F.col("text").rlike(pattern), F.arrays_zip(
             part(1).alias("gap"), part(2).alias("match"), part(3).alias("after")))
         found.append(rows.select("row", F.lit(KINDS.index(kind)).alias("kind"), F.posexplode(zipped).alias("i", "m")))

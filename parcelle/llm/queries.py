@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, repeats, token_counts
+from parcelle.llm import bitplanes, decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, repeats, token_counts
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,44 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     found = licenses.scan_licenses(docs.select(path.alias("path"), "text"))
     return found.withColumn("doc_id", F.regexp_extract("path", r"([0-9]+)\.txt$", 1).try_cast("long")).drop("row")
+
+
+@query
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster(read_table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _clustering_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every round as a chain of common table expressions."""
+    parts = [f"""
+good AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id,
+           list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (SELECT rid, unnest(v) AS x, unnest(range(64)) AS p FROM good),
+c0 AS MATERIALIZED (
+    SELECT c, unnest(v) AS x, unnest(range(64)) AS p
+    FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), v) - 1 AS c, v FROM good) WHERE c < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+    SELECT rid, c, sum((s.x - t.x) * (s.x - t.x))::BIGINT AS distance
+    FROM parts s JOIN c{i} t USING (p) GROUP BY rid, c
+    QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, c) = 1)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (
+    SELECT o.c, o.p, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN (
+        SELECT c, p, CASE WHEN sum(x) >= 0 THEN sum(x)::BIGINT // count(*)
+                          ELSE -((-sum(x)::BIGINT + count(*) - 1) // count(*)) END AS x
+        FROM a{i} JOIN parts USING (rid) GROUP BY c, p) m USING (c, p))""")
+    return f"""WITH {",".join(parts)}
+SELECT vec_id, a.c::INTEGER AS "cluster", distance, (sum(distance) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} a JOIN good USING (rid)
+JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS centroid_sha256 FROM c{rounds} GROUP BY c) h ON h.c = a.c
+"""
+
+
+ORACLE_SQL["op12_clustering"] = _clustering_sql()

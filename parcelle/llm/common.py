@@ -42,12 +42,13 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     return docs.select(F.col(row_col).alias("row"), *_id_and_text(id_col, text_col))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     """Write ``df`` to a table in the shared checkpoint folder and read it
-    back: cuts the lineage, and survives the loss of executors."""
+    back: cuts the lineage, and survives the loss of executors. ``file_rows``
+    bounds the rows of a file (0: no bound), for rows of many megabytes."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", file_rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

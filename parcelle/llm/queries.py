@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import bitplanes, decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, repeats, token_counts
+from parcelle.llm import bitplanes, decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, ranked_search, repeats, token_counts
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +155,36 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("doc_id", F.regexp_extract("path", r"([0-9]+)\.txt$", 1).try_cast("long")).drop("row")
 
 
+@query
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return ranked_search.ranked(docs, read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLE_SQL["op11_search"] = """
+WITH terms AS (
+    SELECT kind, id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)),
+postings AS (SELECT id, term, count(*) AS tf FROM terms WHERE kind = 'd' GROUP BY ALL),
+lengths AS (SELECT id, sum(tf)::BIGINT AS n FROM postings GROUP BY ALL),
+totals AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM lengths),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, totals GROUP BY term, big_n),
+scores AS (
+    SELECT b.id AS item_id, p.id AS doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // big_l))))::BIGINT AS score
+    FROM (SELECT DISTINCT id, term FROM terms WHERE kind = 'b') b JOIN postings p USING (term)
+    JOIN weights USING (term) JOIN lengths l ON l.id = p.id, totals
+    GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
 @query
 def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.cluster(read_table(spark, sf_dir, "embeddings")).drop("centroid")

@@ -16,10 +16,11 @@ score is the sum of weight x impact over the query's distinct terms. N counts
 the documents with a term, L all their terms, over all documents.
 
 ``forward`` (terms of each document), ``statistics``, ``build`` (the index, one
-row per shard) and ``search`` are separate; ``ranked`` chains them for a set of
+row per shard), ``floors`` and ``search`` are separate; ``ranked`` chains them for a set of
 queries, in blocks of at most ``QUERY_TERMS`` distinct terms, whose documents'
 other terms are not indexed. Every shard starts from a lower bound of the k-th
-score, taken from an exact search of ``SEED_SHARDS`` shards.
+score, taken from an exact search of about ``SEED_DOCS`` documents, drawn by a
+hash of their contents.
 
 Defined results: a NULL or empty text has no terms and is never found; a query
 without terms, or whose terms occur nowhere, gives no row; a query that
@@ -44,16 +45,17 @@ from pyspark.sql import functions as F
 from parcelle.llm.common import written
 
 #: Bounds of a shard: documents, postings, and documents x terms held at once.
-SHARD_DOCS = 4096
-SHARD_POSTINGS = 400_000
-SHARD_CELLS = 32_000_000
+SHARD_DOCS = 2048
+SHARD_POSTINGS = 250_000
+SHARD_CELLS = 16_000_000
 BLOCK_DOCS = 128
 #: A list this short is one block without a summary: its documents are scored
 #: wherever the list as a whole is not skipped.
 SHORT_LIST = 16
 PROJECTION = 24
 QUERY_TERMS = 200_000
-SEED_SHARDS = 4
+#: Documents whose scores bound each query's k-th best score from below.
+SEED_DOCS = 8192
 #: Impacts are below 10^6; a summary's step rounds up to 1/255 of that.
 STEP = 3922
 
@@ -141,9 +143,11 @@ class Shard:
 
     PARTS = {
         "doc_id": np.int64, "null_id": np.uint8, "terms": np.int32, "peak": np.uint8, "begin": np.int64,
-        "column": np.int32, "impact": np.int32, "lists": np.int64, "block": np.int64, "docs": np.int32,
-        "summary": np.int64, "where": np.int32, "top": np.uint8,
+        "column": np.uint16, "impact": np.int32, "lists": np.int64, "block": np.int64, "docs": np.uint16,
+        "summary": np.int64, "where": np.uint16, "top": np.uint8,
     }
+    #: Parts that hold columns: two bytes each where there are few enough.
+    COLUMNS = ("column", "where")
 
     def __init__(self, parts: dict[str, np.ndarray]):
         self.__dict__.update(parts)
@@ -175,7 +179,11 @@ class Shard:
         parts = {"doc_id": doc_id, "null_id": null_id, "terms": terms, "peak": level.max(axis=0), "begin": begin,
                  "column": column, "impact": impact, "lists": lists, "block": block, "docs": join(docs),
                  "summary": summary, "where": join(where), "top": join(top)}
-        return cls({k: np.asarray(parts[k]).astype(kind) for k, kind in cls.PARTS.items()})
+        return cls({k: np.asarray(parts[k]).astype(kind) for k, kind in cls._kinds(len(terms)).items()})
+
+    @classmethod
+    def _kinds(cls, columns: int) -> dict[str, type]:
+        return cls.PARTS if columns <= 1 << 16 else cls.PARTS | dict.fromkeys(cls.COLUMNS, np.int32)
 
     @staticmethod
     def _projected(level: np.ndarray) -> np.ndarray:
@@ -206,7 +214,8 @@ class Shard:
 
     @classmethod
     def from_row(cls, row: dict[str, bytes]) -> Shard:
-        return cls({k: np.frombuffer(row[k], kind) for k, kind in cls.PARTS.items()})
+        kinds = cls._kinds(len(row["terms"]) // np.dtype(cls.PARTS["terms"]).itemsize)
+        return cls({k: np.frombuffer(row[k], kind) for k, kind in kinds.items()})
 
     def bounds(self, blocks: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Exact upper bounds of the scores in ``blocks``, which have
@@ -264,49 +273,70 @@ class Shard:
         return best_doc, best, int(seen.sum())
 
 
+def _shards(batches: Iterator[pa.RecordBatch], documents: int, total: int, size: int) -> Iterator[Shard]:
+    """Shards over batches of ``forward``; ``size`` is the vocabulary's."""
+    held: list[tuple] = []
+    docs = postings = columns = 0
+    seen = np.zeros(size, bool)
+
+    def finished() -> Shard:
+        ids, nulls, n, sizes, term, tf = (np.concatenate(x) for x in zip(*held, strict=True))
+        return Shard.of(ids, nulls, sizes, term, impacts(np.repeat(n, sizes), tf, documents, total))
+
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column("terms")).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = batch.column("doc_id")
+        nulls = ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+        ids, n = pc.fill_null(ids, 0).to_numpy(), batch.column("n").to_numpy()
+        term, tf = (batch.column(c).flatten().to_numpy() for c in ("terms", "tf"))
+        for d in np.flatnonzero(sizes > 0).tolist():
+            own = slice(ends[d], ends[d + 1])
+            columns += int((~seen[term[own]]).sum())
+            postings += int(sizes[d])
+            if docs and (docs == SHARD_DOCS or postings > SHARD_POSTINGS or (docs + 1) * columns > SHARD_CELLS):
+                yield finished()
+                held, docs, postings, columns = [], 0, int(sizes[d]), int(sizes[d])
+                seen[:] = False
+            seen[term[own]] = True
+            held.append((ids[d:d + 1], nulls[d:d + 1], n[d:d + 1], sizes[d:d + 1], term[own], tf[own]))
+            docs += 1
+    if docs:
+        yield finished()
+
+
 def build(table: DataFrame, known: Statistics) -> DataFrame:
     """The index over ``forward``: one row per shard, written."""
     documents, total, size = known.documents, known.terms, len(known.weights)
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
-        held: list[tuple] = []
-        docs = postings = columns = 0
-        seen = np.zeros(size, bool)
-
-        def finished() -> Shard:
-            ids, nulls, n, sizes, term, tf = (np.concatenate(x) for x in zip(*held, strict=True))
-            return Shard.of(ids, nulls, sizes, term, impacts(np.repeat(n, sizes), tf, documents, total))
-
-        for batch in batches:
-            sizes = pc.list_value_length(batch.column("terms")).to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            ids = batch.column("doc_id")
-            nulls = ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
-            ids, n = pc.fill_null(ids, 0).to_numpy(), batch.column("n").to_numpy()
-            term, tf = (batch.column(c).flatten().to_numpy() for c in ("terms", "tf"))
-            for d in np.flatnonzero(sizes > 0).tolist():
-                own = slice(ends[d], ends[d + 1])
-                columns += int((~seen[term[own]]).sum())
-                postings += int(sizes[d])
-                if docs and (docs == SHARD_DOCS or postings > SHARD_POSTINGS or (docs + 1) * columns > SHARD_CELLS):
-                    yield finished()
-                    held, docs, postings, columns = [], 0, int(sizes[d]), int(sizes[d])
-                    seen[:] = False
-                seen[term[own]] = True
-                held.append((ids[d:d + 1], nulls[d:d + 1], n[d:d + 1], sizes[d:d + 1], term[own], tf[own]))
-                docs += 1
-        if docs:
-            yield finished()
-
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches):
+        for shard in _shards(batches, documents, total, size):
             row = shard.to_row()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([len(shard.doc_id)], pa.int64()), *(pa.array([row[k]], pa.binary()) for k in Shard.PARTS)],
                 ["n_docs", *Shard.PARTS])
 
     schema = "n_docs long, " + ", ".join(f"`{k}` binary" for k in Shard.PARTS)
-    return written(table.mapInArrow(apply, schema), "search_index", file_rows=2)
+    return written(table.mapInArrow(apply, schema), "search_index", file_rows=4)
+
+
+FOUND = "query int, doc_id long, score long, scored long"
+
+
+def _found(shard: Shard, queries: list[np.ndarray], weights: np.ndarray, k: int, floors: list[int]) -> pa.RecordBatch:
+    """The k best of each query in a shard, as rows of ``FOUND``."""
+    number, doc, score, nulls, scored = [], [], [], [], []
+    for q, terms in enumerate(queries):
+        docs, values, many = shard.search(terms, weights, k, floors[q])
+        number.append(np.full(len(docs), q, np.int32))
+        doc.append(shard.doc_id[docs])
+        nulls.append(shard.null_id[docs].astype(bool))
+        score.append(values)
+        scored.append(np.full(len(docs), many, np.int64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(number)), pa.array(np.concatenate(doc), mask=np.concatenate(nulls)),
+         pa.array(np.concatenate(score)), pa.array(np.concatenate(scored))],
+        ["query", "doc_id", "score", "scored"])
 
 
 def search(index: DataFrame, queries: list[np.ndarray], weights: np.ndarray, k: int, floors: list[int] | None = None) -> DataFrame:
@@ -317,23 +347,11 @@ def search(index: DataFrame, queries: list[np.ndarray], weights: np.ndarray, k:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, weight, least = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard.from_row(row)
-                number, doc, score, nulls, scored = [], [], [], [], []
-                for q, terms in enumerate(asked):
-                    docs, values, many = shard.search(terms, weight, k, least[q])
-                    number.append(np.full(len(docs), q, np.int32))
-                    doc.append(shard.doc_id[docs])
-                    nulls.append(shard.null_id[docs].astype(bool))
-                    score.append(values)
-                    scored.append(np.full(len(docs), many, np.int64))
-                if asked:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(number)), pa.array(np.concatenate(doc), mask=np.concatenate(nulls)),
-                         pa.array(np.concatenate(score)), pa.array(np.concatenate(scored))],
-                        ["query", "doc_id", "score", "scored"])
-
-    return index.mapInArrow(apply, "query int, doc_id long, score long, scored long")
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_buffer() for name in Shard.PARTS}
+                yield _found(Shard.from_row(row), asked, weight, k, least)
+
+    return index.mapInArrow(apply, FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -341,11 +359,21 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _floors(index: DataFrame, queries: list[np.ndarray], weights: np.ndarray, k: int) -> list[int]:
-    """Lower bounds of each query's k-th best score: that of a few shards."""
-    some = index.limit(SEED_SHARDS)
+def floors(table: DataFrame, known: Statistics, queries: list[np.ndarray], k: int) -> list[int]:
+    """Lower bounds of each query's k-th best score: the k-th best of a drawn
+    part of ``forward``."""
+    share = min(1.0, SEED_DOCS / max(1, known.documents))
+    drawn = table.where(F.pmod(F.xxhash64("doc_id", "n", "terms"), F.lit(1_000_000)) < F.lit(share * 1_000_000))
+    shared = table.sparkSession.sparkContext.broadcast((queries, known))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, (documents, total, weights) = shared.value
+        for shard in _shards(batches, documents, total, len(weights)):
+            yield _found(shard, asked, weights, k, [1] * len(asked))
+
     out = [1] * len(queries)
-    for row in _best(search(some, queries, weights, k), k).where(F.col("rank") == k).select("query", "score").collect():
+    best = _best(drawn.mapInArrow(apply, FOUND), k)
+    for row in best.where(F.col("rank") == k).select("query", "score").collect():
         out[row["query"]] = row["score"]
     return out
 
@@ -382,7 +410,6 @@ def _ranked_block(spark: SparkSession, docs: DataFrame, block: list, k: int, id_
     known = statistics(table, len(vocabulary))
     index = build(table, known)
     queries = [np.array([vocabulary[t] for t in terms], np.int64) for _, terms in block]
-    floors = _floors(index, queries, known.weights, k)
-    best = _best(search(index, queries, known.weights, k, floors), k)
+    best = _best(search(index, queries, known.weights, k, floors(table, known, queries, k)), k)
     names = spark.createDataFrame([(q, i) for q, (i, _) in enumerate(block)], "query int, item_id long")
     return best.join(F.broadcast(names), "query").select("item_id", "rank", "doc_id", "score")

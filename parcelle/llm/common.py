@@ -52,6 +52,7 @@ def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def held_out(doc_id: Column) -> Column:
-    """crc32 of the id as text, mod 4, is 2. A NULL id is not held out."""
-    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
+    """crc32 of the id as text, mod ``parts``, is ``part``. A NULL id is not
+    held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))

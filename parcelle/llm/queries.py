@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm import bitplanes, decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, ranked_search, repeats, token_counts
+from parcelle.llm import bitplanes, decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, ranked_search, repeats, token_counts, toxicity
 from parcelle.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,13 @@ JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS centroid_sha25
 
 
 ORACLE_SQL["op12_clustering"] = _clustering_sql()
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held = held_out(F.col("doc_id"), parts=3, part=1)
+    model = toxicity.fit(docs, labels, ~held)
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

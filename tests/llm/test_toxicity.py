@@ -1,0 +1,137 @@
+"""Toxicity: features and scores against plain sums, held-out accuracy, and
+what the counterfactual penalty does."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from parcelle.llm import toxicity
+from parcelle.llm.common import held_out, written
+from tests.llm.conftest import prose, table
+
+INSULTS = ("dolt", "cretin", "vermin")
+GROUPS = (("people", "plumbers", "bakers", "sailors"),)
+
+
+def sentence(rng, extra=()):
+    words = prose(rng, rng.randint(4, 12)).split()
+    for w in extra:
+        words.insert(rng.randrange(len(words) + 1), w)
+    return " ".join(words)
+
+
+def corpus(rng, n, biased=False):
+    """Texts of a few sentences; one toxic sentence makes a toxic text. If
+    ``biased``, one group is named in nine tenths of the toxic texts and in a
+    twentieth of the others, and a third of the insults occur only once."""
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        own = [sentence(rng) for _ in range(rng.randint(2, 9))]
+        named = ["plumbers"] if biased and rng.random() < (0.9 if bad else 0.05) else []
+        insult = f"{rng.getrandbits(40):x}q" if biased and i % 12 == 0 else rng.choice(INSULTS)
+        own.insert(rng.randrange(len(own) + 1), sentence(rng, [insult, *named] if bad else named))
+        rows.append((i, ". ".join(own), "en"))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+def label_table(spark, labels):
+    return written(spark.createDataFrame(labels, "doc_id long, toxic int"), "labels")
+
+
+def test_units_cover_every_word():
+    text = "One two! THREE\nfour's, x_y 12. " + "w " * 130
+    own = toxicity.units(text)
+    assert own[:3] == [["one", "two"], ["three"], ["four", "s", "x", "y", "12"]]
+    assert [len(u) for u in own[3:]] == [48, 48, 34]
+    assert toxicity.units("") == [] == toxicity.units(" .. \n ")
+
+
+def test_swaps_change_identity_terms_only():
+    words = ["most", "bakers", "and", "sailors", "sing"]
+    for before, after in toxicity.swaps(words, GROUPS, 3, insert=False):
+        assert before == words and [after[i] for i in (0, 2, 4)] == ["most", "and", "sing"]
+        assert all(after[i] in GROUPS[0] and after[i] != words[i] for i in (1, 3))
+    assert toxicity.swaps(words, GROUPS, 1, False)[0][1] == ["most", "people", "and", "people", "sing"]
+    assert toxicity.swaps(["a", "b"], GROUPS, 2, insert=False) == []
+    (before, after), = toxicity.swaps(["a", "b"], GROUPS, 1, insert=True)
+    assert before[1:] == after[1:] == ["a", "b"] and before[0] in GROUPS[0] and after[0] != before[0]
+
+
+def test_scores_equal_the_best_sentence():
+    rng = np.random.default_rng(0)
+    model = toxicity.Toxicity(-0.5, rng.standard_normal(toxicity.BUCKETS).astype(np.float32))
+    draw = random.Random(1)
+    texts = ["", "...", "a", "a a a. A a", *(". ".join(sentence(draw) for _ in range(k)) for k in (1, 3, 40)), "long " * 200, "É ß. x"]
+    want = [1 / (1 + np.exp(-(max(map(model.logit, u)) if (u := toxicity.units(t)) else model.bias))) for t in texts]
+    scorer = toxicity.Scorer(model)
+    assert np.allclose(scorer.scores(texts), want, atol=1e-6)
+    assert np.allclose([scorer.scores([t])[0] for t in texts], want, atol=1e-6)   # whatever came before
+    assert len(scorer.scores([])) == 0
+
+
+def test_held_out_accuracy_and_learning_rows(spark):
+    rows, labels = corpus(random.Random(4), 600)
+    rows += [(9000, None, "x"), (9001, "", "x"), (9002, " .. ", None), (None, "you dolt", "en")]
+    docs, known = table(spark, rows), label_table(spark, labels)
+    held = held_out(F.col("doc_id"), 3, 1)
+    model = toxicity.fit(docs, known, ~held)
+    out = {r["doc_id"]: r for r in toxicity.score(docs, model).select("doc_id", "score", held.alias("h")).collect()}
+    assert len(out) == 604 and all(0 <= r["score"] <= 1 for r in out.values())
+    assert all(out[i]["h"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i in range(600))
+    assert np.mean([(out[i]["score"] >= 0.5) == y for i, y in labels if out[i]["h"]]) > 0.97
+    assert out[9000]["score"] == out[9001]["score"] == out[9002]["score"] < 0.5 and out[None]["score"] > 0.5
+    # Labels of held-out rows are not read.
+    wrong = label_table(spark, [(i, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, y in labels])
+    assert np.array_equal(toxicity.fit(docs, wrong, ~held).weights, model.weights)
+
+
+def test_a_toxic_sentence_counts_in_a_very_long_text(spark):
+    rng = random.Random(6)
+    rows, labels = corpus(rng, 400)
+    clean = ". ".join(sentence(rng) for _ in range(4000))
+    middle = clean[:len(clean) // 2] + ". " + sentence(rng, ["vermin", "cretin"]) + ". " + clean[len(clean) // 2:]
+    model = toxicity.fit(table(spark, rows), label_table(spark, labels), F.lit(True))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(table(spark, [(1, clean, "x"), (2, middle, "x")]), model).collect()}
+    assert got[2] > 0.7 > 0.5 > got[1]
+
+
+def test_penalty_frees_neutral_mentions(spark):
+    rows, labels = corpus(random.Random(8), 600, biased=True)
+    docs, known = table(spark, rows), label_table(spark, labels)
+    neutral = [["the", "plumbers", "came", "home"], ["plumbers"], ["some", "plumbers", "and", "bakers"]]
+    plain = toxicity.fit(docs, known, F.lit(True), groups=GROUPS, penalty=0.0)
+    fair = toxicity.fit(docs, known, F.lit(True), groups=GROUPS, penalty=20.0)
+    gap = lambda m: max(abs(m.logit(w) - m.logit(["people" if x == "plumbers" else x for x in w])) for w in neutral)
+    assert gap(plain) > 1.0 and gap(fair) < 0.4 * gap(plain)
+    assert all(fair.logit(w) < plain.logit(w) for w in neutral)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, fair).select("doc_id", "score").collect()}
+    known_insult = [(i, y) for i, y in labels if i % 12 or not y]
+    assert np.mean([(got[i] >= 0.5) == y for i, y in known_insult]) > 0.97   # toxic texts are still found
+
+
+def test_repeats_ties_and_missing_labels(spark, empty):
+    rows, labels = corpus(random.Random(2), 80)
+    docs = table(spark, rows + [rows[0], (1, "another row of one id", "en")])
+    some = label_table(spark, labels + [labels[0], (5, None), (None, 1), (777, 1)])
+    assert toxicity.score(docs, toxicity.fit(docs, some, F.lit(True))).count() == 82
+    assert toxicity.score(docs, toxicity.fit(docs, some.limit(0), F.lit(True))).where("score <> 0.5").count() == 0
+    one_class = toxicity.fit(docs, some.where("toxic = 0"), F.lit(True))
+    assert toxicity.score(docs, one_class).where("score > 0.01").count() == 0
+    assert toxicity.score(empty, one_class).count() == 0
+    with_score = docs.withColumn("score", F.lit("kept?"))
+    assert toxicity.score(with_score, one_class).columns == with_score.columns
+
+
+@pytest.mark.parametrize("clash", ["__id", "__label", "text"])
+def test_clashing_columns(spark, clash):
+    rows, labels = corpus(random.Random(3), 60)
+    docs = table(spark, rows)
+    if clash != "text":
+        docs = docs.withColumn(clash, F.lit(5))
+    known = label_table(spark, labels).withColumn(clash, F.lit("x"))
+    assert toxicity.score(docs, toxicity.fit(docs, known, F.lit(True))).count() == 60

@@ -15,8 +15,9 @@ to the loss with weight ``PENALTY``: a term that merely names a group cannot
 carry toxicity, although labels may correlate with it.
 
 Only features that occur in clearly more documents of one label than of the
-other are learned, so that rare ones cannot memorise documents. The model is
-trained in numpy on the driver, on a bounded sample of labelled rows: ``TRAIN_ROWS`` per label, of texts of at most ``TRAIN_CHARS`` characters,
+other are learned, so that rare ones cannot memorise documents; they are
+counted by Spark. The model is trained in numpy on the driver from those
+features alone, on a bounded sample of labelled rows: ``TRAIN_ROWS`` per label, of texts of at most ``TRAIN_CHARS`` characters,
 drawn by a hash of the id; scoring reads whole texts. Classes are weighted back
 to their share of the labels, toxic ones ``TOXIC_COST`` times.
 
@@ -39,6 +40,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.llm.common import written
+
 BUCKETS = 1 << 18
 UNIT_WORDS = 48
 PREFIXES = (3, 4, 5, 6)
@@ -211,19 +214,18 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(out + self.model.bias, -50, 50)))
 
 
-def _telling(flat: np.ndarray, of: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets that tell the labels apart, and their log odds."""
-    once = np.unique(of * BUCKETS + flat)
-    held = np.stack([np.bincount((once % BUCKETS)[label[once // BUCKETS] == c], minlength=BUCKETS) for c in (0, 1)])
-    n = np.array([(label == 0).sum(), (label == 1).sum()])
-    share = held.sum(axis=0) / n.sum()
-    spread = np.sqrt(np.maximum(1e-12, share * (1 - share)) * (1 / n).sum())
-    used = np.flatnonzero((np.abs(held[1] / n[1] - held[0] / n[0]) >= LEAST_Z * spread) & (held.sum(axis=0) >= LEAST_DOCS))
-    return used, (np.log((held[1] + 0.5) / (n[1] + 1)) - np.log((held[0] + 0.5) / (n[0] + 1)))[used]
+def telling(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Buckets that tell the labels apart; ``counts`` holds, by label and
+    bucket, how many of the ``n`` documents have it."""
+    share = counts.sum(axis=0) / max(1, n.sum())
+    spread = np.sqrt(np.maximum(1e-12, share * (1 - share)) * (1 / np.maximum(1, n)).sum())
+    apart = np.abs(counts[1] / max(1, n[1]) - counts[0] / max(1, n[0])) >= LEAST_Z * spread
+    return np.flatnonzero(apart & (counts.sum(axis=0) >= LEAST_DOCS) & (n.min() > 0))
 
 
 def _only(used: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of buckets, reduced to (the numbers of) those in ``used``."""
+    flat = np.asarray(flat, np.int64)
     at = np.full(BUCKETS, -1, np.int64)
     at[used] = np.arange(len(used))
     numbers = at[flat]
@@ -232,23 +234,22 @@ def _only(used: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
 
 
 def train(docs: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight: np.ndarray,
-          pairs: list[tuple[np.ndarray, np.ndarray]], penalty: float = PENALTY, steps: int = STEPS) -> Toxicity:
+          pairs: list[tuple[np.ndarray, np.ndarray]], used: np.ndarray, odds: np.ndarray,
+          penalty: float = PENALTY, steps: int = STEPS) -> Toxicity:
     """Fit documents (their sentences' features in a row, and the sentences'
     numbers of features) to ``label``, weighted; ``pairs`` holds the features
-    of sentences and of their counterfactuals."""
+    of sentences and of their counterfactuals. A feature is a number of
+    ``used`` buckets, whose log odds are where the weights begin."""
     share = float(np.average(label, weights=weight)) if len(label) else 0.5
     bias = float(np.log(np.clip(share, 1e-3, 1 - 1e-3) / (1 - np.clip(share, 1e-3, 1 - 1e-3))))
-    if len(np.unique(label)) < 2:
+    if len(np.unique(label)) < 2 or not len(used):
         return Toxicity(bias)
     flat = np.concatenate([f for f, _ in docs])
     unit_size = np.concatenate([s for _, s in docs])
     unit_of = np.repeat(np.arange(len(docs)), [len(s) for _, s in docs])
-    sides = [np.concatenate([p[side] for p in pairs]) if pairs else flat[:0] for side in (0, 1)]
-    side_size = [np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1)]
-    used, odds = _telling(flat, np.repeat(unit_of, unit_size), label)
+    left, right = (np.concatenate([p[side] for p in pairs]) if pairs else flat[:0] for side in (0, 1))
+    left_size, right_size = (np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1))
     w = 0.5 * np.clip(odds, -1.0, 6.0)
-    flat, unit_size = _only(used, flat, unit_size)
-    (left, left_size), (right, right_size) = (_only(used, side, size) for side, size in zip(sides, side_size, strict=True))
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     unit_start = np.cumsum(unit_size) - unit_size
     starts = np.flatnonzero(np.diff(np.concatenate([[-1], unit_of])))
@@ -295,22 +296,47 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     ids = [known.where(F.col("__label") == c).orderBy(*order).limit(train_rows) for c in (0, 1)]
     drawn = short.join(F.broadcast(ids[0].unionAll(ids[1])), "__id").groupBy("__id", "__label").agg(F.min("__text").alias("text"))
 
+    drawn = written(drawn, "toxicity_sample")
+
+    def occur(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
+        for frame in frames:
+            for label, text in zip(frame["__label"], frame["text"], strict=True):
+                n[label] += 1
+                own = [unit_features(u) for u in units(text)]
+                if own:
+                    held[label, np.unique(np.concatenate(own))] += 1
+        some = np.flatnonzero(held.sum(axis=0))
+        yield pd.DataFrame({"bucket": np.append(some, -1), "n0": np.append(held[0, some], n[0]), "n1": np.append(held[1, some], n[1])})
+
+    # At most BUCKETS rows, whatever the documents.
+    sums = drawn.mapInPandas(occur, "bucket int, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sums = sums.toPandas()
+    held, n = np.zeros((2, BUCKETS), np.int64), sums.loc[sums["bucket"] == -1, ["n0", "n1"]].to_numpy().sum(axis=0)
+    own = sums[sums["bucket"] >= 0]
+    held[:, own["bucket"]] = own[["n0", "n1"]].to_numpy().T
+    used = telling(held, n)
+    odds = (np.log((held[1] + 0.5) / (n[1] + 1)) - np.log((held[0] + 0.5) / (n[0] + 1)))[used]
+    terms = {t for group in groups for t in group}
+
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def runs(sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+            parts = [unit_features(u) for u in sentences]
+            sizes = np.array([len(f) for f in parts], np.int64)
+            return _only(used, np.concatenate(parts) if parts else np.zeros(0, np.int64), sizes)
+
         for frame in frames:
             out = []
             for i, label, text in zip(frame["__id"], frame["__label"], frame["text"], strict=True):
                 own = units(text)
-                feats = [unit_features(u) for u in own]
+                flat, sizes = runs(own)
+                empty = np.flatnonzero(sizes == 0)   # one sentence without features says as much as many
+                sizes = np.delete(sizes, empty[1:])
                 named = [u for u in own if any(w in terms for w in u)]
-                chosen = named[:4] or own[:1]
-                pairs = [side for u in chosen for pair in swaps(u, groups, SWAPS, not named) for side in pair]
-                out.append((i, label, np.concatenate(feats) if feats else np.zeros(0, np.int32),
-                            np.array([len(f) for f in feats], np.int32),
-                            np.concatenate(sides) if (sides := [unit_features(p) for p in pairs]) else np.zeros(0, np.int32),
-                            np.array([len(s) for s in sides], np.int32)))
+                pairs = [side for u in named[:4] or own[:1] for pair in swaps(u, groups, SWAPS, not named) for side in pair]
+                out.append((i, label, flat, sizes, *runs(pairs)))
             yield pd.DataFrame(out, columns=["id", "label", "features", "sizes", "pairs", "pair_sizes"])
 
-    terms = {t for group in groups for t in group}
     found = drawn.mapInPandas(
         describe, "id long, label int, features array<int>, sizes array<int>, pairs array<int>, pair_sizes array<int>"
     ).toPandas().sort_values("id", ignore_index=True)
@@ -319,9 +345,9 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     pairs = []
     for flat, sizes in zip(found["pairs"], found["pair_sizes"], strict=True):
         sides = np.split(np.asarray(flat, np.int64), np.cumsum(sizes)[:-1]) if len(sizes) else []
-        pairs += list(zip(sides[::2], sides[1::2], strict=True))
-    return train([(np.asarray(f, np.int64), np.asarray(s, np.int64)) for f, s in zip(found["features"], found["sizes"], strict=True)],
-                 label, weight, pairs, penalty)
+        pairs += [(a, b) for a, b in zip(sides[::2], sides[1::2], strict=True) if len(a) or len(b)]
+    docs = [(np.asarray(f, np.int64), np.asarray(s, np.int64)) for f, s in zip(found["features"], found["sizes"], strict=True)]
+    return train(docs, label, weight, pairs, used, odds, penalty)
 
 
 def score(docs: DataFrame, model: Toxicity, text_col: str = "text", score_col: str = "score") -> DataFrame:

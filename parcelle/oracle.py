@@ -255,3 +255,68 @@ ORACLE["job_report"] = with_(*SALES_CTES, body="""
     SELECT 'success' AS status, 'SalesJob' AS job_name,
            (SELECT count(*) FROM raw_sales) AS row_count_raw,
            (SELECT count(*) FROM clean) AS row_count_transformed""")
+
+# -- integrity, rejected lines, metadata, collection outputs -------------------
+
+FLAGGED = """flagged AS (
+  SELECT *, CASE WHEN fichier NOT LIKE '%.gz' THEN NULL
+                 WHEN departement = '01' THEN 'cut before the end of member 1'
+                 WHEN departement = '02' THEN 'wrong checksum in member 1' END AS decompression_error,
+         fichier LIKE '%.gz' AND departement = '03' AS emptied
+  FROM landed)"""
+
+ORACLE["landing_integrity"] = with_(RAW, LANDED, FLAGGED, body="""
+    SELECT DISTINCT departement, annee, fichier,
+           CASE WHEN fichier LIKE '%.gz' THEN 'csv.gz' ELSE 'csv' END AS format,
+           fichier NOT LIKE '%.gz' AS decompressed, decompression_error
+    FROM flagged""")
+ORACLE["landing_sound_lines"] = with_(RAW, LANDED, FLAGGED, body="""
+    SELECT * EXCLUDE (decompression_error, emptied) FROM flagged WHERE decompression_error IS NULL AND NOT emptied""")
+ORACLE["landing_metadata"] = with_(RAW, LANDED, FLAGGED, """files AS (
+    SELECT fichier, departement, annee, CASE WHEN fichier LIKE '%.gz' THEN 'csv.gz' ELSE 'csv' END AS format,
+           fichier NOT LIKE '%.gz' AS decompressed, decompression_error,
+           count(*) FILTER (WHERE decompression_error IS NULL AND NOT emptied) AS nombre_lignes
+    FROM flagged GROUP BY ALL)""", body="""
+    SELECT count(*) AS nombre_fichiers, sum(nombre_lignes)::BIGINT AS nombre_lignes, 0::BIGINT AS nombre_rejets,
+           count(decompression_error) AS fichiers_endommages,
+           list(concat_ws('|', fichier, departement, annee, format, decompressed::VARCHAR, coalesce(decompression_error, ''),
+                          nombre_lignes::VARCHAR, '0') ORDER BY fichier) AS fichiers,
+           'files by department' AS source, ['1992', '1998'] AS annees_demandees
+    FROM files""")
+
+_FIELDS = [f"coalesce({c}, '')" for c in (
+    "id_mutation", "date_mutation", "valeur_fonciere", "type_local", "surface_reelle_bati", "surface_terrain", "nature_culture",
+    "nombre_pieces_principales", "code_postal", "nom_commune", "code_departement", "longitude", "latitude")]
+_QUOTED = [_FIELDS[0], "'\"' || " + _FIELDS[1], *_FIELDS[2:]]
+ORACLE["rejected_lines"] = with_(RAW, body=f"""
+    SELECT '01' AS departement, '2020' AS annee, 'dvf_01_2020.csv' AS fichier,
+           CASE right(code_postal, 1) WHEN '7' THEN concat_ws(',', {", ".join(_FIELDS[:-2])})
+                                      WHEN '8' THEN concat_ws(',', {", ".join(_FIELDS)}, 'more')
+                                      ELSE concat_ws(',', {", ".join(_QUOTED)}) END AS line,
+           CASE right(code_postal, 1) WHEN '7' THEN 'too few fields' WHEN '8' THEN 'too many fields' ELSE 'open quote' END AS reason
+    FROM raw_sales WHERE right(code_postal, 1) IN ('7', '8', '9')""")
+ORACLE["kept_lines"] = with_(RAW, body="SELECT * FROM raw_sales WHERE right(code_postal, 1) NOT IN ('7', '8', '9')")
+ORACLE["line_counts"] = with_(RAW, body="""
+    SELECT count(*) FILTER (WHERE right(code_postal, 1) NOT IN ('7', '8', '9')) AS kept,
+           count(*) FILTER (WHERE right(code_postal, 1) IN ('7', '8', '9')) AS rejected, count(*) AS read
+    FROM raw_sales""")
+
+NAME_TREE = """tree AS (
+  SELECT r_name || '/' || n_name || CASE n_nationkey % 3 WHEN 0 THEN '.txt' WHEN 1 THEN '.SHP' ELSE '.gpkg' END AS path
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+ORACLE["find_layer_file"] = with_(NAME_TREE, body="""
+    SELECT min(path) AS path FROM tree WHERE lower(path) LIKE '%.gpkg' OR lower(path) LIKE '%.shp'""")
+ORACLE["listing_text"] = with_(NAME_TREE, body="SELECT path FROM tree")
+ORACLE["outputs_records_csv"] = with_(RECORDS, body="""
+    SELECT reg_name, dep_code, dep_name, "geo.region_key"::VARCHAR AS "geo.region_key", "geo.nation_key"::VARCHAR AS "geo.nation_key",
+           to_json(codes)::VARCHAR AS codes, "extra.note"
+    FROM records""")
+ORACLE["outputs_records_json"] = ORACLE["json_pages"]
+ORACLE["outputs_records_metadata"] = with_(RECORDS, body="""
+    SELECT count(*) AS nombre_enregistrements, 'records api' AS source, ['EUROPE', 'ASIA'] AS regions,
+           ['reg_name', 'dep_code', 'dep_name', 'geo.region_key', 'geo.nation_key', 'codes', 'extra.note'] AS colonnes
+    FROM records""")
+ORACLE["outputs_layer"] = ORACLE["scan_geojson"]
+ORACLE["outputs_landing"] = with_(RAW, LANDED, MISSING, body="""
+    SELECT DISTINCT departement, annee, fichier, 'successful' AS list FROM landed
+    UNION ALL SELECT departement, annee, NULL, 'failed' FROM missing""")

@@ -15,6 +15,7 @@ from parcelle.schema import (
     LAYER_SUFFIXES,
     SCOPE_DEPARTMENTS,
 )
+from parcelle.sinks.files import below
 from parcelle.sources.files import list_files
 
 
@@ -76,9 +77,10 @@ def layer_files(spark: SparkSession, root: str, suffixes: list[str] = LAYER_SUFF
 
 
 def find_layer_file(spark: SparkSession, root: str, suffixes: list[str] = LAYER_SUFFIXES) -> DataFrame:
-    """One row: the first layer file by path order (deterministic)."""
+    """One row: the first layer file by path order (deterministic), and its
+    path below ``root``."""
     return layer_files(spark, root, suffixes).agg(F.min("path").alias("path")).filter(
-        F.col("path").isNotNull())
+        F.col("path").isNotNull()).withColumn("relative", below(F.col("path"), root))
 
 
 def layer_file_path(spark: SparkSession, root: str, suffixes: list[str] = LAYER_SUFFIXES) -> str:

@@ -12,7 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.schema import LANDED_FILE_PATTERN, RAW_SALES_COLUMNS
-from parcelle.sources.files import _file_columns, current_files, scan_sales, with_file_columns
+from parcelle.sources.files import (
+    _file_columns,
+    current_files,
+    rejected_lines,
+    scan_lines,
+    scan_sales,
+    with_file_columns,
+)
+from parcelle.sources.integrity import check_files
 
 
 def _year(raw: DataFrame) -> Column:
@@ -56,13 +64,21 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
          .partitionBy("fichier").csv(f"{root.rstrip('/')}/run={run}/{name}"))
 
 
-def read_landed(spark: SparkSession, root: str, options: dict | None = None) -> DataFrame:
+def read_landed(spark: SparkSession, root: str, options: dict | None = None, only_sound: bool = False) -> DataFrame:
     """All current landed sale lines (plain and gzip together) with
-    ``departement``, ``annee`` and ``fichier`` from each row's file name."""
-    lines = scan_sales(spark, current_files(spark, root), options)
+    ``departement``, ``annee`` and ``fichier`` from each row's file name.
+    ``only_sound`` leaves damaged compressed files out as a whole."""
+    files = sound_files(spark, root) if only_sound else current_files(spark, root)
+    lines = scan_sales(spark, files, options)
     return with_file_columns(lines).select(*RAW_SALES_COLUMNS, "departement", "annee", "fichier")
 
 
+def read_rejected(spark: SparkSession, root: str, options: dict | None = None, only_sound: bool = False) -> DataFrame:
+    """The malformed lines that ``read_landed`` leaves out, with file, text
+    and reason."""
+    return rejected_lines(spark, sound_files(spark, root) if only_sound else current_files(spark, root), options)
+
+
 def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
     """One row per current landed file: department, year, name, size in
     bytes, format and whether it is stored decompressed. A file whose name is
@@ -80,18 +96,28 @@ def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def integrity_errors(spark: SparkSession, root: str) -> DataFrame:
+    """``path, fichier, error`` of every current compressed file; the error
+    is NULL where the file is sound."""
+    packed = current_files(spark, root).where(F.col("fichier").endswith(".gz"))
+    checked = check_files(spark, packed).withColumns(_file_columns(F.col("path")))
+    return checked.select("path", "fichier", "content_bytes", "error")
+
+
 def with_decompression_errors(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
-    """The manifest with ``decompression_error``: whether a compressed file
-    yields no line at all. Reads the compressed files; corrupt ones are
-    skipped by Spark."""
-    packed = [r["path"] for r in current_files(spark, root).where("fichier like '%.gz'").select("path").collect()]
-    if not packed:
-        return manifest.withColumn("decompression_error", F.lit(False))
-    name = _file_columns(F.url_decode(F.col("_metadata.file_path")))["fichier"]
-    read = spark.read.option("ignoreCorruptFiles", "true").text(packed).groupBy(name.alias("fichier")).agg(
-        F.count(F.lit(1)).alias("lines"))
-    return manifest.join(read, "fichier", "left").withColumn(
-        "decompression_error", F.col("lines").isNull() & ~F.col("decompressed")).drop("lines")
+    """The manifest with ``decompression_error``: what is wrong with a
+    compressed file, NULL where nothing is. All compressed files are decoded
+    and checked; of several damaged parts the first by path speaks."""
+    wrong = integrity_errors(spark, root).where("error is not null").groupBy("fichier").agg(
+        F.min_by("error", "path").alias("decompression_error"))
+    return manifest.join(wrong, "fichier", "left")
+
+
+def sound_files(spark: SparkSession, root: str) -> DataFrame:
+    """``current_files`` without the compressed files that do not decode to
+    their end: a scan of these reads every line or fails, never half a file."""
+    wrong = integrity_errors(spark, root).where("error is not null").select("path")
+    return current_files(spark, root).join(wrong, "path", "left_anti")
 
 
 def expected_grid(departments: DataFrame, years: list[str],
@@ -121,6 +147,42 @@ def manifest_summary(manifest: DataFrame, missing: DataFrame) -> DataFrame:
     )
 
 
+def file_records(spark: SparkSession, root: str) -> DataFrame:
+    """One row per current landed file: the manifest's columns, the lines and
+    content bytes that Spark decodes (header lines apart), and the error of a
+    damaged compressed file, whose lines are not counted."""
+    files = sound_files(spark, root)
+    lines = with_file_columns(scan_lines(spark, files)).groupBy("fichier").agg(
+        F.count(F.lit(1)).alias("nombre_lignes"),
+        F.count("reason").alias("nombre_rejets"),
+    )
+    listed = with_decompression_errors(spark, root, landing_manifest(spark, root))
+    return listed.join(lines, "fichier", "left").fillna(0, ["nombre_lignes", "nombre_rejets"])
+
+
+FILE_RECORD = ["fichier", "departement", "annee", "taille", "format", "decompressed", "decompression_error",
+               "nombre_lignes", "nombre_rejets"]
+
+
+def landing_metadata(spark: SparkSession, root: str, source: str, scope: dict[str, list[str]],
+                     with_time: bool = True) -> DataFrame:
+    """One row that describes a landing: source, scope lists, totals, and an
+    array with a record per file, sorted by name. Two levels: lines are
+    counted per file, then the files (not the lines) are gathered."""
+    record = F.struct(*FILE_RECORD)
+    out = file_records(spark, root).agg(
+        F.count(F.lit(1)).alias("nombre_fichiers"),
+        F.coalesce(F.sum("taille"), F.lit(0)).alias("taille_totale"),
+        F.coalesce(F.sum("nombre_lignes"), F.lit(0)).alias("nombre_lignes"),
+        F.coalesce(F.sum("nombre_rejets"), F.lit(0)).alias("nombre_rejets"),
+        F.count("decompression_error").alias("fichiers_endommages"),
+        F.array_sort(F.collect_list(record)).alias("fichiers"),
+    ).withColumn("source", F.lit(source))
+    for name, values in scope.items():
+        out = out.withColumn(name, F.array(*[F.lit(v) for v in values]))
+    return out.withColumn("date_extraction", F.current_timestamp()) if with_time else out
+
+
 def dataset_metadata(landed: DataFrame, source: str | None = None,
                      with_time: bool = True, scope: dict | None = None) -> DataFrame:
     """One-row description of a dataset: sorted lists of the departments,

@@ -4,10 +4,11 @@ date-stamped partition so earlier extractions stay readable."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelle.plans.landing import dataset_metadata
-from parcelle.sinks.files import nested_as_json, write_dated
+from parcelle.sinks.files import nested_as_json, write_dated, write_listing
+from parcelle.sources.files import list_files
 from parcelle.sinks.geojson import feature_json
 
 
@@ -38,3 +39,8 @@ def save_landing(manifest: DataFrame, missing: DataFrame, landed: DataFrame,
     write_dated(manifest, f"{root}/successful", format="json")
     write_dated(missing, f"{root}/failed", format="json")
     write_dated(dataset_metadata(landed, scope=scope), f"{root}/metadata", format="json")
+
+
+def save_listing(spark: SparkSession, tree: str, root: str) -> None:
+    """The files of an extracted tree as a text listing."""
+    write_listing(list_files(spark, tree), tree, f"{root}/listing")

@@ -3,6 +3,7 @@ computed over the whole driver tables (or data Spark derives from them)."""
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from collections.abc import Callable
 
@@ -28,12 +29,17 @@ from parcelle.plans.job import SalesJob, report_frame, run_job
 from parcelle.plans.landing import (
     dataset_metadata,
     expected_grid,
+    integrity_errors,
     land_files,
     landing_manifest,
+    landing_metadata,
     manifest_summary,
     missing_partitions,
     read_landed,
+    read_rejected,
+    with_decompression_errors,
 )
+from parcelle.plans.outputs import save_landing, save_layer, save_listing, save_records
 from parcelle.plans.records import (
     area_records,
     land_layer,
@@ -49,7 +55,7 @@ from parcelle.schema import (
     SCOPE_DEPARTMENTS,
 )
 from parcelle.session import scratch_path
-from parcelle.sinks.files import EXTRACT_DATE, nested_as_json, write, write_csv, write_dated, write_json
+from parcelle.sinks.files import EXTRACT_DATE, nested_as_json, put_bytes, write, write_csv, write_dated, write_json
 from parcelle.sinks.geojson import write_geojson
 from parcelle.sources.adapter import raw_sales, table
 from parcelle.sources.files import RAW_TEXT_OPTIONS, read, read_sales
@@ -275,6 +281,84 @@ def q_dataset_metadata(spark, sf_dir):
     return dataset_metadata(read_landed(spark, _landed_root(spark, sf_dir)), with_time=False)
 
 
+# What is wrong with the landed files of a department in ``_damaged_root``.
+CUT_DEPARTMENT, FLIPPED_DEPARTMENT, EMPTY_DEPARTMENT = "01", "02", "03"
+
+
+def _damaged_root(spark, sf_dir) -> str:
+    """A landing in which the compressed files of three departments are cut
+    half way, have a wrong bit in the checksum, or are valid and empty."""
+    root = _landed_root(spark, sf_dir)
+    packed = landing_manifest(spark, root).where("not decompressed").select("fichier", "departement")
+    parts = integrity_errors(spark, root).join(packed, "fichier").where(
+        F.col("departement").isin(CUT_DEPARTMENT, FLIPPED_DEPARTMENT, EMPTY_DEPARTMENT)).select("path", "departement").collect()
+    for r in parts:  # the parts of three departments
+        content = bytes(spark.read.format("binaryFile").load(r["path"]).first()["content"])
+        put_bytes(spark, r["path"], {
+            CUT_DEPARTMENT: content[:len(content) // 2],
+            FLIPPED_DEPARTMENT: content[:-8] + bytes([content[-8] ^ 1]) + content[-7:],
+            EMPTY_DEPARTMENT: gzip.compress(b""),
+        }[r["departement"]])
+    return root
+
+
+@query("landing_integrity")
+def q_landing_integrity(spark, sf_dir):
+    root = _damaged_root(spark, sf_dir)
+    return with_decompression_errors(spark, root, landing_manifest(spark, root)).drop("taille")
+
+
+@query("landing_sound_lines")
+def q_landing_sound_lines(spark, sf_dir):
+    """Lines of the files that decode to their end: none of a damaged file."""
+    return read_landed(spark, _damaged_root(spark, sf_dir), only_sound=True)
+
+
+@query("landing_metadata")
+def q_landing_metadata(spark, sf_dir):
+    root = _damaged_root(spark, sf_dir)
+    out = landing_metadata(spark, root, source="files by department", scope={"annees_demandees": ["1992", "1998"]}, with_time=False)
+    # A record as text, without the stored size, which depends on the writer.
+    names = ["fichier", "departement", "annee", "format", "decompressed", "decompression_error", "nombre_lignes", "nombre_rejets"]
+    texts = F.transform("fichiers", lambda f: F.concat_ws("|", *(F.coalesce(f[n].cast("string"), F.lit("")) for n in names)))
+    return out.drop("taille_totale").withColumn("fichiers", texts)
+
+
+def _malformed_root(spark, sf_dir) -> str:
+    """Landed lines of which some lack their last two fields, have one more,
+    or leave a quote open in the second field."""
+    root, raw = scratch_path(spark, "malformed"), raw_sales(spark, sf_dir)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in raw.columns]
+    last = F.substring("code_postal", -1, 1)
+    line = F.when(last == "7", F.concat_ws(",", *fields[:-2])).when(last == "8", F.concat_ws(",", *fields, F.lit("more"))).when(
+        last == "9", F.concat_ws(",", fields[0], F.concat(F.lit('"'), fields[1]), *fields[2:])).otherwise(F.concat_ws(",", *fields))
+    # One column that holds whole lines, named by the header line, unquoted.
+    lines = raw.select(line.alias(",".join(raw.columns)))
+    write(lines, f"{root}/dvf_01_2020.csv", format="csv", options={
+        "header": "true", "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    return root
+
+
+@query("rejected_lines")
+def q_rejected_lines(spark, sf_dir):
+    return read_rejected(spark, _malformed_root(spark, sf_dir))
+
+
+@query("kept_lines")
+def q_kept_lines(spark, sf_dir):
+    return read_sales(spark, _malformed_root(spark, sf_dir))
+
+
+@query("line_counts")
+def q_line_counts(spark, sf_dir):
+    """kept + rejected = read, of one landing; read counts lines of text."""
+    root = _malformed_root(spark, sf_dir)
+    kept, rejected = read_sales(spark, root).agg(F.count("id_mutation").alias("kept")), read_rejected(spark, root)
+    text = spark.read.option("recursiveFileLookup", "true").text(root).where(~F.col("value").startswith("id_mutation,"))
+    counts = [kept.select("kept").first()[0], rejected.count(), text.count()]
+    return spark.createDataFrame([tuple(counts)], "kept long, rejected long, read long")
+
+
 @query("sink_parquet")
 def q_sink_parquet(spark, sf_dir):
     path = scratch_path(spark, "clean-parquet")
@@ -417,10 +501,72 @@ def q_sink_geojson(spark, sf_dir):
 
 @query("find_layer_file")
 def q_find_layer_file(spark, sf_dir):
+    """A tree with a folder per region and a file per nation, some of them
+    layers; the first layer's path below the root."""
     root = scratch_path(spark, "tree")
-    land_layer(polygon_layer(spark, sf_dir, "CODE_DEP", _code()), f"{root}/layers")
-    land_files(raw_sales(spark, sf_dir), f"{root}/sales")
-    return find_layer_file(spark, root, [".txt"])
+    _name_tree(spark, sf_dir, root)
+    return find_layer_file(spark, root).select(F.col("relative").alias("path"))
+
+
+def _name_tree(spark, sf_dir, root):
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    for r in nations.select("n_nationkey", "n_name", "r_name").collect():  # file names: one per nation
+        suffix = (".txt", ".SHP", ".gpkg")[r["n_nationkey"] % 3]
+        put_bytes(spark, f"{root}/{r['r_name']}/{r['n_name']}{suffix}", r["n_name"].encode())
+
+
+@query("listing_text")
+def q_listing_text(spark, sf_dir):
+    tree, out = scratch_path(spark, "listed-tree"), scratch_path(spark, "listing")
+    _name_tree(spark, sf_dir, tree)
+    save_listing(spark, tree, out)
+    return spark.read.text(f"{out}/listing").select(F.col("value").alias("path"))
+
+
+# -- collection outputs -------------------------------------------------------
+
+SCOPE = {"regions": ["EUROPE", "ASIA"]}
+
+
+def _records_saved(spark, sf_dir):
+    root = scratch_path(spark, "records-out")
+    save_records(flatten(page_records(_pages(spark, sf_dir))), root, source="records api", scope=SCOPE)
+    return root
+
+
+@query("outputs_records_csv")
+def q_outputs_records_csv(spark, sf_dir):
+    return read(spark, f"{_records_saved(spark, sf_dir)}/csv", "csv", options=RAW_TEXT_OPTIONS | {"recursiveFileLookup": "false"}).drop(
+        EXTRACT_DATE)
+
+
+@query("outputs_records_json")
+def q_outputs_records_json(spark, sf_dir):
+    return spark.read.json(f"{_records_saved(spark, sf_dir)}/json").drop(EXTRACT_DATE)
+
+
+@query("outputs_records_metadata")
+def q_outputs_records_metadata(spark, sf_dir):
+    return spark.read.json(f"{_records_saved(spark, sf_dir)}/metadata").drop(EXTRACT_DATE, "date_extraction")
+
+
+@query("outputs_layer")
+def q_outputs_layer(spark, sf_dir):
+    root = scratch_path(spark, "layer-out")
+    save_layer(_layer(spark, sf_dir, "CODE_DEP", _code()), root, source="layer", scope=SCOPE)
+    return flatten(read_geojson(spark, f"{root}/geojson").drop(EXTRACT_DATE))
+
+
+@query("outputs_landing")
+def q_outputs_landing(spark, sf_dir):
+    """Success and failure lists as they are read back from their files."""
+    landing, root = _landed_root(spark, sf_dir), scratch_path(spark, "landing-out")
+    manifest = landing_manifest(spark, landing)
+    save_landing(manifest, missing_partitions(_expected(spark, sf_dir), manifest), read_landed(spark, landing), root)
+    schema = "departement string, annee string, fichier string"
+    lists = [spark.read.schema(schema).json(f"{root}/{name}").withColumn("list", F.lit(name)) for name in ("successful", "failed")]
+    return lists[0].unionByName(lists[1]).drop(EXTRACT_DATE)
 
 
 # -- job ----------------------------------------------------------------------

@@ -3,7 +3,7 @@ nested records."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,3 +62,27 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                options: dict | None = None) -> None:
     """JSON lines, one record per line (nested values kept as JSON)."""
     write(df, path, format="json", mode=mode, options=options)
+
+
+def write_listing(files: DataFrame, root: str, path: str, date: str | None = None) -> None:
+    """The listed ``files`` (``path``) below ``root`` as text, one per line in
+    path order, under a date-stamped partition."""
+    lines = files.select(below(F.col("path"), root).alias("value")).sort("value")
+    write_dated(lines, path, format="text", date=date)
+
+
+def below(path: Column, root: str) -> Column:
+    """A listed path relative to ``root``."""
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return F.replace(plain(path), F.concat(plain(F.lit(root.rstrip("/"))), F.lit("/")), F.lit(""))
+
+
+def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file of a given name, through the file system that Spark
+    uses for the path (a driver-side write, for lists and markers)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()

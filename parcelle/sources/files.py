@@ -4,8 +4,10 @@ an explicit schema, and year / department taken from landed file names."""
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,55 +79,120 @@ def current_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", "modificationTime", "fichier", "logical")
 
 
-def _header(spark: SparkSession, path: str, options: dict) -> tuple[str, ...] | None:
-    """Column names of a CSV file's first line; None for an empty file, or
-    for a corrupt one when the options say to ignore it."""
+def _same_path(path: str) -> str:
+    """A path as listings and row metadata both write it."""
+    return re.sub(r"^file:/+", "file:/", path)
+
+
+def _first_lines(spark: SparkSession, paths: list[str], options: dict) -> dict[str, str]:
+    """First line of each file that has one, by path: one job, in which a
+    task reads one file and stops after its first line."""
     lenient = {k: v for k, v in options.items() if k.lower().startswith("ignore") and k.lower().endswith("files")}
-    first = spark.read.options(**lenient).text(path).first()
-    if first is None:
-        return None
-    line = first["value"].removeprefix("\ufeff")
-    return tuple(next(csv.reader([line], delimiter=options.get("sep", options.get("delimiter", ",")))))
+    apart = spark.newSession()  # file packing is a session setting: a task per file, nothing split
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        apart.conf.set(key, str(1 << 50))
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = apart.read.options(**lenient).text(paths).select(
+        F.url_decode("_metadata.file_path").alias("path"), F.col("value"))
+    return {_same_path(r["path"]): r["value"] for r in lines.mapInArrow(first, "path string, value string").collect()}
 
 
 def _by_header(spark: SparkSession, paths: list[str], options: dict) -> dict[tuple[str, ...], list[str]]:
     """Files by header. Only first lines are read, once per folder that Spark
-    wrote (its parts share a header) and once per other file."""
+    wrote (its parts share a header) and once per other file; files without a
+    line (or unreadable, when the options say to ignore those) are left out."""
     groups: dict[str, list[str]] = {}
     for path in sorted(paths):
         folder = path.rsplit("/", 1)[0]
         groups.setdefault(folder if "=" in folder.rsplit("/", 1)[-1] else path, []).append(path)
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda members: _header(spark, members[0], options), groups.values()))
+    firsts = _first_lines(spark, [members[0] for members in groups.values()], options) if groups else {}
+    sep = options.get("sep", options.get("delimiter", ","))
     found: dict[tuple[str, ...], list[str]] = {}
-    for header, members in zip(headers, groups.values(), strict=True):
-        if header:
+    for members in groups.values():
+        line = firsts.get(_same_path(members[0]))
+        if line is not None:
+            header = tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), ()))
             found.setdefault(header, []).extend(members)
+    found.pop((), None)
     return found
 
 
-def scan_sales(spark: SparkSession, files: DataFrame, options: dict | None = None) -> DataFrame:
-    """Raw sale lines of listed ``files`` (``path``) by column name, with
-    ``file_path``. The list of paths comes to the driver, as any file scan's
-    does; columns that a file lacks are NULL, others are dropped. A file
-    without the sale's key column is an error."""
+REJECTED = "_rejected_line"
+
+
+def _reason(line: Column, n_fields: int, sep: str) -> Column:
+    """Why a line is malformed, from its text."""
+    outside = F.regexp_replace(line, '"[^"]*"', "")
+    fields = F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit("")))
+    return (
+        F.when(outside.contains('"'), F.lit("open quote"))
+        .when(fields < (n_fields - 1) * len(sep), F.lit("too few fields"))
+        .when(fields > (n_fields - 1) * len(sep), F.lit("too many fields"))
+        .otherwise(F.lit("malformed"))
+    )
+
+
+def scan_lines(spark: SparkSession, files: DataFrame, options: dict | None = None) -> DataFrame:
+    """Every line of listed ``files`` (``path``) by column name, with
+    ``file_path`` and, where the line is malformed, its text and the reason
+    (``_rejected_line``, ``reason``; else NULL).
+
+    A line is malformed if it does not have its file's number of fields; a
+    quote that is left open before the last field swallows the fields behind
+    it, so it is, too. The list of paths comes to the driver, as any file
+    scan's does; columns that a file lacks are NULL, others are dropped. A
+    file without the sale's key column is an error.
+    """
     opts = {**RAW_TEXT_OPTIONS, **(options or {})}
-    out = spark.createDataFrame([], RAW_SALES_SCHEMA).withColumn("file_path", F.lit(""))
+    sep = opts.get("sep", opts.get("delimiter", ","))
+    extra = [T.StructField(c, T.StringType()) for c in ("file_path", REJECTED, "reason")]
+    out = spark.createDataFrame([], T.StructType([*RAW_SALES_SCHEMA.fields, *extra]))
     for header, paths in _by_header(spark, [r["path"] for r in files.select("path").collect()], opts).items():
         if SALE_KEY not in header:
             raise ValueError(f"no column {SALE_KEY} in {paths[0]}: {list(header)}")
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        lines = spark.read.options(**opts).schema(schema).csv(paths).withColumn("file_path", F.col("_metadata.file_path"))
-        known = conform_columns(lines, RAW_SALES_SCHEMA, keep_extra=True).select(*RAW_SALES_SCHEMA.names, "file_path")
-        out = out.unionByName(known)
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, REJECTED)])
+        # All fields of a line are parsed, whatever columns are asked for:
+        # with pruned columns the parser would not count fields.
+        full = {**opts, "columnPruning": "false", "columnNameOfCorruptRecord": REJECTED}
+        lines = spark.read.options(**full).schema(schema).csv(paths).withColumns({
+            "file_path": F.col("_metadata.file_path"), "reason": F.when(_is_rejected(), _reason(F.col(REJECTED), len(header), sep))})
+        known = conform_columns(lines, RAW_SALES_SCHEMA, keep_extra=True)
+        out = out.unionByName(known.select(*RAW_SALES_SCHEMA.names, "file_path", REJECTED, "reason"))
     return out
 
 
+def _is_rejected() -> Column:
+    """Not a bare null test of the reject column: the scan would answer that
+    from the file without parsing, and a plan may not read it alone."""
+    nothing = F.substring(F.coalesce(F.col(SALE_KEY), F.lit("")), 1, 0)
+    return F.concat(F.coalesce(F.col(REJECTED), F.lit("")), nothing) != ""
+
+
+def scan_sales(spark: SparkSession, files: DataFrame, options: dict | None = None) -> DataFrame:
+    """The well-formed sale lines of listed ``files``, with ``file_path``;
+    ``rejected_lines`` has the others."""
+    return scan_lines(spark, files, options).where(~_is_rejected()).drop(REJECTED, "reason")
+
+
+def rejected_lines(spark: SparkSession, files: DataFrame, options: dict | None = None) -> DataFrame:
+    """``departement, annee, fichier, line, reason`` of the malformed lines:
+    the side channel of ``scan_sales``, which keeps the others."""
+    bad = with_file_columns(scan_lines(spark, files, options).where(_is_rejected()))
+    return bad.select("departement", "annee", "fichier", F.col(REJECTED).alias("line"), "reason")
+
+
 def read_sales(spark: SparkSession, path: str, options: dict | None = None,
                rebalance: int | None = None) -> DataFrame:
     """Raw sale lines from a folder of landed CSV files, plain or gzip: the
     current version of each landed name, columns found by the files' headers
-    in any order.
+    in any order. Malformed lines are left out (``rejected_lines`` has them).
 
     All 13 columns are text (no inference). Gzip files are not splittable,
     so each is one read task; ``rebalance`` spreads the rows over that many

@@ -225,7 +225,8 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     """Recursive listing ``path, length, modificationTime`` of a folder.
 
     The binary-file source reads no file content unless ``content`` is
-    selected, so this is a metadata-only scan.
+    selected, so this is a metadata-only scan. Spark lists no file of zero
+    bytes.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:

@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,8 +81,14 @@ def check_files(spark: SparkSession, files: DataFrame, in_row_bytes: int = IN_RO
 
 
 def _read_error(spark: SparkSession, path: str) -> str | None:
+    """The innermost error of decoding a whole file with Spark."""
     try:
         spark.read.text(path).select(F.sum(F.length("value"))).collect()
+    except Py4JJavaError as failure:
+        cause = failure.java_exception
+        while cause.getCause() is not None:
+            cause = cause.getCause()
+        return str(cause.getMessage() or cause.toString()).splitlines()[0]
     except PySparkException as failure:
         return str(failure).splitlines()[0]
     return None

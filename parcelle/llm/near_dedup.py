@@ -12,7 +12,8 @@ Candidates are verified on their full shingle sets. Buckets are never expanded
 into all pairs: in each of ``ROUNDS`` rounds every bucket elects one member of
 its largest component, the members of its other components are verified
 against it, and the links found are joined into components. A large group of
-near copies collapses in a round or two. For members of buckets that then
+near copies collapses in a round or two. Pairs are verified once; a bucket of
+two is decided after the first round. For members of larger buckets that then
 still hold several components an exact join finds the rest: two sets of
 similarity t share one of their 1 - t rarest shingles, and the place of the
 first one that they share bounds how many can follow. So every pair that
@@ -21,8 +22,9 @@ verified: no candidate is dropped.
 
 Defined results: NULL or blank texts have no shingles and are linked with
 nothing; texts with fewer words than a shingle have one, the whole sequence;
-of a component the row with the smallest id is kept (the first such row where
-rows repeat, a NULL id only if there is no other); an empty table gives an
+of a component one row with the smallest id is kept (the first such row where
+ids repeat, a NULL id only if there is no other; the query calls every row with
+that id kept); an empty table gives an
 empty result.
 """
 
@@ -106,6 +108,18 @@ def shingle_sets(data: list[bytes], words: int) -> Iterator[np.ndarray]:
         yield from _shingles(chunk, words)
 
 
+def pieces(frames: Iterator[pd.DataFrame], column: str, most: int = 4 * CHUNK_BYTES) -> Iterator[pd.DataFrame]:
+    """The frames, cut so that a piece has about ``most`` bytes of
+    ``column``, or one row."""
+    for frame in frames:
+        ends = np.cumsum(frame[column].str.len().to_numpy())
+        at = 0
+        while at < len(frame):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            yield frame.iloc[at:stop]
+            at = stop
+
+
 def minhashes(sets: list[np.ndarray], n: int) -> np.ndarray:
     """(set, n) minima of n hash functions; the sets must not be empty."""
     flat = np.concatenate(sets)
@@ -124,7 +138,7 @@ def _sketch(docs: DataFrame, words: int, side: int, rows: int) -> DataFrame:
     n_hash = 2 * side * rows
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in pieces(frames, "text"):
             sets = list(shingle_sets([x.encode() for x in frame["text"]], words))
             some = [i for i, s in enumerate(sets) if len(s)]
             keys = np.zeros((len(sets), 2 * side), np.uint64)
@@ -142,7 +156,7 @@ def _sketch(docs: DataFrame, words: int, side: int, rows: int) -> DataFrame:
                     mins[i] = x.tobytes()
             signed = keys.view(np.int64)
             yield pd.DataFrame({
-                "row": frame["row"], "doc_id": frame["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
+                "row": frame["row"].to_numpy(), "doc_id": frame["doc_id"].astype("Int64").array, "n": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                 "left": list(signed[:, :side]), "right": list(signed[:, side:]), "mins": mins,
             })
@@ -153,9 +167,9 @@ def _sketch(docs: DataFrame, words: int, side: int, rows: int) -> DataFrame:
 
 def _full_sets(docs: DataFrame, words: int) -> DataFrame:
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in pieces(frames, "text"):
             sets = shingle_sets([x.encode() for x in frame["text"]], words)
-            yield pd.DataFrame({"row": frame["row"], "shingles": [s.astype("<u8").tobytes() for s in sets]})
+            yield pd.DataFrame({"row": frame["row"].to_numpy(), "shingles": [s.astype("<u8").tobytes() for s in sets]})
 
     return docs.mapInPandas(extract, "row long, shingles binary")
 
@@ -228,21 +242,33 @@ def _rare_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _buckets(reps: DataFrame, side: int) -> DataFrame:
+    """(row, key, n) of the tables' keys that ``n`` > 1 classes share. A table
+    key pairs one key of either collection and can be shared only if both of
+    these are: so the 2 x ``side`` keys of a class are filtered first, and only
+    the pairs of those left are formed."""
+    ones = reps.select("row", F.posexplode(F.concat("left", "right")).alias("place", "key"))
+    ones = ones.select("row", "place", F.xxhash64("place", "key").alias("one"))
+    often = ones.groupBy("one").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one")
+    ones = written(ones.join(often, "one", "left_semi"), "side_keys")
+    collect = lambda on: F.collect_list(F.when(on, F.col("one")))
+    halves = ones.groupBy("row").agg(  # at most ``side`` keys each
+        collect(F.col("place") < side).alias("left"), collect(F.col("place") >= side).alias("right"))
+    keys = halves.select("row", "right", F.explode("left").alias("l")).select("row", "l", F.explode("right").alias("r"))
+    keys = keys.select("row", F.xxhash64("l", "r").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return written(keys.join(shared, "key").select("row", "key", "n"), "buckets")
+
+
 def similar_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: int, side: int, rows: int) -> DataFrame | None:
     """(node, root) of the components of similar classes, named by rows."""
     reps = sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("row")).select("row")
-    reps = sketches.join(reps, "row", "left_semi")
-    table = F.explode(F.sequence(F.lit(0), F.lit(side * side - 1)))
-    keys = reps.select("row", "left", "right", table.alias("t")).select(
-        "row", F.xxhash64("t", F.element_at("left", F.floor(F.col("t") / side).cast("int") + 1),
-                          F.element_at("right", F.col("t") % side + 1)).alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = written(keys.join(shared, "key", "left_semi"), "buckets")
+    buckets = _buckets(sketches.join(reps, "row", "left_semi"), side)
     met = buckets.select("row").distinct()
     members = written(sketches.select("row", "n", "mins").join(met, "row", "left_semi"), "members")
     sets = written(_full_sets(docs.join(members.select("row"), "row", "left_semi").select("row", "text"), words), "sets")
 
-    roots = None
+    roots = tried = None
     n_hash = 2 * side * rows
     mean = n_hash * percent / 100
     least_agree = int(mean - 5.2 * (mean * (1 - percent / 100)) ** 0.5)  # one pair in a million is below
@@ -260,9 +286,15 @@ def similar_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: i
         else:  # one elected member of each bucket's largest component with the members of others
             pairs = rooted.where(F.col("root") != F.col("e.root")).select(
                 F.least("row", F.col("e.first")).alias("a"), F.greatest("row", F.col("e.first")).alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         found = written(_linked(pairs, members, sets, percent, least_agree), "links")
         stars = found if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = written(components(stars), "roots")
+        if turn == 0:  # the one pair of a bucket of two has been verified
+            buckets = buckets.where("n > 2")
     return roots
 
 

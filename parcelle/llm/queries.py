@@ -79,7 +79,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return near_dedup.near_dedup(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return near_dedup.near_dedup(docs).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 @query

@@ -6,8 +6,9 @@ sale alone and lists its land uses. Both kinds go through one aggregation
 over one read of the lines: a land line has a NULL type and NULL rooms, so
 the building key reduces to the land key for it.
 
-Only algebraic aggregates (sum, max, count) cross the shuffle, so Spark
-combines them map-side: a sale holding a third of all lines is reduced to
+Sums and means are exact integer sums (``functions.exact_sum``), so the same
+lines give the same bits under any partitioning. Only algebraic aggregates
+(sum, max, count) cross the shuffle, so Spark combines them map-side: a sale holding a third of all lines is reduced to
 one partial row per input partition before anything moves.
 
 The land-use list is the one holistic aggregate. It is built in two levels:
@@ -23,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.functions.exact_sum import mean, merged, partial, total
 from parcelle.functions.typing import ratio
 from parcelle.schema import BUILDING_KEYS, CLEAN_COLUMNS, LAND_KEYS, LAND_TYPE_LABEL
 
@@ -39,38 +41,23 @@ def expand_counts(pairs: str = "_natures") -> Column:
     )
 
 
+SUMMED = {"_bati": "surface_reelle_bati", "_terrain_sum": "surface_terrain", "_lon": "longitude", "_lat": "latitude"}
+
+
 def _per_sale(lines: DataFrame, natures: bool) -> DataFrame:
-    if not natures:
-        return lines.groupBy(*SALE_KEYS).agg(
-            F.sum("surface_reelle_bati").alias("_bati"),
-            F.max("surface_terrain").alias("_terrain_max"),
-            F.sum("surface_terrain").alias("_terrain_sum"),
-            F.avg("longitude").alias("longitude"),
-            F.avg("latitude").alias("latitude"),
-        ).withColumn("_natures", F.lit(None).cast("array<struct<value:string,n:bigint>>"))
-    level1 = lines.groupBy(*SALE_KEYS, "nature_culture").agg(
-        F.sum("surface_reelle_bati").alias("_bati"),
-        F.max("surface_terrain").alias("_terrain_max"),
-        F.sum("surface_terrain").alias("_terrain_sum"),
-        F.sum("longitude").alias("_lon_sum"),
-        F.count("longitude").alias("_lon_n"),
-        F.sum("latitude").alias("_lat_sum"),
-        F.count("latitude").alias("_lat_n"),
-        F.count(F.lit(1)).alias("_lines"),
-    )
-    return level1.groupBy(*SALE_KEYS).agg(
-        F.sum("_bati").alias("_bati"),
-        F.max("_terrain_max").alias("_terrain_max"),
-        F.sum("_terrain_sum").alias("_terrain_sum"),
-        F.try_divide(F.sum("_lon_sum"), F.sum("_lon_n")).alias("longitude"),
-        F.try_divide(F.sum("_lat_sum"), F.sum("_lat_n")).alias("latitude"),
-        F.collect_list(
-            F.when(
-                F.col("nature_culture").isNotNull(),
-                F.struct(F.col("nature_culture").alias("value"), F.col("_lines").alias("n")),
-            )
-        ).alias("_natures"),
-    )
+    sums = [part for name, column in SUMMED.items() for part in partial(column, name)]
+    if natures:
+        lines = lines.groupBy(*SALE_KEYS, "nature_culture").agg(
+            *sums, F.max("surface_terrain").alias("surface_terrain"), F.count(F.lit(1)).alias("_lines"))
+        sums = [part for name in SUMMED for part in merged(name)]
+        pair = F.struct(F.col("nature_culture").alias("value"), F.col("_lines").alias("n"))
+        listed = [F.collect_list(F.when(F.col("nature_culture").isNotNull(), pair)).alias("_natures")]
+    else:
+        listed = [F.first(F.lit(None).cast("array<struct<value:string,n:bigint>>")).alias("_natures")]
+    per_sale = lines.groupBy(*SALE_KEYS).agg(*sums, F.max("surface_terrain").alias("_terrain_max"), *listed)
+    return per_sale.select(
+        *SALE_KEYS, total("_bati").alias("_bati"), "_terrain_max", total("_terrain_sum").alias("_terrain_sum"),
+        mean("_lon").alias("longitude"), mean("_lat").alias("latitude"), "_natures")
 
 
 def aggregate_sales(lines: DataFrame, natures: bool = True,

@@ -320,3 +320,46 @@ ORACLE["outputs_layer"] = ORACLE["scan_geojson"]
 ORACLE["outputs_landing"] = with_(RAW, LANDED, MISSING, body="""
     SELECT DISTINCT departement, annee, fichier, 'successful' AS list FROM landed
     UNION ALL SELECT departement, annee, NULL, 'failed' FROM missing""")
+
+
+# -- geometry and published outputs --------------------------------------------
+
+# The inverse conic projection with its published constants: cone constant,
+# radius, northing of the apex, eccentricity squared.
+ORACLE["layer_to_degrees"] = """
+WITH k AS (SELECT 0.7256077650532682e0 AS n, 11754255.42609601e0 AS c, 12655612.049875995e0 AS ys,
+                  2 / 298.257222101e0 - 1 / (298.257222101e0 * 298.257222101e0) AS e2),
+corners AS (
+  SELECT n_name, i AS corner,
+         100000e0 + n_nationkey * 40000e0 + CASE WHEN i IN (1, 2) THEN 20000e0 ELSE 0e0 END AS x,
+         6100000e0 + n_regionkey * 200000e0 + CASE WHEN i IN (2, 3) THEN 20000e0 ELSE 0e0 END AS y
+  FROM nation, (SELECT unnest([0, 1, 2, 3, 4]) AS i) t),
+polar AS (
+  SELECT n_name, corner, n, e2, atan2(x - 700000, ys - y) / n AS turn,
+         -ln(sqrt((x - 700000) * (x - 700000) + (ys - y) * (ys - y)) / c) / n AS iso
+  FROM corners, k),
+conformal AS (SELECT *, atan((exp(iso) - exp(-iso)) / 2) AS u FROM polar)
+SELECT n_name AS "NOM", 4326 AS srid, corner, round(3 + degrees(turn), 7) AS longitude,
+       round(degrees(u + (e2 / 2 + 5 * e2 ** 2 / 24 + e2 ** 3 / 12 + 13 * e2 ** 4 / 360) * sin(2 * u)
+                       + (7 * e2 ** 2 / 48 + 29 * e2 ** 3 / 240 + 811 * e2 ** 4 / 11520) * sin(4 * u)
+                       + (7 * e2 ** 3 / 120 + 81 * e2 ** 4 / 1120) * sin(6 * u)
+                       + 4279 * e2 ** 4 / 161280 * sin(8 * u)), 7) AS latitude
+FROM conformal"""
+
+
+def _bytes(x: str) -> str:
+    return f"hex(CAST(CAST({x} AS DOUBLE) AS BIT)::BLOB)"
+
+
+ORACLE["sale_points_wkb"] = with_(*SALES_CTES, SERVING, body=f"""
+    SELECT transaction_id, property_type, rooms, '0020000001000010E6' || {_bytes("longitude")} || {_bytes("latitude")} AS ewkb
+    FROM serving""")
+ORACLE["layer_wkb"] = with_(_layer("CODE_DEP", CODE), body=f"""
+    SELECT "CODE_DEP", '00000000030000000100000005' || string_agg({_bytes("p[1]")} || {_bytes("p[2]")}, '' ORDER BY i) AS wkb
+    FROM (SELECT "CODE_DEP", unnest("geometry.coordinates"[1]) AS p, unnest(range(5)) AS i FROM layer)
+    GROUP BY "CODE_DEP" """)
+ORACLE["sales_in_areas"] = with_(*SALES_CTES, SERVING, body=f"""
+    SELECT transaction_id, property_type, rooms, longitude, latitude, {CODE} AS "CODE_DEP", n_name AS "NOM"
+    FROM serving JOIN (SELECT *, -5e0 + n_nationkey * 0.125e0 AS x0, 47e0 + n_regionkey * 0.125e0 AS y0 FROM nation) n
+      ON longitude >= x0 AND longitude < x0 + 0.125 AND latitude >= y0 AND latitude < y0 + 0.125""")
+ORACLE["sink_published"] = with_(*SALES_CTES, body="SELECT * FROM clean")

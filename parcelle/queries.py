@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelle.functions.lambert import to_degrees
 from parcelle.functions.nested import flatten, parse_json_column
 from parcelle.functions.typing import normalise_text, ratio
+from parcelle.functions.wkb import point_wkb, polygon_wkb
 from parcelle.operators.aggregate import building_sales, land_sales
 from parcelle.operators.conform import conform_columns
 from parcelle.operators.filters import (
@@ -23,6 +25,7 @@ from parcelle.operators.filters import (
     split_buildings,
     split_land,
 )
+from parcelle.operators.spatial import points_in_areas
 from parcelle.plans.areas import find_layer_file, region_filter
 from parcelle.plans.clean import clean_sales, sale_points, serving_sales, typed_sales
 from parcelle.plans.job import SalesJob, report_frame, run_job
@@ -51,12 +54,14 @@ from parcelle.schema import (
     CLEAN_SCHEMA,
     LAND_KEYS,
     LAND_TYPE_LABEL,
+    POINT_SRID,
     RAW_SALES_SCHEMA,
     SCOPE_DEPARTMENTS,
 )
 from parcelle.session import scratch_path
 from parcelle.sinks.files import EXTRACT_DATE, nested_as_json, put_bytes, write, write_csv, write_dated, write_json
 from parcelle.sinks.geojson import write_geojson
+from parcelle.sinks.published import publish, read_published, stage
 from parcelle.sources.adapter import raw_sales, table
 from parcelle.sources.files import RAW_TEXT_OPTIONS, read, read_sales
 from parcelle.sources.jdbc import derby_memory, read_table, string_column_types, write_table
@@ -569,6 +574,57 @@ def q_outputs_landing(spark, sf_dir):
     return lists[0].unionByName(lists[1]).drop(EXTRACT_DATE)
 
 
+# -- geometry -----------------------------------------------------------------
+
+METRES = 20_000.0
+
+
+@query("layer_to_degrees")
+def q_layer_to_degrees(spark, sf_dir):
+    """A layer in Lambert-93 metres, landed and read back, in degrees: one
+    row per corner."""
+    x0 = F.lit(100_000.0) + F.col("n_nationkey") * 40_000.0
+    y0 = F.lit(6_100_000.0) + F.col("n_regionkey") * 200_000.0
+    corner = lambda i, j: F.array(x0 + i * METRES, y0 + j * METRES)
+    ring = F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1), corner(0, 0))
+    square = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+    root = scratch_path(spark, "lambert")
+    land_layer(table(spark, sf_dir, "nation").select(F.col("n_name").alias("NOM"), square.alias("geometry")), root)
+    corners = to_degrees(read_geojson(spark, root)).select(
+        "NOM", "srid", F.posexplode(F.flatten("geometry.coordinates")).alias("corner", "p"))
+    return corners.select("NOM", "srid", "corner", F.round(F.col("p")[0], 7).alias("longitude"), F.round(F.col("p")[1], 7).alias("latitude"))
+
+
+@query("sale_points_wkb")
+def q_sale_points_wkb(spark, sf_dir):
+    sales = serving_sales(clean_sales(raw_sales(spark, sf_dir)))
+    wkb = point_wkb(F.col("longitude"), F.col("latitude"), POINT_SRID)
+    return sales.select("transaction_id", "property_type", "rooms", F.hex(wkb).alias("ewkb"))
+
+
+@query("layer_wkb")
+def q_layer_wkb(spark, sf_dir):
+    layer = polygon_layer(spark, sf_dir, "CODE_DEP", _code())
+    return layer.select("CODE_DEP", F.hex(polygon_wkb(F.col("geometry.coordinates"))).alias("wkb"))
+
+
+@query("sales_in_areas")
+def q_sales_in_areas(spark, sf_dir):
+    sales = serving_sales(clean_sales(raw_sales(spark, sf_dir))).select(
+        "transaction_id", "property_type", "rooms", "longitude", "latitude")
+    return points_in_areas(sales, _layer(spark, sf_dir, "CODE_DEP", _code()), "longitude", "latitude")
+
+
+@query("sink_published")
+def q_sink_published(spark, sf_dir):
+    """Two versions are published; then a writer dies before it commits."""
+    root, raw = scratch_path(spark, "published"), raw_sales(spark, sf_dir)
+    publish(building_sales(sale_lines(typed_sales(raw), land=False)), root)
+    publish(clean_sales(raw), root)
+    stage(clean_sales(raw).limit(10), root)
+    return read_published(spark, root)
+
+
 # -- job ----------------------------------------------------------------------
 
 @query("job_report")

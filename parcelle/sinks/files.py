@@ -77,11 +77,12 @@ def below(path: Column, root: str) -> Column:
     return F.replace(plain(path), F.concat(plain(F.lit(root.rstrip("/"))), F.lit("/")), F.lit(""))
 
 
-def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+def put_bytes(spark: SparkSession, path: str, content: bytes, overwrite: bool = True) -> None:
     """One small file of a given name, through the file system that Spark
-    uses for the path (a driver-side write, for lists and markers)."""
+    uses for the path (a driver-side write, for lists and markers). Without
+    ``overwrite`` a file that exists is an error."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop, True)
+    stream = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop, overwrite)
     try:
         stream.write(bytearray(content))
     finally:

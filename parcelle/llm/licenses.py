@@ -18,8 +18,9 @@ are skipped; no line above the threshold is.
 
 A file without a header of its own takes the licence of the licence file in
 its directory or the nearest directory above, by joining the file's ancestor
-directories with those of licence files. All DataFrame operations; the
-templates (``MAX_TERMS`` words at most) are the only broadcast side.
+directories with those of licence files. All DataFrame operations; broadcast
+are the templates (``MAX_TERMS`` words at most) and, up to ``MAX_BROADCAST``,
+the numbers of files that may be full texts.
 
 Defined results: NULL and empty texts have no licence of their own and may
 inherit one; of equally good templates the first by name counts, of several
@@ -40,6 +41,8 @@ from parcelle.llm.common import ascii_lower, written
 
 THRESHOLD = 0.6
 MAX_TERMS = 10_000
+#: Row numbers that may be broadcast (8 bytes each).
+MAX_BROADCAST = 500_000
 #: Short forms of licence headers.
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
@@ -105,9 +108,6 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
     notices = set() if templates else {f"{i}" for i in range(len(TEMPLATES), len(TEMPLATES) + len(NOTICES))}
     license_of = {f"{i}": name for i, (name, _) in enumerate(given_texts)}
     templates = {f"{i}": text for i, (_, text) in enumerate(given_texts)}
-    source = written(files.select(  # numbered once: each scan would number anew, after how it splits the files
-        F.monotonically_increasing_id().alias("row"), F.col(path_col).alias("path"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text")), "numbered")
     named = spark.createDataFrame(list(templates.items()), "template string, text string")
     bags: dict[str, dict[str, int]] = {name: {} for name in templates}
     for r in _bags(named, ["template"]).collect():  # the templates' own words
@@ -116,8 +116,13 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
     if len(vocabulary) > MAX_TERMS:
         raise ValueError(f"templates hold over {MAX_TERMS} words")
 
-    held = F.array_intersect(_words(F.col("text")), F.array(*map(F.lit, vocabulary)))
-    seen = {r[0]: r[1] for r in source.select(F.explode(held).alias("term")).groupBy("term").count().collect()}  # by word of a template
+    # Numbered once (each scan would number anew, after how it splits the
+    # files), and split into words once: later scans read ``held``.
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = written(files.select(
+        F.monotonically_increasing_id().alias("row"), F.col(path_col).alias("path"), text.alias("text"),
+        F.array_intersect(_words(text), F.array(*map(F.lit, vocabulary))).alias("held")), "numbered")
+    seen = {r[0]: r[1] for r in source.select(F.explode("held").alias("term")).groupBy("term").count().collect()}  # by word of a template
     n = source.count()
     unseen = math.log(1 + n) + 1
     idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
@@ -126,7 +131,8 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
     rare = _rare(short, {t: idf[t] for v in short.values() for t in v}, threshold)
     sought = rf"(?i)(?<![a-z0-9])(?:{'|'.join(rare)})(?![a-z0-9])"
 
-    hits = source.where(F.col("text").rlike(sought))
+    is_hit = F.arrays_overlap("held", F.array(*map(F.lit, rare)))  # what ``sought`` finds in the whole text
+    hits = source.where(is_hit)
     parts = F.concat(*[F.split("text", cut) for cut in UNITS])
     parts = hits.select("row", F.posexplode(parts).alias("line", "text"))
     units = parts.where(F.col("text").rlike(sought)).select("row", "line", "text").unionByName(hits.select("row", F.lit(-1).alias("line"), "text"))
@@ -134,9 +140,12 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
         share = spark.createDataFrame(
             [(name, t, w * w / sum(x * x for x in weights[name].values())) for name in sorted(full) for t, w in weights[name].items()],
             "template string, term string, share double")
-        could = source.select("row", F.explode(held).alias("term")).join(F.broadcast(share), "term").groupBy("row", "template").agg(
-            F.sum("share").alias("share")).where(F.col("share") >= threshold ** 2 - 1e-9).select("row").distinct()
-        could = source.where(~F.col("text").rlike(sought)).join(could, "row", "left_semi")
+        could = written(
+            source.where(~is_hit).select("row", F.explode("held").alias("term")).join(F.broadcast(share), "term")
+            .groupBy("row", "template").agg(F.sum("share").alias("share"))
+            .where(F.col("share") >= threshold ** 2 - 1e-9).select("row").distinct(), "could")
+        few = could.count() <= MAX_BROADCAST  # else a shuffle join, which moves the texts
+        could = source.join(F.broadcast(could) if few else could, "row", "left_semi")
         units = units.unionByName(could.select("row", F.lit(-1).alias("line"), "text"))
     at = ["row", "line"]
     terms = written(_bags(units, at), "unit_terms")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,32 @@ def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A Bloom filter has at most so many bits (64 MB): enough for some 50 million
+#: keys, beyond which it lets more and more rows pass.
+BLOOM_BITS = 1 << 29
+
+
+@contextmanager
+def bloom_joins(spark: SparkSession, keys: int) -> Iterator[None]:
+    """Within: Spark may drop rows of a join's large side by a Bloom filter of
+    the other side's ``keys`` before they are shuffled, whatever the sizes.
+    The join itself stays exact."""
+    bits = str(min(BLOOM_BITS, 10 * keys + 1024))
+    wanted = {
+        "enabled": "true", "creationSideThreshold": "1TB", "applicationSideScanSizeThreshold": "0", "numBits": bits,
+        "maxNumBits": bits, "maxNumItems": str(keys + 1), "expectedNumItems": str(keys + 1),
+    }
+    names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
     """crc32 of the id as text, mod ``parts``, is ``part``. A NULL id is not
     held out."""

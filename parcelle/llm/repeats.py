@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import numbered, written
+from parcelle.llm.common import bloom_joins, numbered, written
 
 GRAM = 40
 LENGTH = 5 * GRAM
@@ -177,8 +177,8 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """(name, row, first, weight) of the windows of the runs listed with each
-    text; of representatives without row."""
+    """(key, name, row, first, weight) of the windows of the runs listed with
+    each text; of representatives without row."""
     def name(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row, packed, runs in zip(frame["row"], frame["packed"], frame["runs"], strict=True):
@@ -196,18 +196,20 @@ def _windows(docs: DataFrame) -> DataFrame:
                     place = np.repeat(np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1), n) + own
                     whole = np.repeat([r["whole"] for r in part], n)
                     yield pd.DataFrame({
+                        "key": np.repeat(np.array([r["key"] for r in part], np.int64), n),
                         "name": names[place].view(np.int64), "row": np.where(whole, -1, row),
                         "first": np.repeat([r["first"] for r in part], n) + own, "weight": np.where(whole, 2, 1)})
 
-    return docs.mapInPandas(name, "name long, row long, first long, weight long")
+    return docs.mapInPandas(name, "key long, name long, row long, first long, weight long")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(row, first, count): runs of windows that occur elsewhere, too."""
     runs = written(_runs(docs), "runs")
     # written, so that the join has plain shuffles on both sides and a hot key's partition can be split
-    shared = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared_keys")
-    runs = written(runs.join(shared, "key", "left_semi"), "shared_runs")
+    shared = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared_keys")
+    with bloom_joins(docs.sparkSession, shared.where("n > 1").count()):  # most runs are in no shared key: they need not cross the shuffle
+        runs = written(runs.join(shared.where("n > 1").select("key"), "key", "left_semi"), "shared_runs")
     contents = written(
         runs.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "count")).alias("one")),
         "contents")
@@ -215,11 +217,15 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     single = contents.where("n = 1")
     beside = single.select("key").distinct()
     samples = contents.where("n > 1").join(beside, "key", "left_semi")
-    listed = single.select("one.*", F.lit(False).alias("whole")).unionByName(samples.select("one.*", F.lit(True).alias("whole")))
-    listed = listed.groupBy("row").agg(F.collect_list(F.struct("first", "count", "whole")).alias("runs"))  # of one text
+    listed = single.select("key", "one.*", F.lit(False).alias("whole")).unionByName(
+        samples.select("key", "one.*", F.lit(True).alias("whole")))
+    listed = listed.groupBy("row").agg(F.collect_list(F.struct("key", "first", "count", "whole")).alias("runs"))  # of one text
     windows = written(_windows(_packed(docs).select("row", "packed").join(listed, "row")), "windows")
-    again = written(windows.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name"), "shared_names")
-    parts = windows.where("row >= 0").join(again, "name", "left_semi").select("row", "first", F.lit(1).cast("long").alias("count"))
+    both = ["key", "name"]  # equal windows lie in runs of one key, so 128 bits tell windows apart
+    again = written(windows.groupBy(*both).agg(F.sum("weight").alias("n")).where("n > 1"), "shared_names")
+    with bloom_joins(docs.sparkSession, again.count()):
+        parts = written(windows.where("row >= 0").join(again.where("n > 1").select(*both), both, "left_semi"), "shared_windows")
+    parts = parts.select("row", "first", F.lit(1).cast("long").alias("count"))
     return whole.select("row", "first", "count").unionByName(parts)
 
 

@@ -15,9 +15,6 @@ from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, pa
 from parcelle.llm.common import held_out, read_table, written
 from parcelle.llm.queries import tokenizer_file
 
-#: Languages that a network of four has no better than by chance are rejected.
-MIN_LANGUAGE_SCORE = 0.3
-
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a number of each row that stays the same in every scan."""
@@ -31,10 +28,13 @@ def _rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language, or that the model cannot tell."""
+    """Drop documents in no language, or that the model tells hardly better
+    than by chance. Documents without any label to learn from are an error."""
     model = language_id.fit(docs, ~held_out(F.col("doc_id")))
+    if model is None and not docs.where(F.col("text").rlike("\\p{L}")).isEmpty():
+        raise ValueError("no document has a language to learn from: the stage would reject all of them")
     found = language_id.identify(docs, model, prefix="__")
-    kept = (F.col("__lang_pred") != language_id.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)
+    kept = (F.col("__lang_pred") != language_id.UNKNOWN) & (F.col("__score") >= (model.floor if model else 0.0))
     return found.where(kept).select(docs.columns)
 
 

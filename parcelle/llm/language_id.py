@@ -29,6 +29,9 @@ TRAIN_DOCS = 500
 TRAIN_STEPS = 160
 BATCH = 128
 BLOCK = 2048
+#: Where a text counts as told apart: so far from chance to the score that 99 of
+#: 100 labelled texts reach.
+FLOOR = 0.1
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -37,7 +40,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 class ByteGru:
     """Weights by name: ``table`` (input by byte, per direction), ``back``
-    (recurrent), ``out`` and ``bias`` (labels)."""
+    (recurrent), ``out`` and ``bias`` (labels). ``floor`` is the score below
+    which a text is in none of the labels' languages, for any number of them;
+    ``fit`` sets it from labelled texts."""
+
+    floor = 0.0
 
     def __init__(self, labels: list[str], hidden: int, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -206,9 +213,17 @@ def fit(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: st
     segments, mask = _segments(flat, first, size, length)
     model = ByteGru(labels_seen, hidden)
     model.train(segments, mask, label, steps)
+    model.floor = _floor(document_probabilities(model, data, length), label)
     return model
 
 
+def _floor(p: np.ndarray, label: np.ndarray) -> float:
+    """``ByteGru.floor``, from the probabilities of labelled texts."""
+    chance = 1 / p.shape[1]
+    right = p[p.argmax(axis=1) == label].max(axis=1)
+    return chance + FLOOR * max(0.0, float(np.quantile(right, 0.01)) - chance) if len(right) else chance
+
+
 def identify(docs: DataFrame, model: ByteGru | None, text_col: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with columns ``lang_pred`` and ``score`` (named after
     ``prefix``): the likeliest language of each whole text."""

@@ -1,14 +1,21 @@
 """The pipeline, stage by stage, and the registered queries."""
 
+import random
+
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from parcelle.llm.common import read_table, written
+from parcelle.llm.language_id import _floor
 from parcelle.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.conftest import table
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
@@ -36,3 +43,33 @@ def test_stages_on_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, SF), name)
         assert docs.count() == 0
+
+
+SOUNDS = ("ka", "tze", "ou", "rri", "mba", "xo", "li", "ghu", "fje", "psy")
+
+
+@pytest.mark.parametrize("k", [2, 4, 10])
+def test_language_stage_keeps_clean_texts_of_any_number_of_languages(spark, k):
+    rng = random.Random(k)
+    word = lambda s: "".join(rng.choices([s, s[::-1], s[0] + "a"], k=3))
+    rows = [(i, " ".join(word(SOUNDS[i % k]) for _ in range(20)), f"l{i % k}") for i in range(40 * k)]
+    rows += [(9000, " ".join(word(SOUNDS[i % 2]) for i in range(30)), None), (9001, "12 34 !", "l0"), (9002, None, "l0")]
+    kept = {r[0] for r in corpus_pipeline.identify_language(spark, table(spark, rows), SF).select("doc_id").collect()}
+    assert not kept & {9001, 9002}
+    assert len(kept) >= 0.98 * 40 * k and 9000 in kept   # a text in two languages is told apart, too
+
+
+def test_language_stage_without_labels_is_an_error(spark):
+    with pytest.raises(ValueError, match="no document has a language"):
+        corpus_pipeline.identify_language(spark, table(spark, [(1, "some words", None), (2, "", None)]), SF)
+    nothing = table(spark, [(1, None, None), (2, " 12 ", None)])
+    assert corpus_pipeline.identify_language(spark, nothing, SF).count() == 0
+
+
+def test_language_floor_lies_between_chance_and_labelled_scores():
+    for k in (2, 4, 10):
+        p = np.full((50, k), 0.1 / (k - 1))
+        p[:, 0] = 0.9
+        floor = _floor(p, np.zeros(50, np.int64))
+        assert 1 / k < floor < 1 / k + 0.1
+    assert _floor(np.full((3, 4), 0.25), np.ones(3, np.int64)) == 0.25   # none right

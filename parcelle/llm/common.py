@@ -55,6 +55,19 @@ def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Row numbers that may be broadcast (some 16 bytes each).
+BROADCAST_ROWS = 4_000_000
+
+
+def rows_in(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``row`` is in the written table ``rows``.
+    Up to ``BROADCAST_ROWS`` numbers go to the texts, whatever the planner
+    estimates; beyond, a shuffle join moves the texts."""
+    wanted = rows.select("row")
+    few = rows.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(wanted) if few else wanted, "row", "left_semi")
+
+
 #: A Bloom filter has at most so many bits (64 MB): enough for some 50 million
 #: keys, beyond which it lets more and more rows pass.
 BLOOM_BITS = 1 << 29

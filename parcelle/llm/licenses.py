@@ -19,8 +19,8 @@ are skipped; no line above the threshold is.
 A file without a header of its own takes the licence of the licence file in
 its directory or the nearest directory above, by joining the file's ancestor
 directories with those of licence files. All DataFrame operations; broadcast
-are the templates (``MAX_TERMS`` words at most) and, up to ``MAX_BROADCAST``,
-the numbers of files that may be full texts.
+are the templates (``MAX_TERMS`` words at most) and, up to
+``common.BROADCAST_ROWS``, the numbers of files that may be full texts.
 
 Defined results: NULL and empty texts have no licence of their own and may
 inherit one; of equally good templates the first by name counts, of several
@@ -37,12 +37,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import ascii_lower, written
+from parcelle.llm.common import ascii_lower, rows_in, written
 
 THRESHOLD = 0.6
 MAX_TERMS = 10_000
-#: Row numbers that may be broadcast (8 bytes each).
-MAX_BROADCAST = 500_000
 #: Short forms of licence headers.
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
@@ -144,8 +142,7 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, thr
             source.where(~is_hit).select("row", F.explode("held").alias("term")).join(F.broadcast(share), "term")
             .groupBy("row", "template").agg(F.sum("share").alias("share"))
             .where(F.col("share") >= threshold ** 2 - 1e-9).select("row").distinct(), "could")
-        few = could.count() <= MAX_BROADCAST  # else a shuffle join, which moves the texts
-        could = source.join(F.broadcast(could) if few else could, "row", "left_semi")
+        could = rows_in(source, could)
         units = units.unionByName(could.select("row", F.lit(-1).alias("line"), "text"))
     at = ["row", "line"]
     terms = written(_bags(units, at), "unit_terms")

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from parcelle.llm.common import numbered, written
+from parcelle.llm.common import numbered, rows_in, written
 from parcelle.llm.components import components
 
 SIDE = 8
@@ -266,7 +266,7 @@ def similar_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: i
     buckets = _buckets(sketches.join(reps, "row", "left_semi"), side)
     met = buckets.select("row").distinct()
     members = written(sketches.select("row", "n", "mins").join(met, "row", "left_semi"), "members")
-    sets = written(_full_sets(docs.join(members.select("row"), "row", "left_semi").select("row", "text"), words), "sets")
+    sets = written(_full_sets(rows_in(docs, members).select("row", "text"), words), "sets")
 
     roots = tried = None
     n_hash = 2 * side * rows

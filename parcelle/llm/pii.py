@@ -4,15 +4,22 @@ Base patterns (email, ip, card, phone) give the base spans: matches from left
 to right that do not overlap, of which failing ones are dropped. Wider
 generators propose further, overlapping candidates: spelled-out addresses,
 phone numbers without a country, separated digit groups. Boosted trees score
-every candidate from its format and its context; they learn from the base
-matches (passing or failing) and from the candidates that overlap them, and a
-candidate beside the base spans is added where its score reaches its kind's
-threshold: the lowest score at which at least ``PRECISION`` of the known
-candidates at or above it are right.
+every candidate from its format and its context, and a candidate beside the
+base spans is added where its score reaches its kind's threshold.
+
+What a wide candidate is, no base pattern can say, so the trees learn from
+rewritten matches, each in its own context: a passing address with its ``@``
+and dots spelled out, a phone number without its country and with other
+separators, a card number in other groups; besides the wide candidates that
+overlap a passing match of their kind. Against these stand the failing matches
+and the other numbers of the texts. The validity of digits is a feature for
+numbers only that must be valid (ip, card). Three quarters of the rows are
+fitted; the last quarter sets each kind's threshold, the lowest score at which
+at least ``PRECISION`` of its known candidates at or above it are right.
 
 All features are small bins, so the training set is a histogram: one row per
-combination of bins, at most ``4 * 5 * 6 * 5 * 2 * 5 * 5 * 2 * 2 * 2`` rows
-for any input, all of it counted over the whole table. The trees are fitted to
+combination of bins, at most ``4 * 5 * 6 * 5 * 2 * 5 * 5 * 2 * 2`` rows
+a label and part for any input, all of it counted over the whole table. The trees are fitted to
 that histogram on the driver and become one column expression; everything else
 is DataFrame operations.
 
@@ -20,8 +27,9 @@ Positions are code points, ends exclusive. A pattern's matches are found as
 pairs of a gap and a match, so that positions are running sums of lengths.
 Possessive groups and look-behinds keep the patterns linear on long runs.
 Defined results: NULL and empty texts have no spans; rows that repeat are
-answered each; without passing or without failing candidates nothing is added
-to the base spans; an empty table gives an empty result.
+answered each; added spans may overlap one another, and one that lies inside
+another is left out; without passing or without failing candidates nothing is
+added to the base spans; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -50,7 +58,14 @@ GENERATORS = (
     ("phone", "", r"(?<![0-9])(?:\+?[0-9]{1,3}[\x20.-])?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])"),
 )
 HINTS = r"(?i)(?:mail|contact|call|phone|tel|fax|mobile|card|visa|account|addr|server|host|login|ip)[^\n]*$"
-FEATURES = ("kind", "size", "digits", "marks", "letters", "before", "after", "hint", "check", "wide")
+FEATURES = ("kind", "size", "digits", "marks", "letters", "before", "after", "hint", "check")
+#: Parts of the rows, one of which sets the thresholds.
+FOLDS = 4
+#: How an address is spelled out, a number separated.
+AT_SIGNS = (" [at] ", "(at)", " (at) ", "[at]", " @ ")
+DOTS = (" [dot] ", "(dot)", ".", " (dot) ", "[dot]")
+GROUPS = ("($1) $2-$3", "$1-$2-$3", "$1.$2.$3", "$1 $2 $3", "($1) $2 $3")
+SEPARATORS = (".", "-", " ", "")
 ROUNDS = 24
 RATE = 0.4
 PRECISION = 0.995
@@ -115,7 +130,7 @@ def _sort_of(char: Column) -> Column:
 def _featured(found: DataFrame) -> DataFrame:
     n_digits = F.length(F.regexp_replace("match", "[^0-9]", ""))
     return found.withColumns({
-        "check": _passes().cast("int"),
+        "check": F.when(F.col("kind").isin(1, 2), _passes().cast("int")).otherwise(0),
         "size": _bin(F.length("match"), 9, 13, 17, 25),
         "digits": _bin(n_digits, 1, 9, 12, 16, 20),
         "marks": _bin(F.length(F.regexp_replace("match", r"[\p{L}0-9]", "")), 1, 2, 3, 4),
@@ -162,8 +177,15 @@ def _split(x: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[float, int, int
     return best
 
 
-def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> Boosted:
-    """Fit to rows of bins ``x`` with labels ``y`` and counts ``w``."""
+def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = ROUNDS, rate: float = RATE,
+          held: np.ndarray | None = None) -> Boosted:
+    """Fit to rows of bins ``x`` with labels ``y`` and counts ``w``; rows
+    marked in ``held`` only set the thresholds (all do if none is)."""
+    if held is not None and held.any():
+        model = boost(x[~held], y[~held], w[~held], rounds, rate)
+        seen = {kind for kind in range(len(KINDS)) if (held & (x[:, 0] == kind)).any()}
+        model.thresholds = [None if kind in seen else t for kind, t in enumerate(model.thresholds)]
+        return _calibrated(model, x[held], y[held], w[held]) if model.trees else model
     rate0 = float(np.clip((y * w).sum() / max(1.0, w.sum()), 1e-4, 1 - 1e-4))
     model = Boosted(float(np.log(rate0 / (1 - rate0))), [], [None] * len(KINDS))
     if len(np.unique(y)) < 2:
@@ -180,6 +202,11 @@ def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = ROUNDS, rat
             for part in (side & (x[:, k] < at), side & (x[:, k] >= at)):
                 leaf.append(float(rate * g[part].sum() / (h[part].sum() + 1)))
         model.trees.append((j, cut, splits[0], splits[1], leaf))
+    return _calibrated(model, x, y, w)
+
+
+def _calibrated(model: Boosted, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> Boosted:
+    """Thresholds at ``PRECISION``, by kind."""
     f = model.raw(x)
     for kind in range(len(KINDS)):
         own = x[:, 0] == kind
@@ -192,38 +219,84 @@ def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = ROUNDS, rat
     return model
 
 
+def _pick(options: tuple[str, ...], salt: str) -> Column:
+    """One of the options, by the row and the match."""
+    which = F.pmod(F.xxhash64("row", "start", "match", F.lit(salt)), F.lit(len(options))).cast("int")
+    return F.element_at(F.array(*map(F.lit, options)), which + 1)
+
+
+def _rewritten(found: DataFrame) -> DataFrame:
+    """Passing base matches as a wide generator would meet them; those that
+    it would not propose are left out."""
+    digits = F.regexp_replace("match", "[^0-9]", "")
+    at = F.instr("match", "@")
+    address = F.concat(F.expr("left(match, instr(match, '@') - 1)"), _pick(AT_SIGNS, "at"),
+                       F.replace(F.substr("match", at + 1), F.lit("."), _pick(DOTS, "dot")))
+    phone = F.regexp_replace(F.right(digits, F.lit(10)), F.lit("^(.{3})(.{3})(.{4})$"), _pick(GROUPS, "groups"))
+    card = F.regexp_replace(digits, F.lit("([0-9]{4})(?=[0-9])"), F.concat(F.lit("$1"), _pick(SEPARATORS, "card")))
+    other = F.when(F.col("kind") == 0, address).when(F.col("kind") == 2, card).when(F.col("kind") == 3, phone).otherwise(F.col("match"))
+    whole = F.lit(False)
+    for kind, _, pattern in GENERATORS:
+        whole = whole | ((F.col("kind") == KINDS.index(kind)) & F.col("match").rlike(f"^(?:{pattern})$"))
+    return found.withColumn("match", other).where(whole)
+
+
+def _other_numbers(failing: DataFrame) -> DataFrame:
+    """Failing card matches, digit runs of any kind, as no phone numbers,
+    where the phone generator would not propose them."""
+    wide = GENERATORS[KINDS.index("phone")][2]
+    numbers = failing.where((F.col("kind") == KINDS.index("card")) & (F.length("match") >= 5))
+    return numbers.where(~F.col("match").rlike(f"^(?:{wide})$")).withColumn("kind", F.lit(KINDS.index("phone")))
+
+
 def _joined(spans: str) -> Column:
     text = F.transform(spans, lambda s: F.concat_ws(
         ":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
     return F.array_join(text, ",")
 
 
+def _known(found: DataFrame) -> DataFrame:
+    """Candidates with a label ``y``, and whether their row is ``held``."""
+    base, wide = found.where("wide = 0"), found.where("wide = 1")
+    overlapping = wide.where("meets_own")
+    failing = base.where("not right and not meets")
+    parts = [(_rewritten(base.where("right")), 1), (overlapping, 1), (base.where("right and kind = 1"), 1), (failing, 0),
+             (_other_numbers(failing), 0)]
+    out = [part.select(*found.columns).withColumn("y", F.lit(y)) for part, y in parts]
+    every = out[0]
+    for more in out[1:]:
+        every = every.unionByName(more)
+    return every.withColumn("held", (F.pmod(F.xxhash64("row", F.lit("fold")), F.lit(FOLDS)) == 0).cast("int"))
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, base, spans): arrays of (start, kind, end) by start and
     kind, the base spans alone and with the added ones."""
     source = numbered(docs, id_col, text_col)
     found = _matches(source, BASE, False).unionByName(_matches(source, GENERATORS, True))
-    found = _featured(found).select("row", "start", "end", *FEATURES)
-    right = (F.col("wide") == 0) & (F.col("check") == 1)
-    ahead = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
-    behind = Window.partitionBy("row").orderBy("start").rangeBetween(0, Window.unboundedFollowing)
-    found = found.withColumns({
-        "right": right,
-        "meets": F.coalesce(F.max(F.when(right, F.col("end"))).over(ahead) > F.col("start"), F.lit(False))
-        | F.coalesce(F.min(F.when(right, F.col("start"))).over(behind) < F.col("end"), F.lit(False)),
-    })
+    found = found.withColumn("right", (F.col("wide") == 0) & _passes())
+
+    def meets(*by: str) -> Column:
+        """Whether a span overlaps a right one."""
+        along = Window.partitionBy(*by).orderBy("start")
+        ahead, behind = along.rangeBetween(Window.unboundedPreceding, 0), along.rangeBetween(0, Window.unboundedFollowing)
+        return (F.coalesce(F.max(F.when(F.col("right"), F.col("end"))).over(ahead) > F.col("start"), F.lit(False))
+                | F.coalesce(F.min(F.when(F.col("right"), F.col("start"))).over(behind) < F.col("end"), F.lit(False)))
+
+    found = found.withColumns({"meets": meets("row"), "meets_own": meets("row", "kind")})
     found = written(found, "candidates")
-    label = F.when(F.col("wide") == 0, F.col("right")).otherwise(F.col("meets")).cast("int")
-    counts = found.groupBy(*FEATURES, label.alias("y")).agg(F.count(F.lit(1)).alias("w")).orderBy(*FEATURES, "y").collect()
-    table = np.array([tuple(r) for r in counts], dtype=np.int64).reshape(-1, len(FEATURES) + 2)
-    model = boost(table[:, :-2], table[:, -2].astype(float), table[:, -1].astype(float))
+    known = _known(found)
+    counts = _featured(known).groupBy(*FEATURES, "y", "held").agg(F.count(F.lit(1)).alias("w")).orderBy(*FEATURES, "y", "held").collect()
+    table = np.array([tuple(r) for r in counts], dtype=np.int64).reshape(-1, len(FEATURES) + 3)
+    model = boost(table[:, :-3], table[:, -3].astype(float), table[:, -1].astype(float), held=table[:, -2] == 1)
     limit = F.lit(None).cast("double")
     for kind, threshold in enumerate(model.thresholds):
         if threshold is not None:
             limit = F.when(F.col("kind") == kind, threshold - 1e-9).otherwise(limit)
-    added = found.where((F.col("wide") == 1) & ~F.col("meets")).where(model.column() >= limit)
+    beside = _featured(found.where((F.col("wide") == 1) & ~F.col("meets")))
+    added = beside.where(model.column() >= limit).select("row", "start", "end", "kind")
     earlier = Window.partitionBy("row").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
-    added = added.withColumn("reach", F.max("end").over(earlier)).where("reach is null or reach <= start")
+    added = added.withColumn("reach", F.max("end").over(earlier)).where("reach is null or reach < end")  # else inside another
     span = F.struct("start", "kind", "end")
     spans = (
         found.where("right").select("row", span.alias("span"), F.lit(True).alias("base"))

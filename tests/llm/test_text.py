@@ -204,6 +204,67 @@ def test_addresses_spelled_with_brackets_are_searched(spark):
     assert [r["match"] for r in pii._matches(rows, pii.GENERATORS, True).collect()] == ["joe [at] mail [dot] org"]
 
 
+def planted(rng, n):
+    """Texts with base matches, other numbers and failing matches, and what
+    is planted beside them: (texts, spans to add by text, numbers to leave)."""
+    def at_some_place(part):
+        words = prose(rng, rng.randint(6, 20)).split()
+        k = rng.randrange(1, len(words))
+        return " ".join(words[:k]) + " " + part + " " + " ".join(words[k:])
+
+    digits = lambda k: "".join(rng.choices("0123456789", k=k))
+    name = lambda: "".join(rng.choices("abcdefghijklmno", k=rng.randint(3, 8)))
+    rows, added, left = [], {}, {}
+    for i in range(n):
+        own = [f"{name()}.{digits(2)}@{name()}.example.com", f"+1 ({digits(3)}) 555-{digits(4)}", f"{rng.randint(1, 255)}.8.{rng.randint(0, 255)}.4",
+               f"{digits(16)}", f"20{digits(2)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"no {digits(7)}", f"{digits(3)},{digits(2)}"]
+        rows.append([i, ". ".join(at_some_place(p) for p in rng.sample(own, 4)), "en"])
+    for i in range(0, n, 5):
+        good = [f"{name()} [at] {name()} [dot] org", f"{name()}(at){name()}.com", f"({digits(3)}) 555-{digits(4)}", f"{digits(3)}-555-{digits(4)}",
+                f"{digits(3)}.555.{digits(4)}"]
+        part = good[i // 5 % len(good)]
+        bad = rng.choice([f"order {digits(8)}", f"20{digits(2)}-11-0{rng.randint(1, 9)}", f"{digits(2)}/{digits(2)}/20{digits(2)}", f"{digits(6)}.{digits(2)}"])
+        text = rows[i][1] + ". Now " + at_some_place(part) + ". And " + at_some_place(bad)
+        rows[i][1], added[i], left[i] = text, (text.rindex(part), text.rindex(part) + len(part)), (text.rindex(bad), text.rindex(bad) + len(bad))
+    return [tuple(r) for r in rows], added, left
+
+
+def test_spans_beside_the_base_patterns_are_added(spark):
+    rows, added, left = planted(random.Random(12), 600)
+    out = {r["doc_id"]: r for r in pii.find_pii(table(spark, rows)).collect()}
+    base = {i: {tuple(s) for s in r["base"]} for i, r in out.items()}
+    more = {i: {(s[0], s[2]) for s in map(tuple, r["spans"])} - {(a, e) for a, _, e in base[i]} for i, r in out.items()}
+    caught = [added[i] in more[i] for i in added]
+    assert np.mean(caught) >= 0.9, np.mean(caught)
+    wrong = [s for i in left for s in more[i] if s[0] < left[i][1] and left[i][0] < s[1]]
+    assert len(wrong) <= 0.02 * len(left)
+    beside = sum(len(x) for x in more.values())
+    assert beside <= sum(caught) + 0.05 * len(rows)
+    for i, text, _ in rows:   # the base spans are what they were
+        assert base[i] == {(m.start(), k, m.end()) for k, (kind, pattern) in enumerate(BASE) for m in re.finditer(pattern, text) if passes(kind, m[0])}
+
+
+def test_thresholds_come_from_rows_that_were_not_fitted():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 2, (400, len(pii.FEATURES)))
+    x[:, 0] = 3
+    y = x[:, 1].astype(float)
+    held = np.arange(400) % 4 == 0
+    flipped = np.where(held, 1 - y, y)           # what was fitted does not hold there
+    assert pii.boost(x, y, np.ones(400), held=held).thresholds[3] is not None
+    assert pii.boost(x, flipped, np.ones(400), held=held).thresholds[3] is None
+
+
+def test_accepted_candidates_that_chain_stay_covered(spark):
+    rows = [(i, f"call +1 (20{i % 9}) 555-01{i % 90 + 10} or call (20{i % 9}) 555-01{i % 90 + 10} 555-9999 now", "en") for i in range(200)]
+    rows += [(500 + i, f"number {10**11 + i * 7919} and 20{i % 90 + 10}-01-02", "en") for i in range(100)]
+    out = pii.find_pii(table(spark, rows)).collect()
+    spans = [{tuple(s) for s in r["spans"]} - {tuple(s) for s in r["base"]} for r in out if r["doc_id"] < 500]
+    assert np.mean([bool(s) for s in spans]) > 0.8
+    for own in spans:
+        assert not any(a != b and a[0] <= b[0] and b[2] <= a[2] for a in own for b in own)   # none inside another
+
+
 def test_boosting_separates_bins():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 4, (500, len(pii.FEATURES)))

@@ -4,15 +4,18 @@ A benchmark item of n words is compared with windows of n words of the
 documents. Both are multisets of five-word shingles. Two multisets of a and b
 shingles with similarity t share at least t (a + b) / (1 + t), so a window is
 laid at every word where at least so many of its shingles are also an item's
-of that length, in whatever order they stand. Each window gets a 64-bit
+of that length, in whatever order they stand. Each window gets a 128-bit
 SimHash. A multi-index finds all items of the window's length within
-``radius`` bits: the fingerprints are cut into radius + 1 blocks, and two
-fingerprints that differ in at most ``radius`` bits agree in at least one
-block. The pairs found are verified by their exact weighted Jaccard similarity
-(shared shingles by multiplicity over all shingles by multiplicity).
+``radius`` bits: fingerprints are cut into eight blocks of 16 bits, and two
+that differ in at most 31 bits differ in at most 3 in one of the blocks
+(8 x 4 > 31). So an item is entered under all 697 values within 3 bits of each
+of its blocks, a window looks its own eight values up, and of unrelated pairs
+fewer than one in ten meet. Only items are spread out, never windows. The
+pairs found are verified by their exact weighted Jaccard similarity (shared
+shingles by multiplicity over all shingles by multiplicity).
 
-At similarity 0.8 two fingerprints differ in 10 of 64 bits on average
-(standard deviation 3); ``radius`` is three deviations above.
+At similarity 0.8 two fingerprints differ in 19 of 128 bits on average
+(standard deviation 4); ``RADIUS`` is three deviations above.
 
 All DataFrame operations. The shingle index of the benchmark is broadcast
 only while it is under ``BROADCAST_ROWS`` rows (32 bytes each); a larger one
@@ -26,14 +29,18 @@ items are reported each; empty tables give an empty result.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.llm.common import ascii_lower, numbered, texts, written
 
 WORDS = 5
-RADIUS = 19
+RADIUS = 31
 BITS = 64
+PRINT_WORDS = 2
+BLOCK_BITS = 16
 BROADCAST_ROWS = 250_000
 
 
@@ -61,14 +68,33 @@ def simhash(shingles: str) -> Column:
             F.when(2 * ones(bit) > F.size(shingles), F.call_function("shiftleft", F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long"))))
 
 
-def blocks(fingerprint: str, radius: int) -> Column:
-    """(block, value) of the radius + 1 blocks of a fingerprint."""
-    n = radius + 1
-    edges = [BITS * i // n for i in range(n + 1)]
+def prints(shingles: str) -> Column:
+    """The fingerprint: ``PRINT_WORDS`` words of 64 majority bits."""
+    again = lambda i: F.transform(shingles, lambda h: F.xxhash64(h, F.lit(i)))
+    return F.array(simhash(shingles), *[simhash(again(i)) for i in range(1, PRINT_WORDS)])
+
+
+def distance(left: str, right: str) -> Column:
+    """In how many bits two fingerprints differ."""
+    return F.aggregate(F.zip_with(left, right, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, n: s + n)
+
+
+def near_values(value: Column, radius: int) -> Column:
+    """All values of a block that differ in as few bits as two fingerprints
+    within ``radius`` do in one of their blocks."""
+    near = radius // (PRINT_WORDS * BITS // BLOCK_BITS)
+    masks = [sum(1 << bit for bit in some) for k in range(near + 1) for some in combinations(range(BLOCK_BITS), k)]
+    return F.transform(F.array(*map(F.lit, masks)), lambda mask: value.bitwiseXOR(mask.cast("long")))
+
+
+def blocks(fingerprint: str) -> Column:
+    """(block, value) of the blocks of a fingerprint."""
+    each = BITS // BLOCK_BITS
+    low = F.lit((1 << BLOCK_BITS) - 1).cast("long")
     return F.array(*[
         F.struct(F.lit(i).alias("block"),
-                 F.shiftrightunsigned(fingerprint, low).bitwiseAND(F.lit((1 << (high - low)) - 1).cast("long")).alias("value"))
-        for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False))])
+                 F.shiftrightunsigned(F.element_at(fingerprint, i // each + 1), BLOCK_BITS * (i % each)).bitwiseAND(low).alias("value"))
+        for i in range(PRINT_WORDS * each)])
 
 
 def _windows(spots: DataFrame, similarity: float, words: int) -> DataFrame:
@@ -94,6 +120,16 @@ def _windows(spots: DataFrame, similarity: float, words: int) -> DataFrame:
     return starts.select("row", "length", "start", F.array_contains("aligned", F.col("start")).alias("aligned"))
 
 
+def candidates(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """(row, start, length, item): windows and items of one length whose
+    fingerprints (``print``) are within ``radius`` bits."""
+    own = windows.select("row", "start", "length", "print", F.inline(blocks("print")))
+    entries = items.select("item", "length", F.col("print").alias("item_print"), F.inline(blocks("print"))).select(
+        "item", "length", "item_print", "block", F.explode(near_values(F.col("value"), radius)).alias("value"))
+    met = own.join(entries, ["length", "block", "value"]).where(distance("print", "item_print") <= radius)
+    return met.select("row", "start", "length", "item").distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, words: int = WORDS,
                  radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", row_col: str | None = None) -> DataFrame:
@@ -101,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     each document for each item that it contains; words are counted from 0."""
     items = texts(benchmark, item_col, item_text_col).select(F.col("row").alias("item"), F.col("doc_id").alias("item_id"), "text")
     items = written(
-        _hashed(items, words).where(F.size("shingles") > 0).withColumn("print", simhash("shingles"))
+        _hashed(items, words).where(F.size("shingles") > 0).withColumn("print", prints("shingles"))
         .withColumnRenamed("n", "length"), "items")
     index = written(
         items.select("length", F.posexplode("shingles").alias("offset", "shingle")).distinct(), "item_shingles")
@@ -117,16 +153,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     windows = windows.join(hits, "row").select(
         "row", "doc_id", "start", "length", "aligned",
         F.slice("shingles", F.col("start") + 1, F.col("length") - words + 1).alias("shingles"))
-    windows = written(windows.withColumn("print", simhash("shingles")), "prints")
-
-    keys = lambda df, *cols: df.select(*cols, "length", "print", F.inline(blocks("print", radius)))
-    left = keys(windows, "row", "start")
-    right = keys(items, "item").withColumnRenamed("print", "item_print")
-    near = (
-        left.join(right, ["length", "block", "value"])
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select("row", "start", "length", "item").distinct()
-    )
+    windows = written(windows.withColumn("print", prints("shingles")), "prints")
+
+    near = candidates(windows, items, radius)
 
     at = ["row", "start", "length"]
     inside = windows.select(*at, F.explode("shingles").alias("shingle")).groupBy(*at, "shingle").agg(F.count(F.lit(1)).alias("n_window"))

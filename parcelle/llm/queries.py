@@ -90,8 +90,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items).drop("row")
 
 
-#: The similarity of every item-sized window that holds an item's shingle at
-#: the item's offset; no fingerprints.
+#: The similarity of every item-sized window that holds a shingle of the item,
+#: wherever it starts; no fingerprints.
 ORACLE_SQL["op1_decontamination"] = """
 WITH words AS (
     SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''),
@@ -105,25 +105,32 @@ places AS (SELECT kind, id, w, len(w) AS n, unnest(range(0, len(w) - 4)) AS pos
 shingles AS (
     SELECT kind, id, n, pos, w[pos + 1] || ' ' || w[pos + 2] || ' ' || w[pos + 3] || ' ' || w[pos + 4] || ' ' || w[pos + 5] AS s
     FROM places),
-windows AS (
-    SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n AS length, d.n AS doc_n,
-           greatest(0, least(d.pos - b.pos, d.n - b.n)) AS start
+in_item AS (SELECT id AS item_id, s, count(*) AS n_item FROM shingles WHERE kind = 'b' GROUP BY ALL),
+sizes AS (SELECT item_id, sum(n_item) AS n_item FROM in_item GROUP BY ALL),
+hits AS (
+    SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n AS length, d.n AS doc_n, d.pos, d.s
+    FROM shingles d JOIN shingles b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s),
+aligned AS (
+    SELECT DISTINCT d.id AS doc_id, b.id AS item_id, greatest(0, least(d.pos - b.pos, d.n - b.n)) AS start, true AS aligned
     FROM shingles d JOIN shingles b ON d.kind = 'd' AND b.kind = 'b' AND d.s = b.s),
+windows AS (
+    SELECT DISTINCT doc_id, item_id, length, doc_n,
+           unnest(range(greatest(0, least(pos - length + 5, doc_n - length)), least(pos, greatest(0, doc_n - length)) + 1)) AS start
+    FROM hits),
 in_window AS (
-    SELECT v.doc_id, v.item_id, v.start, v.length, d.s, count(*) AS n_window
-    FROM windows v JOIN shingles d ON d.kind = 'd' AND d.id = v.doc_id
-        AND d.pos >= v.start AND d.pos < v.start + v.length - 4
+    SELECT v.doc_id, v.item_id, v.start, v.length, v.doc_n, h.s, count(*) AS n_window
+    FROM windows v JOIN hits h ON h.doc_id = v.doc_id AND h.item_id = v.item_id
+        AND h.pos >= v.start AND h.pos < v.start + v.length - 4
     GROUP BY ALL),
-in_item AS (SELECT id AS item_id, s, count(*) AS n_item FROM shingles WHERE kind = 'b' GROUP BY ALL),
 shared AS (
-    SELECT doc_id, item_id, start, length, sum(least(n_window, coalesce(n_item, 0))) AS shared, sum(n_window) AS n_window
-    FROM in_window LEFT JOIN in_item USING (item_id, s) GROUP BY ALL),
+    SELECT doc_id, item_id, start, length, sum(least(n_window, n_item)) AS shared, least(length, doc_n) - 4 AS n_window
+    FROM in_window JOIN in_item USING (item_id, s) GROUP BY doc_id, item_id, start, length, doc_n),
 scored AS (
     SELECT doc_id, item_id, start, length, shared::DOUBLE / (n_window + n_item - shared)::DOUBLE AS similarity
-    FROM shared JOIN (SELECT item_id, sum(n_item) AS n_item FROM in_item GROUP BY ALL) USING (item_id))
+    FROM shared JOIN sizes USING (item_id))
 SELECT doc_id, item_id, start::INTEGER AS start, length::INTEGER AS n_words, similarity
-FROM scored WHERE similarity >= 0.8
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+FROM scored LEFT JOIN aligned USING (doc_id, item_id, start) WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, coalesce(aligned, false) DESC, start) = 1
 """
 
 

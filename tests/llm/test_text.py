@@ -342,7 +342,7 @@ def test_windows_at_every_start(spark):
             if max(scores) >= 0.8:
                 want[doc_id, item_id] = max(scores)
     assert {(1, 20), (2, 20), (3, 21)} <= set(want)
-    out = decontaminate.contaminated(table(spark, rows), bench, radius=30).collect()
+    out = decontaminate.contaminated(table(spark, rows), bench, radius=60).collect()
     assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in out} == pytest.approx(want)
     by_print = decontaminate.contaminated(table(spark, rows), bench).collect()
     assert {(1, 20), (3, 21)} <= {(r["doc_id"], r["item_id"]) for r in by_print}
@@ -350,12 +350,20 @@ def test_windows_at_every_start(spark):
 
 def test_multi_index_finds_all_within_radius(spark):
     rng = random.Random(12)
-    prints = [rng.getrandbits(64) for _ in range(60)]
-    prints += [p ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 24))) for p in prints]
-    signed = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
-    df = spark.createDataFrame(signed, "i int, print long").select("i", F.inline(decontaminate.blocks("print", 19)))
-    met = {(r[0], r[1]) for r in df.join(df.withColumnRenamed("i", "j"), ["block", "value"]).select("i", "j").distinct().collect()}
-    for a in range(60):
-        for b in range(60, 120):
-            if (prints[a] ^ prints[b]).bit_count() <= 19:
-                assert (a, b) in met
+    flip = lambda p, n: p ^ sum(1 << b for b in rng.sample(range(128), n))
+    items = [rng.getrandbits(128) for _ in range(40)]
+    windows = [flip(p, rng.randint(0, 40)) for p in items for _ in range(4)]
+    # four bits in each of seven blocks and three in the eighth: the worst case of 31
+    windows += [p ^ sum(1 << (16 * k + b) for k in range(8) for b in rng.sample(range(16), 4 if k != i % 8 else 3)) for i, p in enumerate(items)]
+    words = lambda p: [w - (1 << 64) if w >> 63 else w for w in (p & (1 << 64) - 1, p >> 64)]
+    left = spark.createDataFrame([(i, 0, 7, words(p)) for i, p in enumerate(windows)], "row long, start int, length int, print array<long>")
+    right = spark.createDataFrame([(i, 7, words(p)) for i, p in enumerate(items)], "item long, length int, print array<long>")
+    want = {(i, j) for i, p in enumerate(windows) for j, q in enumerate(items) if (p ^ q).bit_count() <= 31}
+    found = decontaminate.candidates(left, right, 31)
+    assert {(r["row"], r["item"]) for r in found.collect()} == want and len(want) > 100
+    # what unrelated pairs meet before their distance is taken: under a tenth
+    many = spark.range(3000).select(F.col("id").alias("row"), F.array(F.xxhash64("id"), F.xxhash64("id", F.lit(1))).alias("print"))
+    own = many.select("row", F.inline(decontaminate.blocks("print")))
+    entries = right.select("item", F.inline(decontaminate.blocks("print"))).select(
+        "item", "block", F.explode(decontaminate.near_values(F.col("value"), 31)).alias("value"))
+    assert own.join(entries, ["block", "value"]).select("row", "item").distinct().count() < 0.1 * 3000 * len(items)

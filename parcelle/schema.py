@@ -98,10 +98,7 @@ SERVING_TABLE = "transactions"
 POINT_SRID = 4326
 
 # Collection scope of the sales files and area polygons.
-SCOPE_YEARS = ["2019", "2020", "2021", "2022", "2023", "2024"]
 SCOPE_DEPARTMENTS = ["22", "29", "35", "56"]
-SCOPE_REGION = "Bretagne"
-RECORDS_PAGE_SIZE = 100
 
 # Landed object names: dvf_{department}_{year}.csv, optionally .gz.
 LANDED_FILE_PATTERN = r"dvf_([0-9A-Za-z]+)_([0-9]{4})\.csv(\.gz)?"
@@ -152,14 +149,3 @@ CLEAN_SCHEMA = T.StructType(
         T.StructField("natures_culture", T.ArrayType(T.StringType())),
     ]
 )
-
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("departement", T.StringType()),
-        T.StructField("annee", T.StringType()),
-        T.StructField("fichier", T.StringType()),
-        T.StructField("taille", T.LongType()),
-        T.StructField("format", T.StringType()),
-        T.StructField("decompressed", T.BooleanType()),
-    ]
-)

@@ -144,10 +144,9 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read_table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, kind=i: s["kind"] == kind)).cast("long").alias(f"n_{name}")
-        for i, name in enumerate(pii.KINDS)
-    ]
+    # The kind is bound outside the lambda: a second parameter would be the position in the array.
+    of = lambda kind: F.filter("base", lambda s: s["kind"] == kind)
+    counts = [F.size(of(i)).cast("long").alias(f"n_{name}") for i, name in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 

@@ -1,6 +1,7 @@
 """Language ID, token counts, quality, packing, personal data, licences and
 decontamination: brute force, exact round trips, held-out accuracy."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelle.llm import decontaminate, language_id, licenses, packing, pii, quality, token_counts
 from parcelle.llm.common import held_out, written
-from parcelle.llm.queries import tokenizer_file
+from parcelle.llm.queries import QUERIES, tokenizer_file
 from tests.llm.conftest import prose, table
 
 
@@ -199,6 +200,18 @@ def test_base_spans_are_exact(spark, empty):
     assert pii.find_pii(empty).count() == 0
 
 
+def test_counts_of_the_query_are_of_their_kind(spark, tmp_path):
+    texts = ["a@b.de", "a@b.de c@d.fr 1.2.3.4", "+33 1 23 45 67 89", "4111 1111 1111 1111 and 1.2.3.4 1.2.3.5 1.2.3.6", "none", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for row in QUERIES["op7_pii"](spark, str(tmp_path)).collect():
+        spans = [(m.start(), k, m.end()) for k, (kind, pattern) in enumerate(BASE)
+                 for m in re.finditer(pattern, texts[row["doc_id"]] or "") if passes(kind, m[0])]
+        assert [row[f"n_{kind}"] for kind, _ in BASE] == [sum(s[1] == k for s in spans) for k in range(4)]
+        joined = ",".join(f"{BASE[k][0]}:{start}:{end}" for start, k, end in sorted(spans))
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def test_addresses_spelled_with_brackets_are_searched(spark):
     rows = spark.createDataFrame([(1, "write to joe [at] mail [dot] org today")], "row long, text string")
     assert [r["match"] for r in pii._matches(rows, pii.GENERATORS, True).collect()] == ["joe [at] mail [dot] org"]

@@ -60,8 +60,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                options: dict | None = None) -> None:
-    """JSON lines, one record per line (nested values kept as JSON)."""
-    write(df, path, format="json", mode=mode, options=options)
+    """JSON lines, one record per line (nested values kept as JSON), gzipped
+    unless ``options`` name another ``compression``: every line repeats the
+    column names."""
+    write(df, path, format="json", mode=mode, options={"compression": "gzip", **(options or {})})
 
 
 def write_listing(files: DataFrame, root: str, path: str, date: str | None = None) -> None:

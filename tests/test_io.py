@@ -1,5 +1,6 @@
 """Sources and sinks round trips in fresh folders, JDBC on embedded Derby."""
 
+import pathlib
 import uuid
 
 from pyspark.sql import functions as F
@@ -17,6 +18,15 @@ def _same(a, b):
     return sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
 
 
+def test_json_is_compressed_unless_told(spark, tmp_dir):
+    rows = spark.range(2000).selectExpr("id", "'a long column of text' AS a_long_column_name")
+    write_json(rows, f"{tmp_dir}/packed")
+    write_json(rows, f"{tmp_dir}/plain", options={"compression": "none"})
+    size = {name: sum(f.stat().st_size for f in pathlib.Path(tmp_dir, name).glob("part-*")) for name in ("packed", "plain")}
+    assert size["packed"] * 4 < size["plain"]
+    assert _same(spark.read.schema(rows.schema).json(f"{tmp_dir}/packed"), rows)
+
+
 def test_parquet_csv_json_text_round_trip(spark, sf_small, tmp_dir):
     clean = clean_sales(raw_sales(spark, sf_small)).cache()
     write(clean, f"{tmp_dir}/p")

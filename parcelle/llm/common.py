@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,19 @@ def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parts(batch: pd.Series, size: int) -> Iterator[slice]:
+    """Slices that cover a batch of texts in turn, each cut where it reaches
+    ``size`` characters: a worker need not hold what it makes of all of them."""
+    begin, held = 0, 0
+    for i, text in enumerate(batch):
+        held += len(text)
+        if held >= size:
+            yield slice(begin, i + 1)
+            begin, held = i + 1, 0
+    if begin < len(batch):
+        yield slice(begin, len(batch))
+
+
 #: Row numbers that may be broadcast (some 16 bytes each).
 BROADCAST_ROWS = 4_000_000
 

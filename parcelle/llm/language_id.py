@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.llm.common import in_parts
+
 UNKNOWN = "und"
 SEGMENT = 128
 HIDDEN = 8
@@ -29,6 +31,8 @@ TRAIN_DOCS = 500
 TRAIN_STEPS = 160
 BATCH = 128
 BLOCK = 2048
+#: Characters of texts that a worker cuts into segments at once.
+PART_CHARS = 8 * BLOCK * SEGMENT
 #: Where a text counts as told apart: so far from chance to the score that 99 of
 #: 100 labelled texts reach.
 FLOOR = 0.1
@@ -235,7 +239,8 @@ def identify(docs: DataFrame, model: ByteGru | None, text_col: str = "text", pre
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = np.array(model.labels)
         for batch in batches:
-            p = document_probabilities(model, [x.encode() for x in batch])
+            p = np.concatenate([np.zeros((0, len(names))), *(
+                document_probabilities(model, [x.encode() for x in batch.iloc[part]]) for part in in_parts(batch, PART_CHARS))])
             best = p.argmax(axis=1)
             yield pd.DataFrame({"lang": names[best], "score": np.clip(p[np.arange(len(p)), best], 0, 1)})
 

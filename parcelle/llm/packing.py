@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parcelle.llm.common import texts, written
+from parcelle.llm.common import in_parts, texts, written
 from parcelle.llm.tokens import encode_texts
 
 WINDOW = 4096
 GRID = 128
 DEPTH = 4
 BUCKET_ROWS = 4_000
+#: Characters of texts whose ids a worker holds at once.
+PART_CHARS = 2 << 20
 #: Names of sequences: kind, bucket and number in the bucket in one integer.
 WHOLE, COMBINED, STREAM = 1, 2, 3
 
@@ -49,12 +51,14 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int,
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids = [found + end for found in encode_texts(tokenizer_path, frame["text"].tolist())]
-            yield pd.DataFrame({
-                "row": frame["row"], "doc_id": frame["doc_id"].astype("Int64"),
-                "ids": ids, "n": [len(x) // 4 for x in ids],
-            })
+        for whole in frames:
+            for part in in_parts(whole["text"], PART_CHARS):
+                frame = whole.iloc[part]
+                ids = [found + end for found in encode_texts(tokenizer_path, frame["text"].tolist())]
+                yield pd.DataFrame({
+                    "row": frame["row"], "doc_id": frame["doc_id"].astype("Int64"),
+                    "ids": ids, "n": [len(x) // 4 for x in ids],
+                })
 
     return texts(docs, id_col, text_col).mapInPandas(encode, "row long, doc_id long, ids binary, n long")
 

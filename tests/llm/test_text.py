@@ -8,11 +8,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from parcelle.llm import decontaminate, language_id, licenses, packing, pii, quality, token_counts
-from parcelle.llm.common import held_out, written
+from parcelle.llm.common import held_out, in_parts, written
 from parcelle.llm.queries import QUERIES, tokenizer_file
 from tests.llm.conftest import prose, table
 
@@ -22,6 +23,28 @@ def test_held_out_is_crc32_mod_4(spark):
     assert got == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(40)}
 
 
+@pytest.mark.parametrize("sizes", [[], [0], [0, 0], [9, 1, 0], [3, 3, 3, 3, 1], [2, 40, 1]])
+def test_parts_cover_a_batch_in_turn_and_are_bounded(sizes):
+    batch = pd.Series(["é" * n for n in sizes], dtype=object)
+    parts = [batch.iloc[s].tolist() for s in in_parts(batch, 5)]
+    assert [x for part in parts for x in part] == batch.tolist()
+    assert all(part and sum(map(len, part[:-1])) < 5 for part in parts)
+
+
+def test_a_worker_holds_no_whole_batch(spark, monkeypatch):
+    rng, seen = random.Random(4), []
+    texts = [prose(rng, 30) for _ in range(40)]
+    model, plain = language_id.ByteGru(["a", "b"], 3), language_id.document_probabilities
+    monkeypatch.setattr(language_id, "document_probabilities", lambda m, data: seen.append(sum(map(len, data))) or plain(m, data))
+    predict = {}
+    monkeypatch.setattr(F, "pandas_udf", lambda *_: lambda f: predict.setdefault("f", f) and (lambda c: F.lit(None).cast("struct<lang:string,score:double>")))
+    monkeypatch.setattr(language_id, "PART_CHARS", 1000)
+    language_id.identify(table(spark, []), model)
+    (out,) = predict["f"](iter([pd.Series(texts)]))
+    assert max(seen) < 1000 + max(map(len, texts)) and len(seen) > 1
+    assert np.allclose(out["score"], plain(model, [x.encode() for x in texts]).max(axis=1), atol=1e-6)
+
+
 def test_gru_gradients_match_differences():
     rng = np.random.default_rng(0)
     model = language_id.ByteGru(["a", "b"], 3)

@@ -617,8 +617,11 @@ def q_sales_in_areas(spark, sf_dir):
 
 @query("sink_published")
 def q_sink_published(spark, sf_dir):
-    """Two versions are published; then a writer dies before it commits."""
-    root, raw = scratch_path(spark, "published"), raw_sales(spark, sf_dir)
+    """Two versions are published; then a writer dies before it commits. The
+    raw lines that all three writers read are joined and written once."""
+    root, lines = scratch_path(spark, "published"), scratch_path(spark, "published-lines")
+    write(raw_sales(spark, sf_dir), lines, format="parquet")
+    raw = read(spark, lines, "parquet", schema=RAW_SALES_SCHEMA)
     publish(building_sales(sale_lines(typed_sales(raw), land=False)), root)
     publish(clean_sales(raw), root)
     stage(clean_sales(raw).limit(10), root)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from parcelle import queries
 from parcelle.sinks import published
 from parcelle.sinks.published import commit, current, publish, read_published, stage, versions
 
@@ -53,3 +54,15 @@ def test_a_taken_number_is_not_overwritten(spark, tmp_dir, monkeypatch):
 def test_formats_and_partitions(spark, tmp_dir):
     publish(frame(spark, "a"), tmp_dir, format="csv", options={"header": "true"}, partition_by=["tag"])
     assert tags(read_published(spark, tmp_dir, format="csv", header="true")) == {("a", 20)}
+
+
+def test_the_writers_share_one_join(spark, sf_small, monkeypatch):
+    read = []
+
+    def seen(df, root):
+        read.append(df.inputFiles())
+        return published.publish(df, root)
+
+    monkeypatch.setattr(queries, "publish", seen)
+    assert queries.REGISTRY["sink_published"](spark, sf_small).count() > 0
+    assert len(read) == 2 and all("published-lines" in path for files in read for path in files)

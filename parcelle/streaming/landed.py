@@ -18,11 +18,10 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.plans.clean import clean_sales
-from parcelle.session import scratch_path
 from parcelle.sources.files import _file_columns, current_files, scan_sales
 
 MARK = "\x1f"
@@ -52,14 +51,14 @@ def clean_new_files(spark: SparkSession, root: str, output: str, checkpoint: str
             "fichier": F.substring_index("id_mutation", MARK, 1),
             "id_mutation": F.substring_index("id_mutation", MARK, -1),
         })
-        path = scratch_path(spark, "cleaned-batch")
-        cleaned.write.partitionBy("fichier").parquet(path)
-        ready = spark.read.schema(cleaned.schema).parquet(path)
-        filled = {r[0] for r in ready.select("fichier").distinct().collect()}  # names again
-        (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("fichier").parquet(output))
-        for empty in sorted(set(names) - filled):  # a new version without a clean sale
-            ready.drop("fichier").limit(0).write.mode("overwrite").parquet(f"{output}/fichier={quote(empty, safe='')}")
+        # Few, well-sized parts per file instead of one per file and task; one
+        # write, which tells the files it filled (names again).
+        seen = Observation("filled")
+        (cleaned.hint("rebalance", "fichier").observe(seen, F.collect_set("fichier").alias("names"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fichier").parquet(output))
+        for empty in sorted(set(names) - set(seen.get["names"])):  # a new version without a clean sale
+            nothing = spark.createDataFrame([], cleaned.drop("fichier").schema)
+            nothing.write.mode("overwrite").parquet(f"{output}/fichier={quote(empty, safe='')}")
 
     query = (landed_stream(spark, root, max_files_per_trigger).writeStream
              .foreachBatch(write_batch)

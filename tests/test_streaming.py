@@ -1,6 +1,8 @@
 """Incremental cleaning: two landing rounds give the batch result, and a
 re-run with nothing new adds nothing."""
 
+import pathlib
+
 from pyspark.sql import functions as F
 
 from parcelle.plans.clean import clean_sales
@@ -37,3 +39,18 @@ def test_one_file_a_batch_and_a_replacing_run_equal_batch(spark, sf_small, tmp_d
     land_files(raw, root, run="2")
     clean_new_files(spark, root, out, ckpt)
     assert _rows(read_cleaned(spark, out)) == _rows(clean_sales(raw))
+
+
+def test_output_has_few_files_a_name(spark, sf_small, tmp_dir):
+    raw = raw_sales(spark, sf_small).filter(F.col("code_departement").isin("01", "05"))
+    root, out = f"{tmp_dir}/land", f"{tmp_dir}/out"
+    land_files(raw, root, run="1")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        clean_new_files(spark, root, out, f"{tmp_dir}/ckpt")
+    finally:
+        spark.conf.unset(name)
+    names = list(pathlib.Path(out).glob("fichier=*"))
+    assert names and all(len(list(n.glob("part-*"))) == 1 for n in names)
+    assert _rows(read_cleaned(spark, out)) == _rows(clean_sales(raw))

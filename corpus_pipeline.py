@@ -8,23 +8,39 @@ reread as the next stage's docs. All but the last return the columns of
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
-from parcelle.llm.common import held_out, read_table, written
+from parcelle.llm.common import held_out, read_table, rows_in, written
 from parcelle.llm.queries import tokenizer_file
 
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number of each row that stays the same in every scan."""
-    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+#: Bits of a row's number that hold its place in its file.
+ROW_BITS = 33
 
 
-def _rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """The rows of numbered ``docs`` whose number is in ``found`` (left_semi)
-    or not (left_anti)."""
-    return docs.join(found.select(F.col("row").alias("__row")).distinct(), "__row", how).drop("__row")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row that stays the same in every scan:
+    its file's number and its place in the file, so a Parquet table as it was
+    read needs no copy. Rows that come from elsewhere are numbered once and
+    written."""
+    try:
+        placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    number = F.row_number().over(Window.orderBy("__path")).cast("long")  # a row per file, as in the driver's listing
+    files = written(placed.select("__path").distinct().select("__path", number.alias("__file")), "files")
+    row = F.shiftleft("__file", ROW_BITS) + F.col("__row")
+    return placed.join(F.broadcast(files), "__path").select(*docs.columns, row.alias("__row"))
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of numbered ``docs`` whose number is not in ``dropped``; few
+    numbers go to the texts, so these are not shuffled."""
+    dropped = written(dropped.select(F.col("row").alias("__row")).distinct(), "dropped")
+    return rows_in(docs, dropped, "left_anti", "__row").drop("__row")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,21 +57,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts."""
     docs = _numbered(docs)
-    return _rows(docs, exact_dedup.exact_dedup(docs, row_col="__row").where("kept"), "left_semi")
+    return _without(docs, exact_dedup.exact_dedup(docs, row_col="__row").where("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (five-word shingles,
     similarity 0.8)."""
     docs = _numbered(docs)
-    return _rows(docs, near_dedup.near_dedup(docs, words=5, percent=80, side=10, row_col="__row").where("kept"), "left_semi")
+    return _without(docs, near_dedup.near_dedup(docs, words=5, percent=80, side=10, row_col="__row").where("not kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents with a passage of the benchmark."""
     docs = _numbered(docs)
     found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"), row_col="__row")
-    return _rows(docs, found, "left_anti")
+    return _without(docs, found)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

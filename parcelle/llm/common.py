@@ -73,13 +73,14 @@ def in_parts(batch: pd.Series, size: int) -> Iterator[slice]:
 BROADCAST_ROWS = 4_000_000
 
 
-def rows_in(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``row`` is in the written table ``rows``.
-    Up to ``BROADCAST_ROWS`` numbers go to the texts, whatever the planner
-    estimates; beyond, a shuffle join moves the texts."""
-    wanted = rows.select("row")
+def rows_in(docs: DataFrame, rows: DataFrame, how: str = "left_semi", row_col: str = "row") -> DataFrame:
+    """The rows of ``docs`` whose ``row_col`` is in the written table ``rows``
+    (``left_semi``) or not (``left_anti``). Up to ``BROADCAST_ROWS`` numbers go
+    to the texts, whatever the planner estimates; beyond, a shuffle join moves
+    the texts."""
+    wanted = rows.select(row_col)
     few = rows.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(wanted) if few else wanted, "row", "left_semi")
+    return docs.join(F.broadcast(wanted) if few else wanted, row_col, how)
 
 
 #: A Bloom filter has at most so many bits (64 MB): enough for some 50 million

@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, and the registered queries."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ import corpus_pipeline
 from parcelle.llm.common import read_table, written
 from parcelle.llm.language_id import _floor
 from parcelle.llm.queries import ORACLE_SQL, QUERIES
+from parcelle.session import scratch_path
 from tests.llm.conftest import table
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +75,31 @@ def test_language_floor_lies_between_chance_and_labelled_scores():
         floor = _floor(p, np.zeros(50, np.int64))
         assert 1 / k < floor < 1 / k + 0.1
     assert _floor(np.full((3, 4), 0.25), np.ones(3, np.int64)) == 0.25   # none right
+
+
+def test_row_numbers_are_one_a_row_and_the_same_in_every_scan(spark, tmp_dir):
+    rows = [(i % 7, f"text {i}", "en") for i in range(500)]
+    table(spark, rows).repartition(5).write.option("parquet.block.size", 1024).parquet(f"{tmp_dir}/docs")
+    docs = corpus_pipeline._numbered(spark.read.parquet(f"{tmp_dir}/docs"))
+    first = {r["__row"]: r["text"] for r in docs.select("__row", "text").collect()}
+    assert len(first) == 500
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        again = docs.where("text > 'text 2'").select("__row", "text").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert again and all(first[r["__row"]] == r["text"] for r in again)
+    made = corpus_pipeline._numbered(spark.createDataFrame(rows, "doc_id long, text string, lang string"))   # from no file
+    assert made.select("__row").distinct().count() == 500
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies, corpus_pipeline.drop_contaminated])
+def test_a_stage_that_drops_rows_neither_copies_nor_shuffles_the_texts(spark, stage):
+    scratch = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(scratch.glob("*")) if scratch.exists() else set()
+    kept = stage(spark, read_table(spark, SF, "documents"), SF)
+    assert 0 < kept.count() < 200
+    for folder in set(scratch.glob("*")) - before:
+        assert "text" not in spark.read.parquet(str(folder)).columns, folder
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()

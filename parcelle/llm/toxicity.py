@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,8 +59,10 @@ PENALTY = 1.0
 #: A missed toxic document costs so many times a false alarm.
 TOXIC_COST = 3.0
 DECAY = 1e-5
-#: Words that a worker remembers, and characters that it describes at a time.
+#: Tokens and their characters that a worker remembers, and characters that it
+#: describes at a time.
 KNOWN_WORDS = 300_000
+KNOWN_CHARS = 8_000_000
 CHUNK_CHARS = 2_000_000
 
 #: Interchangeable terms, a neutral one first.
@@ -80,6 +83,8 @@ IDENTITY_TERMS = (
 
 _ENDS = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W_]+")
+#: Stands between the numbers of words where a sentence ends.
+END = -1
 
 
 def units(text: str) -> list[list[str]]:
@@ -95,15 +100,28 @@ def _hash(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass"))
 
 
+#: Hashes of what stands before a word, and before its beginnings of n letters.
+_WHOLE = _hash("=")
+_BEGINNING = [(n, _hash(f"^{n}")) for n in PREFIXES]
+
+
 def word_features(word: str) -> list[int]:
-    """Buckets of the word and of its beginnings."""
-    return [_hash(f"={word}") % BUCKETS, *(_hash(f"^{n}{word[:n]}") % BUCKETS for n in PREFIXES if len(word) >= n)]
+    """Buckets of ``=word`` and of ``^n`` with each of its beginnings."""
+    data = word.encode("utf-8", "surrogatepass")
+    found = [zlib.crc32(data, _WHOLE) % BUCKETS]
+    if len(data) != len(word):
+        data = None
+    for n, before in _BEGINNING:
+        if len(word) < n:
+            break
+        found.append(zlib.crc32(data[:n] if data else word[:n].encode("utf-8", "surrogatepass"), before) % BUCKETS)
+    return found
 
 
 def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Buckets of neighbouring words, from their hashes."""
     mixed = first.astype(np.uint64) * np.uint64(0x9E3779B1) + second.astype(np.uint64)
-    return ((mixed ^ (mixed >> np.uint64(17))) % np.uint64(BUCKETS)).astype(np.int64)
+    return ((mixed ^ (mixed >> np.uint64(17))) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def unit_features(words: list[str]) -> np.ndarray:
@@ -158,20 +176,59 @@ class Toxicity:
 
 
 class Scorer:
-    """Scores whole texts, and remembers the weights of words."""
+    """Scores whole texts, and remembers what white-space separated tokens
+    hold: their words, and the sentence ends between them."""
 
     def __init__(self, model: Toxicity):
-        self.model, self.known = model, {}
-        self.weight: list[float] = []
-        self.hash: list[int] = []
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}     # tokens
+        self.words: dict[str, int] = {}
+        self.held = 0                       # characters of the tokens
+        self.items = array("q")             # of all tokens in turn: a word's number, or END
+        self.starts = array("q")            # of each token in ``items``
+        self.hash = array("Q")
+        self.weight = np.zeros(0)
+        self.buckets, self.sizes = array("q"), array("q")   # of the words whose weight is not summed yet
 
     def _number(self, word: str) -> int:
-        at = len(self.weight)
-        self.known[word] = at
-        self.weight.append(float(self.model.weights[word_features(word)].sum(dtype=np.float64)))
-        self.hash.append(_hash(word))
+        at = self.words.get(word)
+        if at is None:
+            at = self.words[word] = len(self.words)
+            self.hash.append(_hash(word))
+            own = word_features(word)
+            self.buckets.extend(own)
+            self.sizes.append(len(own))
         return at
 
+    def _learn(self, token: str) -> None:
+        self.known[token] = len(self.starts)
+        self.starts.append(len(self.items))
+        self.held += len(token)
+        token = token.lower()
+        if token.isalnum():
+            self.items.append(self._number(token))
+        elif token[:-1].isalnum():   # a word and a mark
+            self.items.append(self._number(token[:-1]))
+            if token[-1] in ".!?":
+                self.items.append(END)
+        else:
+            for i, part in enumerate(_ENDS.split(token)):
+                if i:
+                    self.items.append(END)
+                self.items.extend([self._number(w) for w in _WORD.findall(part)])
+
+    def _weights(self) -> np.ndarray:
+        """Of all words, by number."""
+        if self.sizes:
+            size = np.array(self.sizes)
+            sums = np.add.reduceat(self.model.weights[np.array(self.buckets)].astype(np.float64), np.cumsum(size) - size)
+            self.weight = np.concatenate([self.weight, sums])
+            self.buckets, self.sizes = array("q"), array("q")
+        return self.weight
+
     def scores(self, texts: list[str]) -> np.ndarray:
         out, chunk, held = [], [], 0
         for text in texts:
@@ -185,34 +242,57 @@ class Scorer:
         return np.concatenate(out) if out else np.zeros(0)
 
     def _chunk(self, texts: list[str]) -> np.ndarray:
-        if len(self.known) > KNOWN_WORDS:
-            self.known, self.weight, self.hash = {}, [], []
-        known, number = self.known, self._number
-        words: list[int] = []
-        sizes: list[int] = []
+        if len(self.known) > KNOWN_WORDS or self.held > KNOWN_CHARS:
+            self._forget()
+        known = self.known
+        tokens: list[int] = []
         counts = []
         for text in texts:
-            own = units(text)
+            own = text.replace("\n", " . ").split()   # a line's end ends a sentence, as a stop does
+            own.append(".")
+            try:
+                tokens += [known[t] for t in own]
+            except KeyError:
+                for t in own:
+                    if t not in known:
+                        self._learn(t)
+                tokens += [known[t] for t in own]
             counts.append(len(own))
-            for unit in own:
-                sizes.append(len(unit))
-                words += [known[w] if w in known else number(w) for w in unit]
-        word, size = np.array(words, np.int64), np.array(sizes, np.int64)
-        unit = np.repeat(np.arange(len(size)), size)
-        weight, hashes = np.array(self.weight), np.array(self.hash, np.uint64)
-        once = np.unique(unit * len(weight) + word) if len(word) else word
-        logit = np.bincount(once // max(1, len(weight)), weight[once % max(1, len(weight))], len(size)) if len(word) else np.zeros(0)
-        near = np.flatnonzero(unit[1:] == unit[:-1])
-        pair = np.unique(unit[near] * BUCKETS + _pairs(hashes[word[near]], hashes[word[near + 1]])) if len(near) else near
-        if len(pair):
-            logit += np.bincount(pair // BUCKETS, self.model.weights[pair % BUCKETS], len(size))
+        starts = np.append(np.array(self.starts), len(self.items))
+        token = np.array(tokens, np.int64)
+        size = starts[token + 1] - starts[token]
+        ends = np.cumsum(size)
+        item = np.array(self.items)[np.repeat(starts[token] - (ends - size), size) + np.arange(ends[-1])]
+        is_word = item != END
+        word = item[is_word]
         out = np.zeros(len(texts))
-        some = np.flatnonzero(np.array(counts) > 0)
-        if len(some):
-            starts = np.cumsum(counts) - counts
-            out[some] = np.maximum.reduceat(logit, starts[some])
+        if len(word):
+            sentence = np.cumsum(~is_word)[is_word]
+            begins = np.flatnonzero(np.diff(sentence, prepend=-1))
+            place = np.arange(len(word)) - np.repeat(begins, np.diff(begins, append=len(word)))
+            first = place % UNIT_WORDS == 0
+            unit = np.cumsum(first) - 1
+            at = np.cumsum(is_word)[ends[np.cumsum(counts) - 1] - 1]   # words up to each text's end
+            logit = self._logits(word, unit, ~first)
+            text = np.searchsorted(at, np.flatnonzero(first), side="right")
+            some, begin = np.unique(text, return_index=True)
+            out[some] = np.maximum.reduceat(logit, begin)
         return 1 / (1 + np.exp(-np.clip(out + self.model.bias, -50, 50)))
 
+    def _logits(self, word: np.ndarray, unit: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        """Of each unit, without the bias. A repeated word or pair counts
+        once; those without weight add nothing and are left out first."""
+        n, weights = int(unit[-1]) + 1, self.model.weights
+        weight, hashes = self._weights(), np.array(self.hash, np.uint64)
+        some = np.flatnonzero(weight[word])
+        once = np.unique(unit[some] * len(weight) + word[some])
+        logit = np.bincount(once // len(weight), weight[once % len(weight)], n)
+        right = np.flatnonzero(follows)
+        bucket = _pairs(hashes[word[right - 1]], hashes[word[right]])
+        some = np.flatnonzero(weights[bucket])
+        pair = np.unique(unit[right[some]] * BUCKETS + bucket[some])
+        return logit + np.bincount(pair // BUCKETS, weights[pair % BUCKETS], n)
+
 
 def telling(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Buckets that tell the labels apart; ``counts`` holds, by label and

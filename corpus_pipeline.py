@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
-from parcelle.llm.common import held_out, read_table, rows_in, written
+from parcelle.llm.common import held_out, read_table, rows_in, small_batches, written
 from parcelle.llm.queries import tokenizer_file
 
 #: Bits of a row's number that hold its place in its file.
@@ -76,7 +76,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed pieces with their token ids."""
-    return packing.pack(docs, tokenizer_file(), end_id=2)
+    with small_batches(spark):  # the tokens are written within
+        return packing.pack(docs, tokenizer_file(), end_id=2)
 
 
 STAGES = [

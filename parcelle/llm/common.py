@@ -88,6 +88,19 @@ def rows_in(docs: DataFrame, rows: DataFrame, how: str = "left_semi", row_col: s
 BLOOM_BITS = 1 << 29
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Within: the session has these settings."""
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @contextmanager
 def bloom_joins(spark: SparkSession, keys: int) -> Iterator[None]:
     """Within: Spark may drop rows of a join's large side by a Bloom filter of
@@ -98,15 +111,21 @@ def bloom_joins(spark: SparkSession, keys: int) -> Iterator[None]:
         "enabled": "true", "creationSideThreshold": "1TB", "applicationSideScanSizeThreshold": "0", "numBits": bits,
         "maxNumBits": bits, "maxNumItems": str(keys + 1), "expectedNumItems": str(keys + 1),
     }
-    names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
-    before = {k: spark.conf.get(k) for k in names}
-    for k, v in names.items():
-        spark.conf.set(k, v)
-    try:
+    with _settings(spark, {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}):
+        yield
+
+
+#: Bytes of rows that Spark hands to a Python worker at once: texts or sets of
+#: 10,000 rows would lie in the executor's memory several times over.
+WORKER_BYTES = 2 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = WORKER_BYTES) -> Iterator[None]:
+    """Within: what runs hands its Python workers batches of about ``size``
+    bytes, or one row, instead of 10,000 rows."""
+    with _settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(size)}):
         yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
 
 
 def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:

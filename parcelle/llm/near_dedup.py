@@ -41,13 +41,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from parcelle.llm.common import numbered, rows_in, written
+from parcelle.llm.common import numbered, rows_in, small_batches, written
 from parcelle.llm.components import components
 
 SIDE = 8
 ROWS = 2
 ROUNDS = 2
-CHUNK_BYTES = 2_000_000
+#: Bytes of texts that a worker cuts into shingles at once; it holds some 60
+#: times as much meanwhile.
+CHUNK_BYTES = 250_000
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
@@ -71,7 +73,7 @@ def _shingles(data: list[bytes], words: int) -> list[np.ndarray]:
     space = (flat == 32) | ((flat >= 9) & (flat <= 13))
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     first, last = edge[::2], edge[1::2]
-    size = 1 << max(21, int(len(flat)).bit_length())
+    size = 1 << max(19, int(len(flat)).bit_length())
     power, inverse = _powers(size)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:len(flat)])])
     word = _mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
@@ -304,8 +306,9 @@ def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, side: int = S
     Jaccard similarity of ``percent`` / 100 or more, one row per input row:
     (row, doc_id, n_shingles, component_id, kept)."""
     source = numbered(docs, id_col, text_col, row_col)
-    sketches = written(_sketch(source, words, side, rows), "sketches")
-    roots = similar_classes(source, sketches, words, percent, side, rows)
+    with small_batches(docs.sparkSession):
+        sketches = written(_sketch(source, words, side, rows), "sketches")
+        roots = similar_classes(source, sketches, words, percent, side, rows)
     classes = sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"))
     rooted = _with_root(classes.select("digest", F.col("rep").alias("row")), roots).select("digest", "root")
     rows_ = sketches.select("row", "doc_id", F.col("n").alias("n_shingles"), "digest")

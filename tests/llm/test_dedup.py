@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from parcelle.llm import exact_dedup, near_dedup, repeats
+from parcelle.llm.common import WORKER_BYTES, small_batches
 from parcelle.llm.components import components
 from tests.llm.conftest import table
 
@@ -97,6 +99,39 @@ def test_near_copies_of_varied_similarity(spark):
     assert 1 < n_groups < 120 and out == want
 
 
+def test_a_worker_holds_a_bounded_multiple_of_its_texts(monkeypatch):
+    texts = [(f"word{i} of text " * 130).encode() for i in range(2_000)]  # 4 MB
+    near_dedup._powers.cache_clear()
+    tracemalloc.start()
+    sets = [hashlib.sha256(s.tobytes()).digest() for s in near_dedup.shingle_sets(texts, 3)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000, peak
+    monkeypatch.setattr(near_dedup, "CHUNK_BYTES", 2_000_000)
+    assert sets == [hashlib.sha256(s.tobytes()).digest() for s in near_dedup.shingle_sets(texts, 3)]
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """Batches of 10,000 rows of sets or texts filled the executors."""
+    seen, write = [], near_dedup.written
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def watched(df, name, **options):
+        seen.append((name, spark.conf.get(key)))
+        return write(df, name, **options)
+
+    before = spark.conf.get(key)
+    monkeypatch.setattr(near_dedup, "written", watched)
+    rows = [(i, f"some words of text {i // 2} and again some words", "en") for i in range(60)]
+    assert near_dedup.near_dedup(table(spark, rows)).count() == 60
+    assert {n for n, size in seen if size == str(WORKER_BYTES)} >= {"sketches", "sets", "near_pairs", "links"}
+    assert spark.conf.get(key) == before
+    with small_batches(spark, 1 << 16):
+        sizes = spark.range(0, 2_000, 1, 1).selectExpr("repeat('x', 1000) as text").mapInPandas(
+            lambda frames: (f.head(1).assign(n=len(f))[["n"]] for f in frames), "n long").collect()
+    assert max(r["n"] for r in sizes) < 100
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7)], "a long, b long")
     out = {r["node"]: r["root"] for r in components(links).collect()}

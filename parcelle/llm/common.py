@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.session import scratch_path
+from parcelle.session import scratch_path, settings
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -88,19 +88,6 @@ def rows_in(docs: DataFrame, rows: DataFrame, how: str = "left_semi", row_col: s
 BLOOM_BITS = 1 << 29
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Within: the session has these settings."""
-    before = {k: spark.conf.get(k) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
 @contextmanager
 def bloom_joins(spark: SparkSession, keys: int) -> Iterator[None]:
     """Within: Spark may drop rows of a join's large side by a Bloom filter of
@@ -111,7 +98,7 @@ def bloom_joins(spark: SparkSession, keys: int) -> Iterator[None]:
         "enabled": "true", "creationSideThreshold": "1TB", "applicationSideScanSizeThreshold": "0", "numBits": bits,
         "maxNumBits": bits, "maxNumItems": str(keys + 1), "expectedNumItems": str(keys + 1),
     }
-    with _settings(spark, {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}):
+    with settings(spark, {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}):
         yield
 
 
@@ -124,7 +111,7 @@ WORKER_BYTES = 2 << 20
 def small_batches(spark: SparkSession, size: int = WORKER_BYTES) -> Iterator[None]:
     """Within: what runs hands its Python workers batches of about ``size``
     bytes, or one row, instead of 10,000 rows."""
-    with _settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(size)}):
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(size)}):
         yield
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from parcelle.plans.clean import clean_sales, sale_points, serving_sales
 from parcelle.schema import CLEAN_SCHEMA, SERVING_TABLE
 from parcelle.sinks.files import write
-from parcelle.sources.files import read_sales
+from parcelle.sources.files import read_sales, small_scans
 from parcelle.sources.jdbc import JdbcTarget, write_table
 
 
@@ -50,8 +50,9 @@ class SalesJob:
 
     def load(self, clean: DataFrame) -> None:
         out_obs = Observation("transformed")
-        write(clean.observe(out_obs, F.count(F.lit(1)).alias("row_count_transformed")),
-              self.output, format="parquet", partition_by=self.partition_by)
+        with small_scans(self.spark):
+            write(clean.observe(out_obs, F.count(F.lit(1)).alias("row_count_transformed")),
+                  self.output, format="parquet", partition_by=self.partition_by)
         self.metrics.update(out_obs.get)
         self.metrics.update(self._raw_obs.get if hasattr(self, "_raw_obs") else {})
         if self.jdbc is not None:

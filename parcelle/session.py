@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for one write."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/parcelle/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Within: the session has these settings."""
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -6,6 +6,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.window import Window
 
 from parcelle.operators.conform import conform_columns
 from parcelle.schema import LANDED_FILE_PATTERN, RAW_SALES_SCHEMA
+from parcelle.session import settings
 
 SALE_KEY = "id_mutation"
 
@@ -188,6 +190,21 @@ def rejected_lines(spark: SparkSession, files: DataFrame, options: dict | None =
     return bad.select("departement", "annee", "fichier", F.col(REJECTED).alias("line"), "reason")
 
 
+#: Bytes of landed files, as stored, that a task scans when their lines are
+#: aggregated; a compressed file is not split.
+SCAN_BYTES = 16 << 20
+
+
+@contextmanager
+def small_scans(spark: SparkSession) -> Iterator[None]:
+    """Within: scan tasks of what runs are packed up to ``SCAN_BYTES``. Spark
+    packs compressed files by their stored size, and 128 MB of these hold some
+    ten million lines; a task that aggregates them keeps nearly each line's
+    sale in memory, so its memory would grow with the input up to there."""
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(SCAN_BYTES)}):
+        yield
+
+
 def read_sales(spark: SparkSession, path: str, options: dict | None = None,
                rebalance: int | None = None) -> DataFrame:
     """Raw sale lines from a folder of landed CSV files, plain or gzip: the

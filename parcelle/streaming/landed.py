@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.plans.clean import clean_sales
-from parcelle.sources.files import _file_columns, current_files, scan_sales
+from parcelle.sources.files import _file_columns, current_files, scan_sales, small_scans
 
 MARK = "\x1f"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -54,8 +54,9 @@ def clean_new_files(spark: SparkSession, root: str, output: str, checkpoint: str
         # Few, well-sized parts per file instead of one per file and task; one
         # write, which tells the files it filled (names again).
         seen = Observation("filled")
-        (cleaned.hint("rebalance", "fichier").observe(seen, F.collect_set("fichier").alias("names"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fichier").parquet(output))
+        with small_scans(spark):
+            (cleaned.hint("rebalance", "fichier").observe(seen, F.collect_set("fichier").alias("names"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fichier").parquet(output))
         for empty in sorted(set(names) - set(seen.get["names"])):  # a new version without a clean sale
             nothing = spark.createDataFrame([], cleaned.drop("fichier").schema)
             nothing.write.mode("overwrite").parquet(f"{output}/fichier={quote(empty, safe='')}")

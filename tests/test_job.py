@@ -1,9 +1,12 @@
 """Extract / transform / load, the runner's report and failure wrapping."""
 
+import gzip
+import os
 import uuid
 
 import pytest
 
+from parcelle.plans import job as job_module
 from parcelle.plans.job import EtlJobError, SalesJob, report_frame, run_job
 from parcelle.sinks.files import write_csv
 from parcelle.sources.files import read_sales
@@ -40,6 +43,29 @@ def test_job_runs_and_loads_both_sinks(spark, tmp_dir):
     assert report_frame(spark, report).first()["status"] == "success"
 
 
+def test_a_scan_task_of_the_job_reads_few_compressed_files(spark, tmp_dir, monkeypatch):
+    """Compressed files were packed by their stored size up to 128 MB a task."""
+    n, per_file = 160, 4 << 20  # what Spark adds to a file's size
+    os.makedirs(f"{tmp_dir}/in")
+    lines = [SIX_COLUMNS.names, *[["" if x is None else str(x) for x in row] for row in SIX_ROWS]]
+    for i in range(n):
+        with gzip.open(f"{tmp_dir}/in/dvf_{i:03}_2022.csv.gz", "wt") as f:
+            f.writelines(",".join(line) + "\n" for line in lines)
+    tasks, write = [], job_module.write
+
+    def watched(df, *args, **options):
+        tasks.append(read_sales(spark, f"{tmp_dir}/in").rdd.getNumPartitions())
+        return write(df, *args, **options)
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(job_module, "write", watched)
+    report = run_job(SalesJob(spark, source=f"{tmp_dir}/in", output=f"{tmp_dir}/out"))
+    assert report["metrics"]["row_count_raw"] == 6 * n
+    assert tasks[0] >= n * per_file / (16 << 20), tasks
+    assert spark.conf.get(key) == before
+
+
 def test_stages_run_in_order():
     calls = []
 

@@ -8,32 +8,14 @@ reread as the next stage's docs. All but the last return the columns of
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from parcelle.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
-from parcelle.llm.common import held_out, read_table, rows_in, small_batches, written
+from parcelle.llm.common import by_place, held_out, read_table, rows_in, small_batches, written
 from parcelle.llm.queries import tokenizer_file
 
-#: Bits of a row's number that hold its place in its file.
-ROW_BITS = 33
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number of each row that stays the same in every scan:
-    its file's number and its place in the file, so a Parquet table as it was
-    read needs no copy. Rows that come from elsewhere are numbered once and
-    written."""
-    try:
-        placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:
-        return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    number = F.row_number().over(Window.orderBy("__path")).cast("long")  # a row per file, as in the driver's listing
-    files = written(placed.select("__path").distinct().select("__path", number.alias("__file")), "files")
-    row = F.shiftleft("__file", ROW_BITS) + F.col("__row")
-    return placed.join(F.broadcast(files), "__path").select(*docs.columns, row.alias("__row"))
+_numbered = by_place
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -49,9 +31,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.fit(docs, ~held_out(F.col("doc_id")))
     if model is None and not docs.where(F.col("text").rlike("\\p{L}")).isEmpty():
         raise ValueError("no document has a language to learn from: the stage would reject all of them")
-    found = language_id.identify(docs, model, prefix="__")
+    docs = _numbered(docs)
+    found = language_id.identify(docs.select("__row", "text"), model, prefix="__")
     kept = (F.col("__lang_pred") != language_id.UNKNOWN) & (F.col("__score") >= (model.floor if model else 0.0))
-    return found.where(kept).select(docs.columns)
+    with small_batches(spark):
+        rejected = written(found.where(~kept).select(F.col("__row").alias("row")), "rejected")
+    return _without(docs, rejected)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

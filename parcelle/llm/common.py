@@ -6,8 +6,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parcelle.session import scratch_path, settings
 
@@ -46,6 +48,25 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     return docs.select(F.col(row_col).alias("row"), *_id_and_text(id_col, text_col))
 
 
+#: Bits of a row's number that hold its place in its file.
+ROW_BITS = 33
+
+
+def by_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``__row`` of each row that stays the same in every
+    scan: its file's number and its place in the file, so a Parquet table as it
+    was read needs no copy. Rows that come from elsewhere are numbered once and
+    written."""
+    try:
+        placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    number = F.row_number().over(Window.orderBy("__path")).cast("long")  # a row per file, as in the driver's listing
+    files = written(placed.select("__path").distinct().select("__path", number.alias("__file")), "files")
+    row = F.shiftleft("__file", ROW_BITS) + F.col("__row")
+    return placed.join(F.broadcast(files), "__path").select(*docs.columns, row.alias("__row"))
+
+
 def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     """Write ``df`` to a table in the shared checkpoint folder and read it
     back: cuts the lineage, and survives the loss of executors. ``file_rows``

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from parcelle.llm.common import read_table, written
+from parcelle.llm.common import WORKER_BYTES, read_table, written
 from parcelle.llm.language_id import _floor
 from parcelle.llm.queries import ORACLE_SQL, QUERIES
 from parcelle.session import scratch_path
@@ -94,6 +94,21 @@ def test_row_numbers_are_one_a_row_and_the_same_in_every_scan(spark, tmp_dir):
     assert made.select("__row").distinct().count() == 500
 
 
+def test_the_language_stage_hands_its_workers_small_batches(spark, monkeypatch):
+    """Batches of 10,000 texts filled the workers, which live on beside the
+    stages that follow."""
+    key, seen, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], corpus_pipeline.written
+
+    def watched(df, name, **options):
+        seen.append(("ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString(), spark.conf.get(key)))
+        return write(df, name, **options)
+
+    monkeypatch.setattr(corpus_pipeline, "written", watched)
+    kept = corpus_pipeline.identify_language(spark, read_table(spark, SF, "documents"), SF)
+    assert (True, str(WORKER_BYTES)) in seen and (True, spark.conf.get(key)) not in seen
+    assert "ArrowEvalPython" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("stage", [corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies, corpus_pipeline.drop_contaminated])
 def test_a_stage_that_drops_rows_neither_copies_nor_shuffles_the_texts(spark, stage):
     scratch = Path(scratch_path(spark, "x").removeprefix("file:")).parent

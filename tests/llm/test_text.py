@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -170,6 +171,39 @@ def test_tokens_equal_the_tokenizer(empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_marks_and_forgotten_words_leave_the_tokens_alone(monkeypatch):
+    from parcelle.llm import tokens
+
+    path, rng = tokenizer_file(), random.Random(8)
+    letters = [*"abzXYZÀéßÿöñ012 \t\n'\"<>|.,;:!?%$&*()[]{}`~^_-+=@#\\/\x1c×÷µªºİσΣ日😀\u0301\x00\x7f\x80\xa0\xad", "<|endoftext|>", "'s", "'re"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(2_000)]
+    tokenizer = tokens.load_tokenizer(path)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokens, "MEMORY_WORDS", 500)
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 1_000)
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encode_texts(path, texts)] == want
+    assert sum(map(len, tokens._memory(path))) < 1_500
+
+
+def test_a_word_in_use_is_not_encoded_again(monkeypatch):
+    """A full memory was emptied, and every word encoded anew."""
+    from parcelle.llm import tokens
+
+    class Model:
+        def tokenize(self, form):
+            seen[form] += 1
+            return model.tokenize(form)
+
+    path, seen = tokenizer_file(), Counter()
+    model, encode = tokens.load_tokenizer(path).model, tokens.load_tokenizer(path).encode
+    monkeypatch.setattr(tokens, "load_tokenizer", lambda _: SimpleNamespace(model=Model(), encode=encode))
+    monkeypatch.setattr(tokens, "MEMORY_WORDS", 200)
+    word = lambda i: "qz" + "".join(chr(97 + int(d)) for d in str(i))
+    for i in range(0, 2_000, 50):
+        list(tokens.encode_texts(path, ["qzcommon (qzcommon) qzcommon!! " + " ".join(word(j) for j in range(i, i + 50))]))
+    assert seen["qzcommon"] == 1 and len(seen) > 2_000
+
+
 def test_nnls_and_repeat_counts():
     a, b = np.array([[1.0, 0, 1], [0, 1, 1]]), np.array([2.0, -1])
     assert np.allclose(packing.nnls(a, b), [2, 0, 0])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.llm import bitplanes, decontaminate, exact_dedup, language_id, licenses, near_dedup, packing, pii, quality, ranked_search, repeats, token_counts, toxicity
-from parcelle.llm.common import held_out, read_table
+from parcelle.llm.common import by_place, held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -136,8 +136,8 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC
 
 @query
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return repeats.remove_repeats(docs).select(
+    docs = by_place(read_table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(docs, row_col="__row").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -237,10 +237,10 @@ def _spans(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """(row, doc_id, n_bytes, n_removed, n_spans, kept, spans): what is left
     of each text as bytes, and the removed (begin, end) of its bytes."""
-    source = numbered(docs, id_col, text_col)
+    source = numbered(docs, id_col, text_col, row_col)
     found = repeated_windows(source).groupBy("row").agg(
         F.collect_list("first").alias("first"), F.collect_list("count").alias("count"))  # of one text
     joined = _packed(source).join(found, "row", "left")

@@ -4,6 +4,7 @@ import hashlib
 import re
 import tracemalloc
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,8 @@ import pytest
 from parcelle.llm import exact_dedup, near_dedup, repeats
 from parcelle.llm.common import WORKER_BYTES, small_batches
 from parcelle.llm.components import components
+from parcelle.llm.queries import QUERIES
+from parcelle.session import scratch_path
 from tests.llm.conftest import table
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -185,6 +188,14 @@ def check_repeats(docs, corpus):
     assert all(sum(b - a for a, b in r["spans"]) == r["n_removed"] for r in out)
 
 
+def test_repeats_are_found_without_a_copy_of_the_texts(spark):
+    scratch = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(scratch.glob("*")) if scratch.exists() else set()
+    assert QUERIES["op4_repeats"](spark, "/root/testdata/sf0.001").count() > 0
+    for folder in set(scratch.glob("*")) - before:
+        assert "text" not in spark.read.parquet(str(folder)).columns, folder
+
+
 def test_pieces_of_long_texts_agree(spark, monkeypatch):
     import random
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.schema import LANDED_FILE_PATTERN, RAW_SALES_COLUMNS
+from parcelle.session import brief_shuffles
+from parcelle.sinks.files import remove, stored_bytes
 from parcelle.sources.files import (
     _file_columns,
     current_files,
@@ -33,6 +35,12 @@ def landed_name(raw: DataFrame, gzip: Column) -> Column:
     return F.when(gzip, F.concat(base, F.lit(".gz"))).otherwise(base)
 
 
+#: Staged bytes for which a pass is cut into one more slice of the file names,
+#: so that it shuffles less at once; each slice reads the stage again.
+SLICE_BYTES = 64 << 20
+MOST_SLICES = 4
+
+
 def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
                stage: str | None = None, run: str = "1") -> None:
     """Write raw sale lines under ``root`` as per-(department, year) files.
@@ -45,11 +53,15 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
     (plain, gzip) keep every row; with
     ``stage`` (a folder in the shared checkpoint folder) the input is
     written there once as Parquet and both passes read it, instead of each
-    recomputing the input's lineage.
+    recomputing the input's lineage. A large stage is read in slices of the
+    file names, and it is removed when all files are written.
     """
+    spark, slices = raw.sparkSession, 1
     if stage is not None:
-        raw.write.mode("overwrite").parquet(stage)
-        raw = raw.sparkSession.read.parquet(stage)
+        with brief_shuffles(spark):
+            raw.write.mode("overwrite").parquet(stage)
+        raw = spark.read.parquet(stage)
+        slices = max(1, min(MOST_SLICES, stored_bytes(spark, stage) // SLICE_BYTES))
     gz = gzip if gzip is not None else F.lit(False)
     named = raw.withColumn("fichier", landed_name(raw, gz)).hint("rebalance", "fichier")
     # Each pass of a run overwrites its own folder ``run=<run>/<pass>``:
@@ -60,8 +72,13 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
     plain = named.filter(~F.coalesce(gz, F.lit(False)))
     packed = named.filter(F.coalesce(gz, F.lit(False)))
     for name, part, extra in (("plain", plain, {}), ("gz", packed, {"compression": "gzip"})):
-        (part.write.mode("overwrite").options(**opts, **extra)
-         .partitionBy("fichier").csv(f"{root.rstrip('/')}/run={run}/{name}"))
+        for i in range(slices):
+            own = part.filter(F.pmod(F.xxhash64("fichier"), F.lit(slices)) == i) if slices > 1 else part
+            with brief_shuffles(spark):
+                (own.write.mode("append" if i else "overwrite").options(**opts, **extra)
+                 .partitionBy("fichier").csv(f"{root.rstrip('/')}/run={run}/{name}"))
+    if stage is not None:
+        remove(spark, stage)
 
 
 def read_landed(spark: SparkSession, root: str, options: dict | None = None, only_sound: bool = False) -> DataFrame:

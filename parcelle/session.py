@@ -95,3 +95,12 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within: what a write has shuffled goes from disk when the write ends.
+    Spark keeps it until the driver's garbage collector finds the finished
+    plan, so the shuffles of writes that follow each other would add up."""
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        yield

@@ -89,3 +89,15 @@ def put_bytes(spark: SparkSession, path: str, content: bytes, overwrite: bool =
         stream.write(bytearray(content))
     finally:
         stream.close()
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path (metadata only)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that this job has written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -1,7 +1,10 @@
 """Landed files: mixed plain / gzip scan, names, manifest, missing list."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from parcelle.plans import landing
 from parcelle.plans.landing import (
     dataset_metadata,
     expected_grid,
@@ -138,3 +141,18 @@ def test_decompression_error(spark, sf_small, tmp_dir):
         f.write(b"not gzip at all")
     found = with_decompression_errors(spark, tmp_dir, landing_manifest(spark, tmp_dir)).collect()
     assert {r["fichier"] for r in found if r["decompression_error"]} == {"dvf_99_2001.csv.gz"}
+
+
+def test_a_large_stage_is_landed_in_slices_and_removed(spark, sf_small, tmp_dir, monkeypatch):
+    raw = raw_sales(spark, sf_small)
+    odd = F.col("code_departement").cast("int") % 2 == 1
+    whole, sliced, stage = f"{tmp_dir}/whole", f"{tmp_dir}/sliced", f"{tmp_dir}/stage"
+    land_files(raw, whole, gzip=odd)
+    monkeypatch.setattr(landing, "SLICE_BYTES", 1)
+    for _ in range(2):  # a run that is made again replaces its files
+        land_files(raw, sliced, gzip=odd, stage=stage)
+    assert not Path(stage).exists()
+    rows = lambda root: sorted(map(repr, read_landed(spark, root).collect()))
+    assert rows(sliced) == rows(whole)
+    names = lambda root: sorted(str(p.relative_to(root)) for p in Path(root).glob("run=1/*/fichier=*"))
+    assert names(sliced) == names(whole)

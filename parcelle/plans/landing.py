@@ -35,14 +35,24 @@ def landed_name(raw: DataFrame, gzip: Column) -> Column:
     return F.when(gzip, F.concat(base, F.lit(".gz"))).otherwise(base)
 
 
-#: Staged bytes for which a pass is cut into one more slice of the file names,
-#: so that it shuffles less at once; each slice reads the stage again.
+#: Stored bytes for which a write is cut into one more slice, so that it
+#: shuffles less at once; each slice reads its input again.
 SLICE_BYTES = 64 << 20
 MOST_SLICES = 4
 
 
+def slices_of(stored: int) -> int:
+    """How many slices an input of so many stored bytes is written in."""
+    return max(1, min(MOST_SLICES, stored // SLICE_BYTES))
+
+
+def _sliced(df: DataFrame, column: str, i: int, n: int) -> DataFrame:
+    """Rows of the i-th of n slices of a column's values; each row is in one."""
+    return df.filter(F.pmod(F.xxhash64(column), F.lit(n)) == i) if n > 1 else df
+
+
 def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
-               stage: str | None = None, run: str = "1") -> None:
+               stage: str | None = None, run: str = "1", stage_slices: int = 1) -> None:
     """Write raw sale lines under ``root`` as per-(department, year) files.
 
     ``gzip`` picks the rows whose file is compressed (default: none). The
@@ -53,15 +63,18 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
     (plain, gzip) keep every row; with
     ``stage`` (a folder in the shared checkpoint folder) the input is
     written there once as Parquet and both passes read it, instead of each
-    recomputing the input's lineage. A large stage is read in slices of the
-    file names, and it is removed when all files are written.
+    recomputing the input's lineage. It is written in ``stage_slices`` slices
+    of the sales: more than one suits an input whose plan filters sales by
+    their id before it joins and shuffles them. A large stage is read in
+    slices of the file names, and it is removed when all files are written.
     """
     spark, slices = raw.sparkSession, 1
     if stage is not None:
-        with brief_shuffles(spark):
-            raw.write.mode("overwrite").parquet(stage)
+        for i in range(stage_slices):
+            with brief_shuffles(spark):
+                _sliced(raw, "id_mutation", i, stage_slices).write.mode("append" if i else "overwrite").parquet(stage)
         raw = spark.read.parquet(stage)
-        slices = max(1, min(MOST_SLICES, stored_bytes(spark, stage) // SLICE_BYTES))
+        slices = slices_of(stored_bytes(spark, stage))
     gz = gzip if gzip is not None else F.lit(False)
     named = raw.withColumn("fichier", landed_name(raw, gz)).hint("rebalance", "fichier")
     # Each pass of a run overwrites its own folder ``run=<run>/<pass>``:
@@ -73,9 +86,8 @@ def land_files(raw: DataFrame, root: str, gzip: Column | None = None,
     packed = named.filter(F.coalesce(gz, F.lit(False)))
     for name, part, extra in (("plain", plain, {}), ("gz", packed, {"compression": "gzip"})):
         for i in range(slices):
-            own = part.filter(F.pmod(F.xxhash64("fichier"), F.lit(slices)) == i) if slices > 1 else part
             with brief_shuffles(spark):
-                (own.write.mode("append" if i else "overwrite").options(**opts, **extra)
+                (_sliced(part, "fichier", i, slices).write.mode("append" if i else "overwrite").options(**opts, **extra)
                  .partitionBy("fichier").csv(f"{root.rstrip('/')}/run={run}/{name}"))
     if stage is not None:
         remove(spark, stage)

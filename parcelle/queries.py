@@ -40,6 +40,7 @@ from parcelle.plans.landing import (
     missing_partitions,
     read_landed,
     read_rejected,
+    slices_of,
     with_decompression_errors,
 )
 from parcelle.plans.outputs import save_landing, save_layer, save_listing, save_records
@@ -59,7 +60,16 @@ from parcelle.schema import (
     SCOPE_DEPARTMENTS,
 )
 from parcelle.session import scratch_path
-from parcelle.sinks.files import EXTRACT_DATE, nested_as_json, put_bytes, write, write_csv, write_dated, write_json
+from parcelle.sinks.files import (
+    EXTRACT_DATE,
+    nested_as_json,
+    put_bytes,
+    stored_bytes,
+    write,
+    write_csv,
+    write_dated,
+    write_json,
+)
 from parcelle.sinks.geojson import write_geojson
 from parcelle.sinks.published import publish, read_published, stage
 from parcelle.sources.adapter import raw_sales, table
@@ -198,8 +208,9 @@ def _even_year() -> Column:
 
 def _landed_root(spark, sf_dir) -> str:
     root = scratch_path(spark, "landing")
+    lines = stored_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
     land_files(raw_sales(spark, sf_dir), root, gzip=_even_year(),
-               stage=scratch_path(spark, "landing-stage"))
+               stage=scratch_path(spark, "landing-stage"), stage_slices=slices_of(lines))
     return root
 
 

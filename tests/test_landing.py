@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelle.plans import landing
 from parcelle.plans.landing import (
+    _sliced,
     dataset_metadata,
     expected_grid,
     land_files,
@@ -13,6 +14,7 @@ from parcelle.plans.landing import (
     manifest_summary,
     missing_partitions,
     read_landed,
+    slices_of,
 )
 from parcelle.sources.adapter import raw_sales
 from parcelle.sources.files import landed_file_name
@@ -150,9 +152,21 @@ def test_a_large_stage_is_landed_in_slices_and_removed(spark, sf_small, tmp_dir,
     land_files(raw, whole, gzip=odd)
     monkeypatch.setattr(landing, "SLICE_BYTES", 1)
     for _ in range(2):  # a run that is made again replaces its files
-        land_files(raw, sliced, gzip=odd, stage=stage)
+        land_files(raw, sliced, gzip=odd, stage=stage, stage_slices=3)
     assert not Path(stage).exists()
     rows = lambda root: sorted(map(repr, read_landed(spark, root).collect()))
     assert rows(sliced) == rows(whole)
     names = lambda root: sorted(str(p.relative_to(root)) for p in Path(root).glob("run=1/*/fichier=*"))
     assert names(sliced) == names(whole)
+
+
+def test_slices_of_sales_are_cut_before_the_joins(spark, sf_small):
+    """Both sides of the join on the order's key are filtered below it."""
+    plan = _sliced(raw_sales(spark, sf_small), "id_mutation", 1, 3)._jdf.queryExecution().optimizedPlan().toString()
+    hashed = [line for line in plan.splitlines() if "xxhash64" in line]
+    assert len(hashed) == 2 and {"l_orderkey", "o_orderkey"} == {k for k in ("l_orderkey", "o_orderkey") for line in hashed if k in line}
+    assert all(plan.splitlines()[i + 1].strip(" :+-").startswith("Relation") for i, line in enumerate(plan.splitlines()) if line in hashed)
+
+
+def test_slices_grow_with_the_stored_bytes_to_a_bound():
+    assert [slices_of(n << 20) for n in (0, 1, 64, 127, 128, 10_000)] == [1, 1, 1, 1, 2, 4]
